@@ -1,4 +1,4 @@
 """Queries over the given tables."""
 
-from churnwright.plans import cleaning, features, joins, sources  # noqa: F401
+from churnwright.plans import cleaning, features, joins, profile, sources, splits  # noqa: F401
 from churnwright.plans.registry import ORACLE, QUERIES  # noqa: F401
