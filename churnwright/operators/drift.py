@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnwright.functions import known
-from churnwright.operators.encoding import bin_index, quantile_edges
+from churnwright.operators.encoding import bin_index, edge_probs, inner_edges, quantile_edges
 from churnwright.operators.lookups import lookup
 from churnwright.operators.ordered import ordered_scan
+from churnwright.operators.quantiles import from_run
 from churnwright.session import stage
 
 # Bins, the smallest sample, the floor of a share, and the limits of the severities.
@@ -37,59 +38,70 @@ def shared_features(base: DataFrame, current: DataFrame, numeric: Sequence[str],
     return [c for c in cols if c in current.columns]
 
 
-def histograms(base: DataFrame, current: DataFrame, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Counts per distinct value of both sides, staged: what PSI and KS both read."""
-    count = F.count(F.lit(1))
-    return (
-        stage(base.groupBy("feature", "value").agg(count.alias("e")), "base"),
-        stage(current.groupBy(*by, "feature", "value").agg(count.alias("a")), "current"),
-    )
-
-
 def psi_edges(base: DataFrame, buckets: int = BUCKETS, *, exact: bool = True) -> DataFrame:
     """``(feature, n, inner)`` from the baseline; one row per feature."""
     return quantile_edges(base, "value", buckets, ["feature"], exact=exact)
 
 
-def psi(base_hist: DataFrame, current_hist: DataFrame, edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., feature, psi)``; null if either side has fewer than ten values."""
+def psi(base: DataFrame, current: DataFrame, edges: DataFrame, by: Sequence[str] = (), *, base_n: str | None = None, current_n: str | None = None) -> DataFrame:
+    """``(by..., feature, psi)``; null if either side has fewer than ten values.
+
+    Rows are binned where they are read, so the shuffle carries bin counts only. With
+    ``base_n`` / ``current_n`` a side is a histogram with that count column.
+    """
     by = list(by)
-    edges = edges.select("feature", "inner")  # one row per feature
-    binned = lambda h, n: h.join(F.broadcast(edges), "feature").groupBy(
-        *[c for c in by if c in h.columns], "feature", bin_index(F.col("value"), F.col("inner")).alias("bin")
-    ).agg(F.sum(n).alias(n))
-    e = binned(base_hist, "e")
-    a = binned(current_hist, "a")
-    groups = a.groupBy(*by, "feature").agg(F.sum("a").alias("na"))
-    base_bins = e.groupBy("feature").agg(
-        F.sum("e").alias("ne"), F.map_from_entries(F.collect_list(F.struct("bin", "e"))).alias("e_bins")
-    )  # at most `buckets` bins per feature
-    cur_bins = a.groupBy(*by, "feature").agg(F.map_from_entries(F.collect_list(F.struct("bin", "a"))).alias("a_bins"))
-    both = cur_bins.join(groups, [*by, "feature"]).join(F.broadcast(base_bins), "feature")
-    bins = F.array_union(F.map_keys("e_bins"), F.map_keys("a_bins"))
+    edges = stage(edges.select("feature", "inner"), "edges")  # one row per feature
+
+    def bins(side: DataFrame, n: str | None, keys: Sequence[str], total: str) -> DataFrame:
+        counted = side.join(F.broadcast(edges), "feature").groupBy(*keys, "feature", bin_index(F.col("value"), F.col("inner")).alias("bin"))
+        per_bin = counted.agg((F.sum(n) if n else F.count(F.lit(1))).alias("k"))
+        # at most `buckets` rows per group from here on
+        return per_bin.groupBy(*keys, "feature").agg(F.sum("k").alias(total), F.map_from_entries(F.collect_list(F.struct("bin", "k"))).alias(f"{total}_bins"))
+
+    both = bins(current, current_n, by, "_a").join(F.broadcast(bins(base, base_n, (), "_e")), "feature")
+    occurring = F.array_sort(F.array_union(F.map_keys("_e_bins"), F.map_keys("_a_bins")))
 
     def term(k):
-        pe = F.greatest(F.coalesce(F.try_element_at("e_bins", k), F.lit(0)) / F.col("ne"), F.lit(FLOOR))
-        pa = F.greatest(F.coalesce(F.try_element_at("a_bins", k), F.lit(0)) / F.col("na"), F.lit(FLOOR))
+        pe = F.greatest(F.coalesce(F.try_element_at("_e_bins", k), F.lit(0)) / F.col("_e"), F.lit(FLOOR))
+        pa = F.greatest(F.coalesce(F.try_element_at("_a_bins", k), F.lit(0)) / F.col("_a"), F.lit(FLOOR))
         return (pa - pe) * F.log(pa / pe)
 
-    total = F.aggregate(F.transform(F.array_sort(bins), term), F.lit(0.0), lambda s, x: s + x)
-    enough = (F.col("ne") >= MIN_ROWS) & (F.col("na") >= MIN_ROWS)
+    total = F.aggregate(F.transform(occurring, term), F.lit(0.0), lambda s, x: s + x)
+    enough = (F.col("_e") >= MIN_ROWS) & (F.col("_a") >= MIN_ROWS)
     return both.select(*by, "feature", F.when(enough, total).alias("psi"))
 
 
-def ks(base_hist: DataFrame, current_hist: DataFrame) -> DataFrame:
-    """``(feature, ks)``: the largest gap of the two empirical distribution functions."""
-    pooled = base_hist.select("feature", "value", "e", F.lit(0).cast("bigint").alias("a")).unionByName(
-        current_hist.select("feature", "value", F.lit(0).cast("bigint").alias("e"), "a")
+def pooled_run(base: DataFrame, current: DataFrame) -> DataFrame:
+    """Counts of both sides per feature and distinct value, with running counts and totals; staged."""
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    both = base.select("feature", "value", one.alias("e"), zero.alias("a")).unionByName(
+        current.select("feature", "value", zero.alias("e"), one.alias("a"))
     )
-    pooled = stage(pooled.groupBy("feature", "value").agg(F.sum("e").alias("e"), F.sum("a").alias("a")), "pooled")
-    run = ordered_scan(pooled, ["value"], ["feature"], through={"_e": "e", "_a": "a"}, totals={"_ne": "e", "_na": "a"})
+    pooled = stage(both.groupBy("feature", "value").agg(F.sum("e").alias("e"), F.sum("a").alias("a")), "pooled")
+    return stage(ordered_scan(pooled, ["value"], ["feature"], through={"_e": "e", "_a": "a"}, totals={"_ne": "e", "_na": "a"}), "run")
+
+
+def ks_of_run(run: DataFrame) -> DataFrame:
     gap = F.abs(F.col("_e").cast("double") / F.col("_ne") - F.col("_a").cast("double") / F.col("_na"))
     return run.where("_ne > 0 and _na > 0").groupBy("feature").agg(F.max(gap).alias("ks"))
 
 
-def ks_by(base_hist: DataFrame, current_hist: DataFrame, by: Sequence[str]) -> DataFrame:
+def ks(base: DataFrame, current: DataFrame) -> DataFrame:
+    """``(feature, ks)``: the largest gap of the two empirical distribution functions."""
+    return ks_of_run(pooled_run(base, current))
+
+
+def base_run(base: DataFrame, current_hist: DataFrame) -> DataFrame:
+    """The baseline's running counts at its own values and at those of the current side; staged."""
+    count = F.count(F.lit(1))
+    points = base.groupBy("feature", "value").agg(count.alias("e")).unionByName(
+        current_hist.select("feature", "value").distinct().withColumn("e", F.lit(0).cast("bigint"))
+    )
+    points = stage(points.groupBy("feature", "value").agg(F.sum("e").alias("e")), "points")
+    return stage(ordered_scan(points, ["value"], ["feature"], before={"_b": "e"}, through={"_t": "e"}, totals={"_ne": "e"}), "run")
+
+
+def ks_by(run: DataFrame, current_hist: DataFrame, by: Sequence[str]) -> DataFrame:
     """``(by..., feature, ks)`` of every group against the one baseline.
 
     Between two values of a group its own distribution function is flat, so the largest gap
@@ -97,28 +109,28 @@ def ks_by(base_hist: DataFrame, current_hist: DataFrame, by: Sequence[str]) -> D
     only needed at those values and is never copied per group.
     """
     by = list(by)
-    points = base_hist.select("feature", "value", "e").unionByName(
-        current_hist.select("feature", "value").distinct().withColumn("e", F.lit(0).cast("bigint"))
-    )
-    points = stage(points.groupBy("feature", "value").agg(F.sum("e").alias("e")), "points")
-    at = ordered_scan(points, ["value"], ["feature"], before={"_b": "e"}, through={"_t": "e"}, totals={"_ne": "e"})
-    at = at.select("feature", "value", (F.col("_b") / F.col("_ne")).alias("_fb"), (F.col("_t") / F.col("_ne")).alias("_ft"))
-    run = ordered_scan(current_hist, ["value"], [*by, "feature"], before={"_ab": "a"}, through={"_at": "a"}, totals={"_na": "a"})
-    held = lookup(run, at, ["feature", "value"], how="inner")
+    at = run.select("feature", "value", (F.col("_b") / F.col("_ne")).alias("_fb"), (F.col("_t") / F.col("_ne")).alias("_ft"))
+    own = ordered_scan(current_hist, ["value"], [*by, "feature"], before={"_ab": "a"}, through={"_at": "a"}, totals={"_na": "a"})
+    held = lookup(own, at, ["feature", "value"], how="inner")
     gap = F.greatest(
         F.abs(F.col("_fb") - F.col("_ab") / F.col("_na")), F.abs(F.col("_ft") - F.col("_at") / F.col("_na"))
     )
     return held.groupBy(*by, "feature").agg(F.max(gap).alias("ks"))
 
 
-def drift_table(base: DataFrame, current: DataFrame, by: Sequence[str] = (), buckets: int = BUCKETS, *, exact: bool = True) -> DataFrame:
-    """``(by..., feature, psi, ks)`` from two long tables."""
-    by = list(by)
-    b, c = histograms(base, current, by)
-    edges = psi_edges(base, buckets, exact=exact)
-    p = psi(b, c, edges, by)
-    k = ks_by(b, c, by) if by else ks(b, c)
-    return p.join(k, [*by, "feature"])
+def drift_table(base: DataFrame, current: DataFrame, by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+    """``(by..., feature, psi, ks)`` from two long tables. The KS run-up is computed once and also gives the PSI edges and bins."""
+    by, probs = list(by), edge_probs(buckets)
+    if not by:
+        run = pooled_run(base, current)
+        e, a = run.where("e > 0"), run.where("a > 0")
+        edges = inner_edges(from_run(e, probs, ["feature"], value="value", count="e", upto="_e", total="_ne"))
+        return psi(e, a, edges, base_n="e", current_n="a").join(ks_of_run(run), "feature")
+    hist = stage(current.groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("a")), "current")
+    run = base_run(base, hist)
+    e = run.where("e > 0")
+    edges = inner_edges(from_run(e, probs, ["feature"], value="value", count="e", upto="_t", total="_ne"))
+    return psi(e, hist, edges, by, base_n="e", current_n="a").join(ks_by(run, hist, by), [*by, "feature"])
 
 
 def with_severity(drift: DataFrame) -> DataFrame:

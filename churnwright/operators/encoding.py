@@ -77,11 +77,18 @@ def one_hot(df: DataFrame, col: str, values: Sequence[str], prefix: str | None =
 
 def quantile_edges(long: DataFrame, value: str, buckets: int, by: Sequence[str], *, exact: bool = True) -> DataFrame:
     """``(by..., n, inner)``: the distinct inner quantile edges of a reference sample."""
-    probs = [i / buckets for i in range(buckets + 1)]
-    q = quantiles(long, value, probs, by, exact=exact)
+    return inner_edges(quantiles(long, value, edge_probs(buckets), by, exact=exact))
+
+
+def edge_probs(buckets: int) -> list[float]:
+    return [i / buckets for i in range(buckets + 1)]
+
+
+def inner_edges(q: DataFrame) -> DataFrame:
+    """Distinct quantiles without the outermost two."""
     cuts = F.array_sort(F.array_distinct("q"))
-    inner = F.when(F.size("cuts") > 2, F.slice("cuts", F.lit(2), F.size("cuts") - 2)).otherwise(F.slice("cuts", 1, 0))
-    return q.withColumn("cuts", cuts).select(*by, "n", inner.alias("inner"))
+    inner = F.when(F.size("_cuts") > 2, F.slice("_cuts", F.lit(2), F.size("_cuts") - 2)).otherwise(F.slice("_cuts", 1, 0))
+    return q.withColumn("_cuts", cuts).withColumn("inner", inner).drop("q", "_cuts")
 
 
 def bin_index(value: Column, inner: Column) -> Column:

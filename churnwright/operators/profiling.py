@@ -229,11 +229,14 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
+def _corr_with(c: str, target: str) -> Column:
+    v = known(F.col(c).cast("double"))
+    return F.corr(v, F.when(v.isNotNull(), F.col(target).cast("double")))
+
+
 def point_biserial(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """``(column, r)`` of each numeric with a 0/1 target."""
-    t = F.col(target).cast("double")
-    v = lambda c: known(F.col(c).cast("double"))
-    return _per_column(df, cols, {"r": lambda c: F.corr(v(c), F.when(v(c).isNotNull(), t))})
+    return _per_column(df, cols, {"r": lambda c: _corr_with(c, target)})
 
 
 def cramers_v(long: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
@@ -284,25 +287,22 @@ def association_ranking(df: DataFrame, target: str, max_cat_unique: int = 20) ->
     Columns with at most one distinct value are skipped, as are non-text, non-numeric
     columns with more than ``max_cat_unique`` values. Null is a category of its own.
     """
-    others = [c for c in df.columns if c != target]
-    numeric = [c for c in columns_of(df, (T.NumericType, T.BooleanType)) if c != target]
+    numeric = columns_of(df, (T.NumericType, T.BooleanType), skip=[target])
     texts = columns_of(df, (T.StringType,))
-    spread = distinct_counts(df, others)
-    texty = F.col("column").isin(texts) if texts else F.lit(False)
-    wanted = spread.where((F.col("n_distinct") > 1) & (texty | F.col("column").isin(numeric) | (F.col("n_distinct") <= max_cat_unique)))
+    cats = [c for c in df.columns if c != target and c not in numeric]
     parts = []
     if numeric:
-        parts.append(point_biserial(df, numeric, target).select("column", F.col("r").alias("correlation"), F.lit("point-biserial").alias("method")))
-    cats = [c for c in others if c not in numeric]
+        v = lambda c: known(F.col(c).cast("double"))
+        varies = _per_column(df, numeric, {"r": lambda c: _corr_with(c, target), "varies": lambda c: F.min(v(c)) < F.max(v(c))})
+        parts.append(varies.where("varies").select("column", F.col("r").alias("correlation"), F.lit("point-biserial").alias("method")))
     if cats:
+        texty = F.col("column").isin(texts) if texts else F.lit(False)
+        wanted = distinct_counts(df, cats).where((F.col("n_distinct") > 1) & (texty | (F.col("n_distinct") <= max_cat_unique)))
         long = text_values(df, cats, [target]).withColumn("value", F.coalesce("value", F.lit("<NA>")))
-        parts.append(cramers_v(long, "value", target, ["column"]).select("column", F.col("v").alias("correlation"), F.lit("cramers_v").alias("method")))
+        found = cramers_v(long, "value", target, ["column"]).join(wanted, "column", "left_semi")
+        parts.append(found.select("column", F.col("v").alias("correlation"), F.lit("cramers_v").alias("method")))
     ranked = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return (
-        ranked.join(wanted.select("column"), "column", "left_semi")
-        .select(F.col("column").alias("feature"), "correlation", "method")
-        .orderBy(F.desc_nulls_last("correlation"), "feature")
-    )
+    return ranked.select(F.col("column").alias("feature"), "correlation", "method").orderBy(F.desc_nulls_last("correlation"), "feature")
 
 
 def fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

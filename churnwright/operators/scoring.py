@@ -45,18 +45,22 @@ def threshold_curve(df: DataFrame, label: str = "label", score: str = "score", b
     )
 
 
-def ranking_metrics(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., n_pos, n_neg, roc_auc, pr_auc)``: ties count half, average precision is a step sum."""
+def _ranking() -> list[Column]:
     neg_below = (F.col("n_neg") - F.col("fp")).cast("double")
     wins = F.sum(F.col("pos") * (neg_below + F.col("neg") * 0.5))
     steps = F.sum(F.col("pos") * F.col("precision"))
     both = (F.max("n_pos") > 0) & (F.max("n_neg") > 0)
-    return curve.groupBy(*by).agg(
+    return [
         F.max("n_pos").alias("n_pos"),
         F.max("n_neg").alias("n_neg"),
         F.when(both, wins / (F.max("n_pos").cast("double") * F.max("n_neg"))).alias("roc_auc"),
         F.when(F.max("n_pos") > 0, steps / F.max("n_pos")).alias("pr_auc"),
-    )
+    ]
+
+
+def ranking_metrics(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., n_pos, n_neg, roc_auc, pr_auc)``: ties count half, average precision is a step sum."""
+    return curve.groupBy(*by).agg(*_ranking())
 
 
 def _at_target(target: float) -> tuple[Column, Column, Column]:
@@ -126,12 +130,9 @@ def with_rates(counts: DataFrame) -> DataFrame:
 def evaluate(curve: DataFrame, target: float = TARGET_RECALL, by: Sequence[str] = ()) -> DataFrame:
     """Everything at once, per group: ranking metrics, the threshold at the recall target and all rates there."""
     thr, tp, fp = _at_target(target)
-    rank = ranking_metrics(curve, by)
-    at = curve.groupBy(*by).agg(F.coalesce(thr, F.lit(0.0)).alias("threshold"), F.coalesce(tp, F.max("tp")).alias("tp"), F.coalesce(fp, F.max("fp")).alias("fp"))
-    if by:
-        both = rank.join(at, list(by))
-    else:
-        both = rank.withColumn("_", F.lit(1)).join(at.withColumn("_", F.lit(1)), "_").drop("_")
+    # Without a threshold that reaches the target it is 0.0: every row is predicted positive.
+    at = [F.coalesce(thr, F.lit(0.0)).alias("threshold"), F.coalesce(tp, F.max("tp")).alias("tp"), F.coalesce(fp, F.max("fp")).alias("fp")]
+    both = curve.groupBy(*by).agg(*_ranking(), *at)
     full = both.withColumn("fn", F.col("n_pos") - F.col("tp")).withColumn("tn", F.col("n_neg") - F.col("fp"))
     return with_rates(full)
 

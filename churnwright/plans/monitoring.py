@@ -115,13 +115,12 @@ DRIFT = f"""WITH base AS (UNPIVOT (SELECT l_quantity, l_extendedprice, l_discoun
 @query("m6_psi", DRIFT + " SELECT feature, ROUND(psi, 6) AS psi FROM psi")
 def _(t):
     base, cur = _sides(t)
-    b, c = d.histograms(base, cur)
-    return rounded(d.psi(b, c, d.psi_edges(base)))
+    return rounded(d.psi(base, cur, d.psi_edges(base)))
 
 
 @query("m7_ks", DRIFT + " SELECT feature, ROUND(ks, 6) AS ks FROM ks")
 def _(t):
-    return rounded(d.ks(*d.histograms(*_sides(t))))
+    return rounded(d.ks(*_sides(t)))
 
 
 @query("m8_drift_table", DRIFT + " SELECT feature, ROUND(psi, 6) AS psi, ROUND(ks, 6) AS ks FROM psi JOIN ks USING (feature)")

@@ -8,6 +8,7 @@ from churnwright.operators import scoring as sc
 from churnwright.operators.sampling import top_k
 from churnwright.operators.splitting import expanding_folds, stratified_folds
 from churnwright.plans.registry import ctes, query, rounded
+from churnwright.session import stage
 from churnwright.training import models as mo
 from churnwright.training import search as se
 
@@ -27,10 +28,11 @@ def training_rows(t):
     signal = F.col("o_totalprice") / 500000 + F.col("returned") / 10 + F.when(F.col("segment") == "BUILDING", 0.3).otherwise(0.0)
     noise = F.conv(F.substring(seed_key(7, "o_orderkey"), 1, 6), 16, 10).cast("double") / 2**24
     draw = F.substring(seed_key(11, "o_orderkey"), 1, 2)
-    return rows.select(
+    ready = rows.select(
         "o_orderkey", "o_orderdate", *[F.col(c).cast("double").alias(c) for c in NUMERIC], *CATEGORIES,
         (signal + noise > 1.2).cast("double").alias("label"), (draw < "33").alias("is_valid"),
     )
+    return stage(ready, "training")  # learners read their input many times
 
 
 def _fit_boosted(train, valid, params):
