@@ -217,13 +217,13 @@ ANCHORS = """WITH a AS (SELECT event_id, user_id, CAST(ts AS DATE) AS day FROM e
     ANCHORS
     + """, g AS (SELECT a.event_id, COUNT(v.day) AS n, SUM(v.value) AS s, AVG(v.value) AS m, STDDEV_SAMP(v.value) AS sd, MIN(a.day - v.day) AS since
              FROM a LEFT JOIN v ON v.user_id = a.user_id AND v.event_type = 'purchase' AND v.day >= a.day - 7 AND v.day < a.day GROUP BY 1)
-         SELECT event_id, n AS topup_count, ROUND(COALESCE(s, 0.0), 4) AS topup_total, ROUND(m, 4) AS topup_avg, ROUND(sd, 4) AS topup_std,
-                ROUND(CASE WHEN n > 1 THEN sd / m END, 4) AS topup_cv, CAST(since AS DOUBLE) AS topup_days_since_last FROM g""",
+         SELECT event_id, n AS topup_count, ROUND(COALESCE(s, 0.0), 6) AS topup_total, ROUND(m, 6) AS topup_avg, ROUND(sd, 6) AS topup_std,
+                ROUND(CASE WHEN n > 1 THEN sd / m END, 6) AS topup_cv, CAST(since AS DOUBLE) AS topup_days_since_last FROM g""",
 )
 def _(t):
     out = s.lookback(_anchors(t), t.events.where("event_type = 'purchase'"), who="user_id", anchor_day="day", ts="ts", days=7, value="value", prefix="topup")
     cols = ["topup_count", "topup_total", "topup_avg", "topup_std", "topup_cv"]
-    return rounded(out.select("event_id", *cols, F.col("topup_days_since_last").cast("double").alias("topup_days_since_last")), 4)
+    return rounded(out.select("event_id", *cols, F.col("topup_days_since_last").cast("double").alias("topup_days_since_last")))
 
 
 @query(

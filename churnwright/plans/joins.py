@@ -77,15 +77,15 @@ def _(t):
 
 @query(
     "j7_candidate_champion",
-    """WITH c AS (SELECT o_custkey % 50 AS grp, AVG(o_totalprice) AS m FROM orders WHERE o_orderstatus = 'O' GROUP BY 1),
-            h AS (SELECT o_custkey % 50 AS grp, AVG(o_totalprice) AS m FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 50 < 40 GROUP BY 1)
-       SELECT grp, ROUND(c.m, 4) AS candidate, ROUND(h.m, 4) AS champion FROM c LEFT JOIN h USING (grp)""",
+    """WITH c AS (SELECT o_custkey % 50 AS grp, MAX(o_totalprice) AS m FROM orders WHERE o_orderstatus = 'O' GROUP BY 1),
+            h AS (SELECT o_custkey % 50 AS grp, MAX(o_totalprice) AS m FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 50 < 40 GROUP BY 1)
+       SELECT grp, c.m AS candidate, h.m AS champion FROM c LEFT JOIN h USING (grp)""",
 )
 def _(t):
     g = (F.col("o_custkey") % 50).alias("grp")
-    cand = t.orders.where("o_orderstatus = 'O'").groupBy(g).agg(F.avg("o_totalprice").alias("candidate"))
-    champ = t.orders.where("o_orderstatus = 'F' and o_custkey % 50 < 40").groupBy(g).agg(F.avg("o_totalprice").alias("champion"))
-    return rounded(j.lookup(cand, champ, ["grp"]), 4)
+    cand = t.orders.where("o_orderstatus = 'O'").groupBy(g).agg(F.max("o_totalprice").alias("candidate"))
+    champ = t.orders.where("o_orderstatus = 'F' and o_custkey % 50 < 40").groupBy(g).agg(F.max("o_totalprice").alias("champion"))
+    return j.lookup(cand, champ, ["grp"])
 
 
 @query(

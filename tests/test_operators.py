@@ -4,6 +4,7 @@ import datetime as dt
 import gzip
 import json
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -224,16 +225,21 @@ def test_missing_files_fail(spark, tmp_path):
 
 
 def test_stream_equals_batch_with_late_and_repeated_rows(spark, tmp_path):
-    """Two files in two batches: repeats count once, rows behind the watermark are dropped, the open window waits."""
+    """Three files in three batches: repeats count once, rows behind the watermark are dropped, the open window waits."""
     at = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
     schema = "id bigint, ts timestamp_ntz, value double"
-    spark.createDataFrame([(1, at(1), 1.0), (1, at(1), 1.0), (2, at(2), 3.0), (3, at(9), 5.0)], schema).coalesce(1).write.parquet(str(tmp_path / "in"), mode="append")
-    import time
-
-    time.sleep(1.1)
-    spark.createDataFrame([(9, at(1, 30), 100.0), (4, at(13), 7.0), (5, at(20), 1.0)], schema).coalesce(1).write.parquet(str(tmp_path / "in"), mode="append")
-    stream = st.with_event_time(st.stream_parquet(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema, files_per_batch=1), "ts", "1 hour")
-    out = st.run_to_table(wm.window_stats(st.drop_repeats(stream, "id"), "ts", "value"))
+    folder = str(tmp_path / "in")
+    files = [
+        [(1, at(1), 1.0), (1, at(1), 1.0), (2, at(2), 3.0), (3, at(9), 5.0)],
+        [(4, at(13), 7.0), (4, at(13), 7.0)],
+        [(9, at(1, 30), 100.0), (5, at(20), 1.0)],
+    ]
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(folder, mode="append")
+        time.sleep(1.1)
+    stream = st.stream_parquet(spark, folder, spark.read.parquet(folder).schema, files_per_batch=1)
+    once = st.drop_repeats(st.with_event_time(stream, "ts", "1 hour"), "id")
+    out = st.run_to_table(wm.window_stats(once, "ts", "value"))
     got = {r["start"].hour: (r["n"], r["mean"]) for r in out.collect()}
     assert got == {0: (2, 2.0), 8: (1, 5.0), 12: (1, 7.0)}
 
