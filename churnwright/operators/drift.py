@@ -109,7 +109,7 @@ def ks_by(run: DataFrame, current_hist: DataFrame, by: Sequence[str]) -> DataFra
     only needed at those values and is never copied per group.
     """
     by = list(by)
-    at = run.select("feature", "value", (F.col("_b") / F.col("_ne")).alias("_fb"), (F.col("_t") / F.col("_ne")).alias("_ft"))
+    at = run.where("_ne > 0").select("feature", "value", (F.col("_b") / F.col("_ne")).alias("_fb"), (F.col("_t") / F.col("_ne")).alias("_ft"))
     own = ordered_scan(current_hist, ["value"], [*by, "feature"], before={"_ab": "a"}, through={"_at": "a"}, totals={"_na": "a"})
     held = lookup(own, at, ["feature", "value"], how="inner")
     gap = F.greatest(

@@ -90,7 +90,7 @@ def promotion(gated: DataFrame, champions: DataFrame, group: str, metric: str =
 def stability(folds: DataFrame, metric: str, by: Sequence[str] = ("run",), std_max: float = 0.03, z: float = 1.96) -> DataFrame:
     """Normal interval of the fold mean, with a stable / unstable label."""
     s = folds.groupBy(*by).agg(F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("std"), F.count(metric).alias("k"))
-    half = F.col("std") * z / F.sqrt(F.col("k").cast("double"))
+    half = F.try_divide(F.col("std") * z, F.sqrt(F.col("k").cast("double")))
     return s.select(
         *by, "mean", "std", "k", (F.col("mean") - half).alias("low"), (F.col("mean") + half).alias("high"),
         F.when(F.col("std") <= std_max, F.lit("stable")).otherwise(F.lit("unstable")).alias("stability"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from churnwright.session import stage
 
 BROADCAST_ROWS = 100_000
+SPREAD = 4096
 
 
 def lookup(
@@ -18,9 +19,10 @@ def lookup(
 ) -> DataFrame:
     """Join ``facts`` with a table that has one row per key.
 
-    The table is staged, so that its size is known: a small one is broadcast. Otherwise keys holding more than
-    1 / ``hot_keys`` of the facts (so fewer than ``hot_keys`` of them) are spread over
-    as many salted copies of their table row as they have such shares.
+    The table is staged, so that its size is known: a small one is broadcast. Otherwise keys
+    holding more than 1 / ``hot_keys`` of the facts (so fewer than ``hot_keys`` of them) are
+    spread over as many salted copies of their table row as they have such shares. Rows
+    without a key match nothing and are spread by their other columns.
     """
     on = list(on)
     table = stage(table, "lookup")
@@ -33,7 +35,10 @@ def lookup(
     # hot has fewer than hot_keys rows by construction
     spread = facts.join(F.broadcast(hot), on, "left")
     others = [c for c in facts.columns if c not in on] or on
-    salted = spread.withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*others), F.col("_copies")).cast("int"), F.lit(0)))
+    content = F.xxhash64(*others)
+    keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    salt = F.when(keyless, F.pmod(content, F.lit(SPREAD))).otherwise(F.coalesce(F.pmod(content, F.col("_copies")), F.lit(0)))
+    salted = spread.withColumn("_salt", salt.cast("int"))
     copied = table.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1))
     )
@@ -41,6 +46,11 @@ def lookup(
     return joined.drop("_salt")
 
 
+def beside(one: DataFrame, other: DataFrame) -> DataFrame:
+    """The columns of a one-row table added to another table, as a scalar."""
+    return one.withColumn("_other", other.select(F.struct("*").alias("s")).scalar()).select("*", "_other.*").drop("_other")
+
+
 def map_values(df: DataFrame, col: str, table: DataFrame, key: str, value: str, out: str, default=None) -> DataFrame:
     """``df[col]`` looked up in ``table``; keys that are not there give ``default``."""
     found = lookup(df, table.select(F.col(key).alias(col), F.col(value).alias("_found")), [col])

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from churnwright.functions import count_where, known
 from churnwright.operators.cleaning import TIMES, columns_of
+from churnwright.operators.lookups import beside, lookup
 from churnwright.operators.quantiles import long_numeric, quantiles
 
 # Fixed value: how many example values a text column keeps in the schema profile.
@@ -209,8 +210,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], target: str, *, exact: bool =
         (F.col("q")[0] - iqr * 1.5).alias("_lo"),
         (F.col("q")[2] + iqr * 1.5).alias("_hi"),
     )
-    # one row per (class, column)
-    held = long.join(F.broadcast(fences), [target, "column"])
+    held = lookup(long, fences, [target, "column"], how="inner")
     ok = (F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi"))
     return held.groupBy(target, "column", "q1", "median", "q3").agg(
         F.min(F.when(ok, F.col("value"))).alias("whisker_low"),
@@ -262,7 +262,7 @@ def cramers_v(long: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFr
     if by:
         joined = side_y.join(side_x, by).join(first, by)
     else:
-        joined = side_y.withColumn("_", F.lit(1)).join(side_x.withColumn("_", F.lit(1)), "_").join(first.withColumn("_", F.lit(1)), "_")
+        joined = beside(beside(side_y, side_x), first)
     return joined.select(*by, _v_from_sums(x, y).alias("v"))
 
 

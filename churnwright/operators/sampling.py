@@ -45,5 +45,7 @@ def best_row(df: DataFrame, metrics: Sequence[str], tie: str, by: Sequence[str]
     Only one row per group survives in each task before the shuffle.
     """
     order = [F.desc_nulls_last(m) for m in metrics] + [F.asc(tie)]
-    w = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order)
+    if not by:
+        return df.orderBy(*order).limit(1)
+    w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 1).drop("_rn")

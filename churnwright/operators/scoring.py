@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnwright.functions import count_where, ratio
+from churnwright.operators.lookups import beside
 from churnwright.operators.ordered import ordered_scan
 from churnwright.operators.sampling import best_row
 from churnwright.session import stage
@@ -197,7 +198,7 @@ def metric_set(
     per = scored.groupBy(*by).agg(*[ROW_METRICS[m](F.col(label), F.col(score)).alias(m) for m in rows])
     if by:
         return out.join(per, list(by))
-    return out.withColumn("_", F.lit(1)).join(per.withColumn("_", F.lit(1)), "_").drop("_")
+    return beside(out, per)
 
 
 def overfit_gap(metrics: DataFrame, metric: str, split: str = "split", by: Sequence[str] = (), limit: float = OVERFIT_GAP) -> DataFrame:

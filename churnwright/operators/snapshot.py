@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from churnwright.functions import weekday
 from churnwright.operators.lookups import lookup
 from churnwright.operators.ordered import ordered_scan
+from churnwright.session import stage
 
 # Names and limits (in days) of the tenure buckets.
 TENURE_BUCKETS = (("<6 mo", 183), ("6–12 mo", 365), (">1 yr", None))
@@ -71,7 +72,7 @@ def contract_history(contracts: DataFrame, horizon_days: int = 365, observed_unt
 def past_churns(labelled: DataFrame) -> DataFrame:
     """Earlier contracts of the customer that ended in churn."""
     return ordered_scan(
-        labelled, ["start", "contract_id"], ["customer_id"], before={"past_churns": F.coalesce("churn", F.lit(0)).cast("long")}
+        stage(labelled, "labelled"), ["start", "contract_id"], ["customer_id"], before={"past_churns": F.coalesce("churn", F.lit(0)).cast("long")}
     )
 
 

@@ -36,8 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="churnwright-")
-        spark.conf.set(CHECKPOINT_KEY, named)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="churnwright-"))
+        named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
 
 
