@@ -43,22 +43,27 @@ def psi_edges(base: DataFrame, buckets: int = BUCKETS, *, exact: bool = True) ->
     return quantile_edges(base, "value", buckets, ["feature"], exact=exact)
 
 
-def psi(base: DataFrame, current: DataFrame, edges: DataFrame, by: Sequence[str] = (), *, base_n: str | None = None, current_n: str | None = None) -> DataFrame:
-    """``(by..., feature, psi)``; null if either side has fewer than ten values.
+def bin_counts(side: DataFrame, edges: DataFrame, by: Sequence[str] = (), n: str | None = None) -> DataFrame:
+    """``(by..., feature, bin, k)``. Rows are binned where they are read, so the shuffle carries bin counts only.
 
-    Rows are binned where they are read, so the shuffle carries bin counts only. With
-    ``base_n`` / ``current_n`` a side is a histogram with that count column.
+    ``edges`` has one row per feature; ``n`` is the count column of a side that is a histogram.
     """
-    by = list(by)
-    edges = stage(edges.select("feature", "inner"), "edges")  # one row per feature
+    placed = side.join(F.broadcast(edges), "feature")
+    grouped = placed.groupBy(*by, "feature", bin_index(F.col("value"), F.col("inner")).alias("bin"))
+    return grouped.agg((F.sum(n) if n else F.count(F.lit(1))).alias("k"))
+
+
+def psi_of_bins(base_bins: DataFrame, current_bins: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., feature, psi)`` from bin counts; null if either side has fewer than ten values."""
 
-    def bins(side: DataFrame, n: str | None, keys: Sequence[str], total: str) -> DataFrame:
-        counted = side.join(F.broadcast(edges), "feature").groupBy(*keys, "feature", bin_index(F.col("value"), F.col("inner")).alias("bin"))
-        per_bin = counted.agg((F.sum(n) if n else F.count(F.lit(1))).alias("k"))
-        # at most `buckets` rows per group from here on
-        return per_bin.groupBy(*keys, "feature").agg(F.sum("k").alias(total), F.map_from_entries(F.collect_list(F.struct("bin", "k"))).alias(f"{total}_bins"))
+    def gathered(bins: DataFrame, keys: Sequence[str], total: str) -> DataFrame:
+        # at most `buckets` rows per group
+        return bins.groupBy(*keys, "feature").agg(
+            F.sum("k").alias(total), F.map_from_entries(F.collect_list(F.struct("bin", "k"))).alias(f"{total}_bins")
+        )
 
-    both = bins(current, current_n, by, "_a").join(F.broadcast(bins(base, base_n, (), "_e")), "feature")
+    base = gathered(base_bins, (), "_e")  # one row per feature
+    both = gathered(current_bins, by, "_a").join(F.broadcast(base), "feature")
     occurring = F.array_sort(F.array_union(F.map_keys("_e_bins"), F.map_keys("_a_bins")))
 
     def term(k):
@@ -71,6 +76,12 @@ def psi(base: DataFrame, current: DataFrame, edges: DataFrame, by: Sequence[str]
     return both.select(*by, "feature", F.when(enough, total).alias("psi"))
 
 
+def psi(base: DataFrame, current: DataFrame, edges: DataFrame, by: Sequence[str] = (), *, base_n: str | None = None, current_n: str | None = None) -> DataFrame:
+    """``(by..., feature, psi)`` of two long tables (or histograms with a count column)."""
+    edges = stage(edges.select("feature", "inner"), "edges")
+    return psi_of_bins(bin_counts(base, edges, (), base_n), bin_counts(current, edges, by, current_n), by)
+
+
 def pooled_run(base: DataFrame, current: DataFrame) -> DataFrame:
     """Counts of both sides per feature and distinct value, with running counts and totals; staged."""
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+SCHEMAS: dict[str, T.StructType] = {}
+
 DIGITS = 6
 
 
@@ -21,7 +23,10 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in SCHEMAS:  # read a table's schema from its files once
+            SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(SCHEMAS[path]).parquet(path)
 
     def derive(self, name: str) -> DataFrame:
         source, columns = DERIVED[name]

@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from churnwright.operators import drift as d
 from churnwright.operators import monitoring as mo
 from churnwright.plans.monitoring import JSON_RECORD
 from churnwright.plans.registry import Tables, query, rounded
-from churnwright.session import new_path
+from churnwright.session import new_path, stage
 from churnwright.streaming import capture as st
 from churnwright.streaming import monitors as wm
 
@@ -65,11 +66,32 @@ EDGES = [5.0, 10.0, 20.0, 40.0, 80.0]
     "m15b_windowed_bins",
     CLOSED.format(
         every="1 day", keys="s, bin",
-        cols="CAST((value >= 5)::INT + (value >= 10)::INT + (value >= 20)::INT + (value >= 40)::INT + (value >= 80)::INT AS INTEGER) AS bin, COUNT(*) AS n",
+        cols="'value' AS feature, CAST((value >= 5)::INT + (value >= 10)::INT + (value >= 20)::INT + (value >= 40)::INT + (value >= 80)::INT AS INTEGER) AS bin, COUNT(*) AS k",
     ),
 )
 def _(t):
-    return _start(st.run_to_table(wm.window_bins(_events(t), "ts", "value", EDGES, "1 day"), "window-bins"))
+    edges = t.spark.createDataFrame([("value", EDGES)], "feature string, inner array<double>")
+    return _start(st.run_to_table(wm.window_bins(d.as_features(_events(t), ["value"], ["ts"]), "ts", edges), "window-bins"))
+
+
+@query(
+    "m11s_stream_psi",
+    """WITH base AS (SELECT value FROM events WHERE ts < TIMESTAMP '2024-01-11'),
+       cur AS (SELECT strftime(ts, '%Y-%m-%d 00:00:00') AS start, value FROM events WHERE ts >= TIMESTAMP '2024-01-11' AND date_trunc('day', ts) + INTERVAL '1 day' <= (SELECT MAX(ts) FROM events)),
+       q AS (SELECT list_sort(list_distinct(quantile_cont(value, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS cuts FROM base), i AS (SELECT cuts[2:len(cuts) - 1] AS edges FROM q),
+       e AS (SELECT len(list_filter(edges, lambda x : value >= x)) AS bin, COUNT(*) AS e FROM base, i GROUP BY 1),
+       a AS (SELECT start, len(list_filter(edges, lambda x : value >= x)) AS bin, COUNT(*) AS a FROM cur, i GROUP BY 1, 2), days AS (SELECT DISTINCT start FROM cur), bins AS (SELECT bin FROM e UNION SELECT bin FROM a),
+       p AS (SELECT start, GREATEST(COALESCE(e, 0) / (SELECT SUM(e) FROM e), 1e-6) AS pe, GREATEST(COALESCE(a, 0) / SUM(COALESCE(a, 0)) OVER (PARTITION BY start), 1e-6) AS pa
+             FROM days CROSS JOIN bins LEFT JOIN e USING (bin) LEFT JOIN a USING (start, bin))
+       SELECT start, 'value' AS feature, ROUND(SUM((pa - pe) * LN(pa / pe)), 6) AS psi FROM p GROUP BY 1""",
+)
+def _(t):
+    day = F.lit("2024-01-11")
+    base = d.as_features(t.events.where(F.col("ts") < day.cast("timestamp_ntz")), ["value"])
+    edges = stage(d.psi_edges(base), "edges")
+    current = d.as_features(_events(t).where(F.col("ts") >= day.cast("timestamp")), ["value"], ["ts"])
+    counted = st.run_to_table(wm.window_bins(current, "ts", edges), "window-bins")
+    return _start(d.psi_of_bins(d.bin_counts(base, edges.select("feature", "inner")), counted, ["start"]))
 
 
 @query("m16_repeats_and_windows", CLOSED.format(every="4 hours", keys="s", cols="COUNT(*) AS n"))

@@ -21,16 +21,17 @@ def window_stats(events: DataFrame, ts: str, value: str, by: Sequence[str] = (),
     )
 
 
-def window_bins(events: DataFrame, ts: str, value: str, edges: list[float], every: str = "1 day") -> DataFrame:
-    """``(start, bin, n)``: counts per fixed bin and window. Bin counts add up, so they are what a stream keeps;
-    PSI per window follows from them exactly, a KS value only at the bin edges."""
-    inner = F.array(*[F.lit(float(e)) for e in edges])
-    v = known(F.col(value).cast("double"))
+def window_bins(long: DataFrame, ts: str, edges: DataFrame, every: str = "1 day") -> DataFrame:
+    """``(start, feature, bin, k)``: counts per bin and window of a long stream ``(ts, feature, value)``.
+
+    The baseline's ``edges`` are static, one row per feature. Bin counts add up, so they are what a
+    stream keeps; PSI per window follows from them exactly, a KS value only at the bin edges.
+    """
+    placed = long.join(F.broadcast(edges.select("feature", "inner")), "feature")
     return (
-        events.where(v.isNotNull())
-        .groupBy(F.window(ts, every).alias("w"), bin_index(v, inner).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("w.start").alias("start"), "bin", "n")
+        placed.groupBy(F.window(ts, every).alias("w"), "feature", bin_index(F.col("value"), F.col("inner")).alias("bin"))
+        .agg(F.count(F.lit(1)).alias("k"))
+        .select(F.col("w.start").alias("start"), "feature", "bin", "k")
     )
 
 
