@@ -78,7 +78,7 @@ def psi_of_bins(base_bins: DataFrame, current_bins: DataFrame, by: Sequence[str]
 
 def psi(base: DataFrame, current: DataFrame, edges: DataFrame, by: Sequence[str] = (), *, base_n: str | None = None, current_n: str | None = None) -> DataFrame:
     """``(by..., feature, psi)`` of two long tables (or histograms with a count column)."""
-    edges = stage(edges.select("feature", "inner"), "edges")
+    edges = edges.select("feature", "inner")
     return psi_of_bins(bin_counts(base, edges, (), base_n), bin_counts(current, edges, by, current_n), by)
 
 

@@ -91,9 +91,20 @@ def inner_edges(q: DataFrame) -> DataFrame:
     return q.withColumn("_cuts", cuts).withColumn("inner", inner).drop("q", "_cuts")
 
 
+UNROLLED = 12
+
+
 def bin_index(value: Column, inner: Column) -> Column:
-    """Left-closed bin: the number of inner edges at or below the value."""
-    return F.size(F.filter(inner, lambda x: value >= x))
+    """Left-closed bin: the number of inner edges at or below the value.
+
+    The first edges are compared one by one, which stays in generated code; only a longer
+    list falls back to an array function for the rest.
+    """
+    passed = F.lit(0)
+    for i in range(UNROLLED):
+        passed = passed + F.when(value >= F.get(inner, F.lit(i)), 1).otherwise(0)
+    rest = F.size(F.filter(F.slice(inner, F.lit(UNROLLED + 1), F.size(inner)), lambda x: value >= x))
+    return passed + F.when(F.size(inner) > UNROLLED, rest).otherwise(0)
 
 
 def target_encode(df: DataFrame, train: DataFrame, col: str, target: str, out: str) -> DataFrame:
