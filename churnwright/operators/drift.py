@@ -33,9 +33,8 @@ def as_features(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) ->
 
 
 def shared_features(base: DataFrame, current: DataFrame, numeric: Sequence[str], limit: int | None = None) -> list[str]:
-    """The numeric baseline columns that the current table has too, in baseline order."""
-    cols = [c for c in numeric if c in base.columns][:limit] if limit else [c for c in numeric if c in base.columns]
-    return [c for c in cols if c in current.columns]
+    """The first ``limit`` of the numeric baseline columns, in order, as far as the current table has them too."""
+    return [c for c in numeric[:limit] if c in base.columns and c in current.columns]
 
 
 def psi_edges(base: DataFrame, buckets: int = BUCKETS, *, exact: bool = True) -> DataFrame:

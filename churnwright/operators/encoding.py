@@ -50,7 +50,7 @@ def frequency_encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         known = df.where(F.col(c).isNotNull())
         total = known.groupBy().agg(F.count(F.lit(1)).alias("n")).scalar()
         shares = known.groupBy(c).agg(F.count(F.lit(1)).alias("_c")).select(c, (F.col("_c") / total).alias(f"{c}__freq"))
-        out = lookup(out, shares, [c])
+        out = lookup(out, stage(shares, "shares"), [c])
     return out
 
 
@@ -65,7 +65,7 @@ def vocabulary(frames: Sequence[DataFrame], col: str) -> DataFrame:
 
 def ordinal_encode(df: DataFrame, col: str, codes: DataFrame, out: str) -> DataFrame:
     """Codes of a vocabulary; unseen and missing values are -1."""
-    found = lookup(df, codes.select(F.col("value").alias(col), "code"), [col])
+    found = lookup(df, stage(codes.select(F.col("value").alias(col), "code"), "codes"), [col])
     return found.select(*df.columns, F.coalesce("code", F.lit(-1)).alias(out))
 
 
@@ -111,4 +111,4 @@ def target_encode(df: DataFrame, train: DataFrame, col: str, target: str, out: s
     """Mean target of the category on the training rows; the overall mean for categories not seen there."""
     means = train.where(F.col(col).isNotNull()).groupBy(col).agg(F.avg(F.col(target).cast("double")).alias("_m"))
     overall = train.groupBy().agg(F.avg(F.col(target).cast("double")).alias("m")).scalar()
-    return lookup(df, means, [col]).select(*df.columns, F.coalesce("_m", overall).alias(out))
+    return lookup(df, stage(means, "means"), [col]).select(*df.columns, F.coalesce("_m", overall).alias(out))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from churnwright.operators.lookups import lookup
 from churnwright.operators.sampling import best_row
+from churnwright.session import stage
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,7 @@ def promotion(gated: DataFrame, champions: DataFrame, group: str, metric: str =
 
     Failed gates: no. Failed extra rule: no. No champion value: yes. Else yes if at least ``margin`` better.
     """
-    both = lookup(gated, champions.select(group, "champion_value"), [group])
+    both = lookup(gated, stage(champions.select(group, "champion_value"), "champions"), [group])
     cand, champ = F.col(metric), F.col("champion_value")
     ok = extra_ok if extra_ok is not None else F.lit(True)
     better = F.coalesce(cand >= champ + margin, F.lit(False))

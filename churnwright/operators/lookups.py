@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnwright.session import stage
-
 BROADCAST_ROWS = 100_000
 SPREAD = 4096
 
@@ -19,13 +17,12 @@ def lookup(
 ) -> DataFrame:
     """Join ``facts`` with a table that has one row per key.
 
-    The table is staged, so that its size is known: a small one is broadcast. Otherwise keys
-    holding more than 1 / ``hot_keys`` of the facts (so fewer than ``hot_keys`` of them) are
+    The table is counted first, so stage() one that is costly to compute. A small one is
+    broadcast. Otherwise keys holding more than 1 / ``hot_keys`` of the facts (so fewer than ``hot_keys`` of them) are
     spread over as many salted copies of their table row as they have such shares. Rows
     without a key match nothing and are spread by their other columns.
     """
     on = list(on)
-    table = stage(table, "lookup")
     if table.count() <= small_rows:
         return facts.join(F.broadcast(table), on, how)
     counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_c"))

@@ -13,6 +13,7 @@ from churnwright.functions import count_where, known
 from churnwright.operators.cleaning import TIMES, columns_of
 from churnwright.operators.lookups import beside, lookup
 from churnwright.operators.quantiles import long_numeric, quantiles
+from churnwright.session import stage
 
 # Fixed value: how many example values a text column keeps in the schema profile.
 EXAMPLES = 20
@@ -210,7 +211,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], target: str, *, exact: bool =
         (F.col("q")[0] - iqr * 1.5).alias("_lo"),
         (F.col("q")[2] + iqr * 1.5).alias("_hi"),
     )
-    held = lookup(long, fences, [target, "column"], how="inner")
+    held = lookup(long, stage(fences, "fences"), [target, "column"], how="inner")
     ok = (F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi"))
     return held.groupBy(target, "column", "q1", "median", "q3").agg(
         F.min(F.when(ok, F.col("value"))).alias("whisker_low"),

@@ -130,7 +130,7 @@ def lookback(
         ]
     cols.append((F.col(f"{prefix}_count") > 0).cast("int").alias(f"{prefix}_was_seen"))
     per_day = seen.select(F.col(who), F.col("_day"), *cols)
-    return lookup(anchors.withColumn("_day", F.col(anchor_day).cast("date")), per_day, [who, "_day"]).drop("_day")
+    return lookup(anchors.withColumn("_day", F.col(anchor_day).cast("date")), stage(per_day, "lookback"), [who, "_day"]).drop("_day")
 
 
 def lookback_distinct(anchors: DataFrame, events: DataFrame, *, who: str, anchor_day: str, ts: str, what: str, days: int, out: str) -> DataFrame:
@@ -153,7 +153,7 @@ def lookback_distinct(anchors: DataFrame, events: DataFrame, *, who: str, anchor
     # one row per customer and calendar day
     running = daily.withColumn(out, F.sum("_d").over(Window.partitionBy(who).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)))
     per_day = running.where("_ask").select(who, "_day", out)
-    return lookup(anchors.withColumn("_day", F.col(anchor_day).cast("date")), per_day, [who, "_day"]).drop("_day")
+    return lookup(anchors.withColumn("_day", F.col(anchor_day).cast("date")), stage(per_day, "lookback"), [who, "_day"]).drop("_day")
 
 
 def as_of(rows: DataFrame, history: DataFrame, *, who: str, at: str, valid_from: str, key: str, take: dict[str, str]) -> DataFrame:

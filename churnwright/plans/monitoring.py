@@ -95,7 +95,9 @@ def _sides(t):
     old = F.col("l_shipdate") < F.lit(SPLIT_DAY).cast("timestamp_ntz")
     # the current side is shifted so that there is drift to find
     cur = t.lineitem.where(~old).withColumns({"l_quantity": F.col("l_quantity") + F.floor(F.col("l_partkey") % 7), "l_discount": F.col("l_discount") * 2})
-    return d.as_features(t.lineitem.where(old), FEATURES), d.as_features(cur, FEATURES)
+    base = t.lineitem.where(old)
+    cols = d.shared_features(base, cur, FEATURES, 10)
+    return d.as_features(base, cols), d.as_features(cur, cols)
 
 
 DRIFT = f"""WITH base AS (UNPIVOT (SELECT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem WHERE l_shipdate < TIMESTAMP '{SPLIT_DAY}') ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME feature VALUE value),

@@ -128,3 +128,18 @@ def test_quantiles(spark, chunk):
         assert got[g][1] == pytest.approx(list(np.quantile(vs, probs)))
     everything = np.concatenate(list(groups.values()))
     assert list(whole["q"]) == pytest.approx(list(np.quantile(everything, probs)))
+
+
+def test_sketched_quantiles_are_near(spark):
+    v = np.random.default_rng(4).normal(size=20000)
+    df = spark.createDataFrame([(float(x),) for x in v], "v double")
+    q = quantiles(df, "v", [0.1, 0.5, 0.9], exact=False).first()["q"]
+    ranks = [(v <= x).mean() for x in q]
+    assert ranks == pytest.approx([0.1, 0.5, 0.9], abs=2e-3)
+
+
+def test_metrics_ignore_the_partitioning(many_chunks):
+    y, s = scored(np.random.default_rng(8), 600)
+    df = frame(many_chunks, y, s)
+    rows = [m.evaluate(m.threshold_curve(df.repartition(p))).first().asDict() for p in (1, 4, 17)]
+    assert rows[0] == pytest.approx(rows[1]) and rows[0] == pytest.approx(rows[2])
