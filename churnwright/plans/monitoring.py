@@ -41,7 +41,7 @@ JSON_RECORD = T.StructType(
 
 @query(
     "m3_json_body",
-    """SELECT event_id AS id, user_id AS "user.id", event_type AS "user.kind" FROM events
+    """SELECT event_id AS id, user_id AS user_id, event_type AS user_kind FROM events
        UNION ALL SELECT event_id + 1000000000, user_id, 'again' FROM events WHERE event_id % 3 = 0""",
 )
 def _(t):
@@ -49,7 +49,8 @@ def _(t):
     first = one(F.col("event_id"), F.col("event_type"))
     both = F.array(first, one(F.col("event_id") + 1_000_000_000, F.lit("again")))
     body = F.when(F.col("event_id") % 3 == 0, F.to_json(both)).otherwise(F.to_json(first))
-    return mo.parse_json_body(t.events.select(body.alias("body")), "body", JSON_RECORD)
+    flat = mo.parse_json_body(t.events.select(body.alias("body")), "body", JSON_RECORD)
+    return flat.withColumnsRenamed({"user.id": "user_id", "user.kind": "user_kind"})
 
 
 @query("m3b_event_props", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")

@@ -35,7 +35,7 @@ def _(t):
     return st.run_to_table(mo.parse_csv_body(bodies, "body", ["id", "kind"]), "csv-bodies")
 
 
-@query("m3s_stream_json_body", """SELECT event_id AS id, user_id AS "user.id", event_type AS "user.kind" FROM events""")
+@query("m3s_stream_json_body", "SELECT event_id AS id, user_id, event_type AS user_kind FROM events")
 def _(t):
     # captured requests as gzip JSON lines, read back as a stream
     folder = new_path(t.spark, "requests")
@@ -44,7 +44,7 @@ def _(t):
     t.events.select(F.struct(body.alias("body")).alias("request")).write.option("compression", "gzip").json(folder)
     stream = st.stream_capture(t.spark, folder, "request struct<body: string>")
     flat = mo.parse_json_body(stream, "request.body", JSON_RECORD)
-    return st.run_to_table(flat.withColumnsRenamed({"user.id": "u", "user.kind": "k"}), "json-bodies").withColumnsRenamed({"u": "user.id", "k": "user.kind"})
+    return st.run_to_table(flat.withColumnsRenamed({"user.id": "user_id", "user.kind": "user_kind"}), "json-bodies")
 
 
 @query(
