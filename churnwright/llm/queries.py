@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwright.llm import simhash
+from churnwright.llm import bpe, decontaminate, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.query,
+    "op2_decontaminate": decontaminate.query,
+    "op10_bpe": bpe.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_decontaminate": decontaminate.SQL,
+}
