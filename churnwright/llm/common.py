@@ -66,6 +66,7 @@ def arrow_types(schema: str) -> pa.Schema:
         "array<bigint>": pa.list_(pa.int64()),
         "array<double>": pa.list_(pa.float64()),
         "array<string>": pa.list_(pa.string()),
+        "array<binary>": pa.list_(pa.binary()),
     }
     return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in schema.split(", "))])
 

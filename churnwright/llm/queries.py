@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwright.llm import bpe, decontaminate, simhash
+from churnwright.llm import bpe, decontaminate, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.query,
     "op2_decontaminate": decontaminate.query,
+    "op4_quality": quality.query,
+    "op6_toxicity": toxicity.query,
     "op10_bpe": bpe.query,
 }
 
