@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwright.llm import bpe, decontaminate, quality, simhash, toxicity
+from churnwright.llm import bpe, decontaminate, language, quality, simhash, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.query,
     "op2_decontaminate": decontaminate.query,
     "op4_quality": quality.query,
     "op6_toxicity": toxicity.query,
+    "op7_language": language.query,
+    "op9_vectors": vectors.query,
     "op10_bpe": bpe.query,
 }
 
 ORACLE: dict[str, str] = {
     "op2_decontaminate": decontaminate.SQL,
+    "op9_vectors": vectors.SQL,
 }
