@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwright.llm import bpe, decontaminate, language, quality, simhash, toxicity, vectors
+from churnwright.llm import bpe, decontaminate, language, quality, sharding, simhash, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.query,
     "op2_decontaminate": decontaminate.query,
+    "op3_sharding": sharding.query,
     "op4_quality": quality.query,
     "op6_toxicity": toxicity.query,
     "op7_language": language.query,
