@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwright.llm import bpe, decontaminate, language, quality, sharding, simhash, toxicity, vectors
+from churnwright.llm import bpe, decontaminate, language, quality, sharding, simhash, substrings, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.query,
     "op2_decontaminate": decontaminate.query,
     "op3_sharding": sharding.query,
     "op4_quality": quality.query,
+    "op5_substrings": substrings.query,
     "op6_toxicity": toxicity.query,
     "op7_language": language.query,
     "op9_vectors": vectors.query,
@@ -21,5 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_decontaminate": decontaminate.SQL,
+    "op5_substrings": substrings.SQL,
     "op9_vectors": vectors.SQL,
 }
