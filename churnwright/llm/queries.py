@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnwright.llm import bpe, decontaminate, language, quality, sharding, simhash, substrings, toxicity, vectors
+from churnwright.llm import bpe, decontaminate, language, pii, quality, sharding, simhash, substrings, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.query,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substrings": substrings.query,
     "op6_toxicity": toxicity.query,
     "op7_language": language.query,
+    "op8_pii": pii.query,
     "op9_vectors": vectors.query,
     "op10_bpe": bpe.query,
 }

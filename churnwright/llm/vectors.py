@@ -32,7 +32,7 @@ from churnwright.llm.learning import by_hash
 from churnwright.session import stage
 
 THRESHOLD = 0.98
-TILE = 512
+TILE = 1024
 PIVOTS = 256
 SLACK = 1e-9  # for the rounding of the bounds themselves
 
@@ -68,6 +68,7 @@ def tile_links(a: dict, b: dict, same: bool, threshold: float) -> tuple[np.ndarr
     keep = np.zeros(len(i), bool)
     for at in range(0, len(i), 50_000):
         x, y = a["x"][i[at : at + 50_000]], b["x"][j[at : at + 50_000]]
+        x, y = x / np.abs(x).max(axis=1, keepdims=True), y / np.abs(y).max(axis=1, keepdims=True)
         cosine = np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y))
         keep[at : at + 50_000] = cosine >= threshold
     return i[keep], j[keep]
@@ -87,7 +88,7 @@ def lowest(i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
 def unpack(row: dict, side: str) -> dict:
     """A tile's arrays from its row."""
     n = row[f"{side}_n"]
-    x = np.frombuffer(row[f"{side}_x"], "<f8").reshape(n, -1)
+    x = np.frombuffer(row[f"{side}_x"], "<f4" if row["single"] else "<f8").reshape(n, -1).astype(float)
     q, scale, error = quantised(unit(x))
     return {
         "ids": np.frombuffer(row[f"{side}_ids"], "<i8"),
@@ -105,8 +106,8 @@ def tiles(reps: DataFrame, tile: int = TILE, pivots: int = PIVOTS) -> DataFrame:
     ``reps`` has (label, dim, vector, rep, copies).
     """
     spark = reps.sparkSession
-    n = reps.count()
-    wanted = min(pivots, max(1, math.ceil(n / tile)))
+    largest = reps.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    wanted = min(pivots, max(1, math.ceil(largest / tile)))
     chosen = [r.vector for r in by_hash(reps.select("rep", "vector"), "rep", wanted).orderBy("rep").collect()]
     by_dim: dict[int, np.ndarray] = {}
     for d in {len(v) for v in chosen}:
@@ -125,22 +126,24 @@ def tiles(reps: DataFrame, tile: int = TILE, pivots: int = PIVOTS) -> DataFrame:
     cells = placed.groupBy("label", "dim", "pivot").agg(F.ceil(F.count("*") / tile).cast("int").alias("chunks"))
     cell = ["label", "dim", "pivot"]
     chunked = placed.join(cells, cell).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    chunked = chunked.repartition(*cell, "chunk")  # or a large cell would stay in the one task that its join needed
+    single = dict(reps.dtypes)["vector"] == "array<float>"
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rep")
-        x = np.array(rows["vector"].tolist(), dtype="<f8")
-        u = unit(x)
+        x = np.array(rows["vector"].tolist(), dtype="<f4" if single else "<f8")
+        u = unit(x.astype(float))
         centre = u.mean(axis=0)
         centre = centre / max(np.linalg.norm(centre), 1e-12) if np.linalg.norm(centre) > 1e-9 else u[0]
         angle = float(np.arccos(np.clip(u @ centre, -1, 1)).max())
         made = {
             "label": key[0], "dim": key[1], "tile": f"{key[2]}-{key[3]}", "n": len(x), "ids": rows["rep"].to_numpy("<i8").tobytes(),
-            "copies": rows["copies"].to_numpy("<i8").tobytes(), "x": x.tobytes(), "centre": [centre.tolist()], "angle": angle,
+            "copies": rows["copies"].to_numpy("<i8").tobytes(), "x": x.tobytes(), "single": single, "centre": [centre.tolist()], "angle": angle,
         }
         return pd.DataFrame(made, index=[0])
 
     kind = dict(reps.dtypes)["label"]
-    schema = f"label {kind}, dim int, tile string, n int, ids binary, copies binary, x binary, centre array<double>, angle double"
+    schema = f"label {kind}, dim int, tile string, n int, ids binary, copies binary, x binary, single boolean, centre array<double>, angle double"
     return chunked.groupBy(*cell, "chunk").applyInPandas(pack, schema)
 
 
@@ -153,8 +156,8 @@ def linked(reps: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> D
     cosine = F.aggregate(F.zip_with("ca", "cb", lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
     apart = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))
     pairs = a.join(b, ["label", "dim"]).where("a <= b").where(apart <= F.col("ra") + F.col("rb") + math.acos(threshold) + 1e-6).select("label", "dim", "a", "b")
-    side = lambda s: packed.select("label", "dim", F.col("tile").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", "ids", "copies", "x")])
-    both = pairs.join(side("a"), ["label", "dim", "a"]).join(side("b"), ["label", "dim", "b"])
+    side = lambda s: packed.select("label", "dim", F.col("tile").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", "ids", "copies", "x", "single")])
+    both = pairs.join(side("a"), ["label", "dim", "a"]).join(side("b"), ["label", "dim", "b"]).withColumn("single", F.col("a_single"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,14 +177,16 @@ def linked(reps: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> D
                 on = links > 0
                 yield pa.RecordBatch.from_arrays([pa.array(ids[on]), pa.array(links[on]), pa.array(low[on])], names=["rep", "links", "low"])
 
-    return both.select("a", "b", *[f"{s}_{c}" for s in "ab" for c in ("n", "ids", "copies", "x")]).mapInArrow(run, "rep bigint, links bigint, low bigint")
+    return both.select("a", "b", "single", *[f"{s}_{c}" for s in "ab" for c in ("n", "ids", "copies", "x")]).mapInArrow(run, "rep bigint, links bigint, low bigint")
 
 
 def near_duplicates(
     vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", tile: int = TILE
 ) -> DataFrame:
     """(id, n_links, component_id, kept) for every row of ``vectors``."""
-    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("vector"), F.col(f"`{label_col}`").alias("label"))
+    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").alias("vector"), F.col(f"`{label_col}`").alias("label"))
+    if dict(rows.dtypes)["vector"] != "array<float>":
+        rows = rows.withColumn("vector", F.col("vector").cast("array<double>"))
     inf = float("inf")
     sound = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != inf)
     able = F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("vector").isNotNull() & F.forall("vector", sound) & F.exists("vector", lambda v: v != 0)
