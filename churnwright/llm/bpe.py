@@ -291,7 +291,7 @@ def decoded(rows: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", id
 
 
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) for every row: encoded, and decoded again from the ids."""
+    """(id, n_tokens, ids_sha256, decoded_sha256, ids) for every row: encoded, and decoded again from the ids."""
     held = docs.sparkSession.sparkContext.broadcast((ranks, pattern, {}))
 
     def make() -> Callable[[list], list[tuple]]:
@@ -300,11 +300,11 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: s
         def one(text: bytes) -> tuple:
             packed = coder.encode(text.decode("utf-8", "replace"))
             back = decode_bytes(np.frombuffer(packed, "<u4"), tokens)
-            return len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(back).hexdigest()
+            return len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(back).hexdigest(), packed
 
         return lambda texts: [one(t) for t in texts]
 
-    return map_rows(docs.select(F.col(f"`{id_col}`"), text_bytes(text_col)), make, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return map_rows(docs.select(F.col(f"`{id_col}`"), text_bytes(text_col)), make, "n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids binary")
 
 
 def public_ranks() -> tuple[dict[bytes, int], str]:
@@ -314,4 +314,4 @@ def public_ranks() -> tuple[dict[bytes, int], str]:
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    return round_trip(table(spark, folder, "documents"), *public_ranks())
+    return round_trip(table(spark, folder, "documents"), *public_ranks()).drop("ids")

@@ -53,6 +53,20 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[list], list[tuple]]], s
     return df.mapInArrow(run, full)
 
 
+def filter_rows(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
+    """The rows of ``df``, with all their columns, for whose text (as bytes, null as empty) the made function says so."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keeps = make()
+        for batch in batches:
+            for piece in pieces(batch):
+                texts = [t or b"" for t in piece.column(at).cast(pa.binary()).to_pylist()]
+                yield piece.filter(pa.array(keeps(texts), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def arrow_types(schema: str) -> pa.Schema:
     """The Arrow types of a flat ``name type`` list."""
     kinds = {

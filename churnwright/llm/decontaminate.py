@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnwright.llm.common import map_rows, table, text_bytes
+from churnwright.llm.common import filter_rows, map_rows, table, text_bytes
 
 WINDOW = 13
 BLOCK_BYTES = 4_000_000
@@ -89,6 +89,11 @@ def blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> tu
     return named.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(count))), count
 
 
+def block_items(named: DataFrame, k: int) -> list[tuple[str, bytes]]:
+    """The items of one block; its size is bounded."""
+    return [(r.item, bytes(r.text)) for r in named.where(F.col("block") == k).select("item", "text").distinct().collect()]
+
+
 def matches(
     docs: DataFrame,
     items: DataFrame,
@@ -103,7 +108,7 @@ def matches(
     named, count = blocks(items, item_col, item_text, block_bytes)
 
     def scanner(k: int) -> Callable[[], Callable[[list], list[tuple]]]:
-        held = [(r.item, bytes(r.text)) for r in named.where(F.col("block") == k).select("item", "text").distinct().collect()]
+        held = block_items(named, k)
 
         def make() -> Callable[[list], list[tuple]]:
             found = automaton(held, window)
@@ -146,11 +151,26 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    found = matches(docs, items, id_col, text_col)
-    bad = found.where(is_contaminated(F.size("hits").cast("long"), F.col("n_words"))).select(F.col(f"`{id_col}`").alias("__bad")).distinct()
-    return docs.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col("__bad")), "left_anti")
+    named, count = blocks(items, item_col, item_text, block_bytes)
+    if count > 1:
+        keyed = docs.select(F.sha2(text_bytes(text_col), 256).alias("digest"), F.col(f"`{text_col}`").alias("text"))
+        found = matches(keyed, items, "digest", "text", item_col, item_text, block_bytes=block_bytes)
+        bad = found.where(is_contaminated(F.size("hits").cast("long"), F.col("n_words"))).select(F.col("digest").alias("__bad")).distinct()
+        return docs.join(bad, F.sha2(text_bytes(text_col), 256) == F.col("__bad"), "left_anti")
+    held = block_items(named, 0)
+
+    def make() -> Callable[[list], list[bool]]:
+        found = automaton(held)
+
+        def clean(text: bytes) -> bool:
+            n_words, hits, _, _ = scan(found, text)
+            return not (hits and 20 * len(hits) >= n_words)
+
+        return lambda texts: [clean(t) for t in texts]
+
+    return filter_rows(docs, text_col, make)
 
 
 SQL = r"""

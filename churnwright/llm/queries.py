@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from churnwright.llm import bpe, decontaminate, language, pii, quality, sharding, simhash, substrings, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
     "op1_simhash": simhash.query,
     "op2_decontaminate": decontaminate.query,
     "op3_sharding": sharding.query,

@@ -122,13 +122,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names its component; of repeated ids all rows stay.
+    """One row of each component: the one with its smallest id; rows with a null id stay.
 
-    A row with a null id stays.
+    Of rows that repeat an id the one with the smallest text hash stays.
     """
-    kept = near_duplicates(docs, id_col, text_col).where(f"`{id_col}` = component_id").select(F.col(f"`{id_col}`").alias("__kept")).distinct()
-    named = docs.where(F.col(f"`{id_col}`").isNotNull()).join(kept, F.col(f"`{id_col}`") == F.col("__kept"), "left_semi")
-    return named.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+    found = stage(near_duplicates(docs, id_col, text_col).withColumnRenamed(id_col, "__kept"), "simhash-found")
+    kept = found.where("`__kept` = component_id").groupBy("__kept").agg(F.count("*").alias("__n"))
+    unnamed = docs.where(F.col(f"`{id_col}`").isNull())
+    named = docs.join(kept.select("__kept"), F.col(f"`{id_col}`") == F.col("__kept"), "left_semi")
+    if not kept.where("__n > 1").isEmpty():
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        named = named.groupBy(F.col(f"`{id_col}`").alias("__kept")).agg(F.min_by(row, F.xxhash64(F.col(f"`{text_col}`"))).alias("__row")).select("__row.*")
+    return named.unionByName(unnamed)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnwright.llm.common import map_rows, table, text_bytes
+from churnwright.llm.common import filter_rows, map_rows, table, text_bytes
 from churnwright.llm.learning import fit_logistic, held_out, labelled_sample, with_texts
 from churnwright.session import stage
 
@@ -183,15 +183,17 @@ def measured(rows: DataFrame, weights: dict[bytes, float], exceptions: list[byte
     def make() -> Callable[[list], list[tuple]]:
         lexicon = Lexicon(weights, exceptions)
 
-        def one(text: bytes) -> tuple[float, int]:
-            words = fold(text)
-            return float(sum(lexicon.hits(line_of(words)).values())), len(words)
-
-        return lambda texts: [one(t) for t in texts]
+        return lambda texts: [weighed(lexicon, t) for t in texts]
 
     return map_rows(rows, make, "total double, n bigint")
 
 
+def weighed(lexicon: Lexicon, text: bytes) -> tuple[float, int]:
+    """The weight of a text's hits and its number of words."""
+    words = fold(text)
+    return float(sum(lexicon.hits(line_of(words)).values())), len(words)
+
+
 def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) for every row of ``docs``."""
     found = measured(docs.select(F.col(f"`{id_col}`"), text_bytes(text_col)), model["weights"], model["exceptions"])
@@ -207,7 +209,17 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", PARTS, AT), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def drop_toxic(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_toxic(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with a score below one half, with all their columns."""
-    bad = scored(docs, model, id_col, text_col).where("score >= 0.5").select(F.col(f"`{id_col}`").alias("__bad")).distinct()
-    return docs.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col("__bad")), "left_anti")
+
+    def make() -> Callable[[list], list[bool]]:
+        lexicon = Lexicon(model["weights"], model["exceptions"])
+        weights = np.array(model["score"])
+
+        def clean(text: bytes) -> bool:
+            total, n = weighed(lexicon, text)
+            return bool(inputs(np.array([total]), np.array([n]))[0] @ weights[:-1] + weights[-1] < 0)
+
+        return lambda texts: [clean(t) for t in texts]
+
+    return filter_rows(docs, text_col, make)
