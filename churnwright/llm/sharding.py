@@ -29,7 +29,7 @@ from churnwright.session import stage
 
 SHARDS = 16
 CELLS = 256
-ROUNDS = 8
+ROUNDS = 12
 BUCKETS = 1024
 
 
@@ -48,7 +48,9 @@ def requests(state: DataFrame, free: list[int], quota: int, turn: int) -> DataFr
     ranked = votes.groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("v", (-F.col("shard")).alias("s"))), asc=False).alias("ranked"))
     both = state.join(ranked, "grp")
     wide = F.greatest(F.lit(1), F.ceil(F.col("total") / quota + F.when(F.col("total") > quota, 1).otherwise(0))).cast("int")
-    room = lambda x: pick(free, -x.s) > 0
+    # a small group needs room for all its other documents, a cell of a large one for itself
+    need = lambda x: F.when(F.col("total") * 8 <= quota, F.col("total") - x.v).otherwise(F.col("n"))
+    room = lambda x: (pick(free, -x.s) > 0) & (pick(free, -x.s) >= need(x))
     best = F.slice("ranked", F.lit(1), wide)
     opened = F.filter(best, room)
     opened = F.when(F.size(opened) > 0, opened).otherwise(F.slice(F.filter("ranked", room), F.lit(1), wide))
@@ -56,8 +58,13 @@ def requests(state: DataFrame, free: list[int], quota: int, turn: int) -> DataFr
     to = F.get(opened, spread)
     own = F.filter("ranked", lambda x: -x.s == F.col("shard"))[0]["v"]
     stays = F.exists(best, lambda x: -x.s == F.col("shard")) | to.isNull() | (to["v"] < own)
+    # a small group that is split over full shards only moves as a whole to any shard with room
+    others = [s for s, n in enumerate(free) if n > 0 and 2 * n >= max(free)]
+    whole = to.isNull() & (F.size("ranked") > 1) & (F.col("total") * 8 <= quota) if others else F.lit(False)
+    other = pick(others or [0], F.pmod(F.xxhash64("grp", F.lit(turn)), F.lit(max(1, len(others)))).cast("int")).cast("int")
+    dest = F.when(whole, other).when(~stays, -to["s"])
     ticket = F.xxhash64("grp", F.when(F.col("total") * 8 > quota, F.col("cell")).otherwise(-1), F.lit(turn))
-    return both.select("grp", "cell", "n", "total", "shard", F.when(~stays, -to["s"]).alias("dest"), F.pmod(ticket, F.lit(BUCKETS)).cast("int").alias("bucket"))
+    return both.select("grp", "cell", "n", "total", "shard", dest.alias("dest"), F.pmod(ticket, F.lit(BUCKETS)).cast("int").alias("bucket"))
 
 
 def let_in(asked: DataFrame, free: list[int]) -> list[int]:
@@ -78,9 +85,8 @@ def propagate(cells: DataFrame, n: int, shards: int, rounds: int) -> DataFrame:
         asked = stage(requests(state, free, max(1, quota[-1]), turn), "shard-asked")
         cut = let_in(asked, free)
         moves = F.col("dest").isNotNull() & (F.col("bucket") < pick(cut, F.col("dest")))
-        moved = asked.where(moves).agg(F.count("*")).first()[0]
         state = asked.select("grp", "cell", "n", "total", F.when(moves, F.col("dest")).otherwise(F.col("shard")).alias("shard"))
-        if not moved:
+        if asked.where("dest is not null").isEmpty():
             break
     return state
 
