@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnwright.functions import count_where, tidy_text
+from churnwright.operators.monitoring import unknown_values
 from churnwright.operators.profiling import text_values
 
 
@@ -131,3 +132,15 @@ def conformance(df: DataFrame, contract: Mapping[str, Mapping]) -> DataFrame:
     rows = [F.struct(F.lit(c).alias("column"), F.lit(r).alias("rule"), F.lit(1).cast("bigint").alias("n")) for c, r in found]
     rows += [F.struct(F.lit(c).alias("column"), F.lit(r).alias("rule"), F.col(f"c{i}").alias("n")) for i, (c, r, _) in enumerate(counted)]
     return df.agg(*aggs).select(F.inline(F.array(*rows))).where("n > 0")
+
+
+def contract_violations(df: DataFrame, columns: DataFrame, values: DataFrame) -> DataFrame:
+    """``conformance`` to a written contract: its table of columns, and its complete table of category values."""
+    contract = {}
+    for r in columns.collect():  # one row per column
+        number = r["dtype"] not in ("string", "boolean") and not r["dtype"].startswith(("timestamp", "date"))
+        limits = {k: float(r[k]) for k in ("min", "max") if number and r[k] is not None}
+        contract[r["column"]] = {"type": r["dtype"], "nullable": r["nullable"], **limits}
+    texts = [c for c, want in contract.items() if want["type"] == "string" and c in df.columns]
+    found = conformance(df, contract)
+    return found.unionByName(unknown_values(df, values, texts)) if texts else found

@@ -32,9 +32,9 @@ def as_features(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) ->
     return long.select(*keep, "feature", known("value").alias("value")).where("value is not null")
 
 
-def shared_features(base: DataFrame, current: DataFrame, numeric: Sequence[str], limit: int | None = None) -> list[str]:
-    """The first ``limit`` of the numeric baseline columns, in order, as far as the current table has them too."""
-    return [c for c in numeric[:limit] if c in base.columns and c in current.columns]
+def shared_features(base: DataFrame, current: DataFrame, numeric: Sequence[str]) -> list[str]:
+    """The numeric baseline columns, in order, that the current table has too."""
+    return [c for c in numeric if c in base.columns and c in current.columns]
 
 
 def psi_edges(base: DataFrame, buckets: int = BUCKETS, *, exact: bool = True) -> DataFrame:
@@ -128,24 +128,56 @@ def ks_by(run: DataFrame, current_hist: DataFrame, by: Sequence[str]) -> DataFra
     return held.groupBy(*by, "feature").agg(F.max(gap).alias("ks"))
 
 
-def drift_table(base: DataFrame, current: DataFrame, by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
-    """``(by..., feature, psi, ks)`` from two long tables. The KS run-up is computed once and also gives the PSI edges and bins."""
+def every_feature(found: DataFrame, seen: DataFrame, by: Sequence[str], features: Sequence[str] | None, windows: DataFrame | None) -> DataFrame:
+    """``found`` with a row for each feature, in each window: those without values on one side have nulls.
+
+    ``seen`` holds the features of either side; ``features`` and ``windows`` add those without any value.
+    """
+    by = list(by)
+    names = seen.select("feature").distinct().groupBy().agg(F.collect_set("feature").alias("f")).scalar()  # one entry per feature
+    listed = F.array_distinct(F.concat(F.coalesce(names, F.array().cast("array<string>")), F.array(*[F.lit(f) for f in features or ()]).cast("array<string>")))
+    if by:
+        at = found.select(*by).distinct()
+        at = at.unionByName(windows.select(*by)).distinct() if windows is not None else at
+    else:
+        at = seen.sparkSession.range(1).select()
+    return at.withColumn("feature", F.explode(listed)).join(found, [*by, "feature"], "left").select(*found.columns)
+
+
+def drift_table(
+    base: DataFrame,
+    current: DataFrame,
+    by: Sequence[str] = (),
+    buckets: int = BUCKETS,
+    *,
+    features: Sequence[str] | None = None,
+    windows: DataFrame | None = None,
+) -> DataFrame:
+    """``(by..., feature, psi, ks)`` from two long tables. The KS run-up is computed once and also gives the PSI edges and bins.
+
+    Every feature of either side has a row, in every window of the current side. psi and ks are null where a side has no
+    value. Name ``features`` and ``windows`` that may have no value at all on either side.
+    """
     by, probs = list(by), edge_probs(buckets)
     if not by:
         run = pooled_run(base, current)
         e, a = run.where("e > 0"), run.where("a > 0")
         edges = inner_edges(from_run(e, probs, ["feature"], value="value", count="e", upto="_e", total="_ne"))
-        return psi(e, a, edges, base_n="e", current_n="a").join(ks_of_run(run), "feature")
+        found = psi(e, a, edges, base_n="e", current_n="a").join(ks_of_run(run), "feature", "full")
+        return every_feature(found, run, by, features, windows)
     hist = stage(current.groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("a")), "current")
     run = base_run(base, hist)
     e = run.where("e > 0")
     edges = inner_edges(from_run(e, probs, ["feature"], value="value", count="e", upto="_t", total="_ne"))
-    return psi(e, hist, edges, by, base_n="e", current_n="a").join(ks_by(run, hist, by), [*by, "feature"])
+    found = psi(e, hist, edges, by, base_n="e", current_n="a").join(ks_by(run, hist, by), [*by, "feature"], "full")
+    seen = hist.select(*by).distinct()
+    return every_feature(found, run, by, features, seen.unionByName(windows.select(*by)) if windows is not None else seen)
 
 
 def with_severity(drift: DataFrame) -> DataFrame:
     severity = (
-        F.when(F.col("psi").isNull(), F.lit("unknown"))
+        F.when(F.col("psi").isNull() & F.col("ks").isNull(), F.lit("missing"))  # a side without values
+        .when(F.col("psi").isNull(), F.lit("unknown"))
         .when(F.col("psi") < PSI_MODERATE, F.lit("stable"))
         .when(F.col("psi") <= PSI_SIGNIFICANT, F.lit("moderate"))
         .otherwise(F.lit("significant"))

@@ -69,6 +69,14 @@ def ordinal_encode(df: DataFrame, col: str, codes: DataFrame, out: str) -> DataF
     return found.select(*df.columns, F.coalesce("code", F.lit(-1)).alias(out))
 
 
+def one_hot_values(train: DataFrame, col: str, most: int = 2_000) -> list[str]:
+    """The values of a category on the training side, in order: one column each. More than ``most`` are an error, not cut off."""
+    values = [r["value"] for r in train.select(F.col(col).cast("string").alias("value")).where("value is not null").distinct().orderBy("value").limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"{col} has more than {most} values; use frequency_encode or ordinal_encode")
+    return values
+
+
 def one_hot(df: DataFrame, col: str, values: Sequence[str], prefix: str | None = None) -> DataFrame:
     """A 0/1 column for each listed value; a value that is not listed is all zeros."""
     p = prefix or col

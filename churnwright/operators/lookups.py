@@ -7,23 +7,39 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32_000_000
 SPREAD = 4096
 
 
+def size_of(table: DataFrame) -> int:
+    """Bytes of a table's rows: eight per fixed column, nested values as their JSON text."""
+    fixed, parts = 0, []
+    for f in table.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.octet_length(c))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.octet_length(F.to_json(F.struct(c))))
+        fixed += 8
+    varying = reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0)) for p in parts], F.lit(0).cast("long"))
+    found = table.agg(F.count(F.lit(1)).alias("n"), F.sum(varying).alias("b")).first()
+    return found["n"] * (fixed + 16) + (found["b"] or 0)
+
+
 def lookup(
-    facts: DataFrame, table: DataFrame, on: Sequence[str], *, how: str = "left", hot_keys: int = 512, small_rows: int = BROADCAST_ROWS
+    facts: DataFrame, table: DataFrame, on: Sequence[str], *, how: str = "left", hot_keys: int = 512, small_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Join ``facts`` with a table that has one row per key.
 
-    The table is counted first, so stage() one that is costly to compute. A small one is
+    The table is measured first, so stage() one that is costly to compute. One of up to ``small_bytes`` is
     broadcast. Otherwise keys holding more than 1 / ``hot_keys`` of the facts (so fewer than ``hot_keys`` of them) are
     spread over as many salted copies of their table row as they have such shares. Rows
     without a key match nothing and are spread by their other columns.
     """
     on = list(on)
-    if table.count() <= small_rows:
+    if size_of(table) <= small_bytes:
         return facts.join(F.broadcast(table), on, how)
     counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_c"))
     total = facts.groupBy().agg(F.count(F.lit(1)).alias("n")).scalar()

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnwright.functions import count_where, ratio
-from churnwright.operators.profiling import distinct_counts, first_categories, null_profile, numeric_range, text_values
+from churnwright.functions import count_where, known, ratio
+from churnwright.operators.profiling import category_values, distinct_counts, first_categories, null_profile, numeric_range, text_values
 from churnwright.operators.sampling import sample_fraction
 
 
@@ -21,14 +21,30 @@ def capture(df: DataFrame, percent: float, key: str, seed: int = 42) -> DataFram
 def parse_csv_body(df: DataFrame, body: str, headers: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """A one-line, comma-separated body as named text columns. Fields past the headers are dropped.
 
-    Bodies without a comma or with a line break are no CSV requests and are left out.
+    Bodies without a comma or with a line break are no CSV requests and are left out; ``csv_rejects`` counts them.
     """
-    one_line = F.col(body).contains(",") & ~F.col(body).contains("\n")
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-    parsed = df.where(one_line).select(*keep, F.from_csv(F.col(body), schema.simpleString()[7:-1].replace(":", " "), {"mode": "PERMISSIVE"}).alias("_r"))
+    ddl = ", ".join("`{}` string".format(h.replace("`", "``")) for h in headers)
+    parsed = df.where(csv_fault(body).isNull()).select(*keep, F.from_csv(F.col(body), ddl, {"mode": "PERMISSIVE"}).alias("_r"))
     return parsed.select(*keep, "_r.*")
 
 
+def csv_fault(body: str) -> Column:
+    """Why a body is no CSV request, or null."""
+    return F.when(F.col(body).isNull(), "no body").when(F.col(body).contains("\n"), "more than one line").when(~F.col(body).contains(","), "no comma")
+
+
+def json_fault(body: str) -> Column:
+    """Why a body is no JSON object or list, or null."""
+    start = F.substring(F.ltrim(F.col(body)), 1, 1)
+    broken = F.try_parse_json(F.col(body)).isNull()
+    return F.when(F.col(body).isNull(), "no body").when(broken, "malformed").when(~start.isin("{", "["), "no object")
+
+
+def rejects(df: DataFrame, fault: Column) -> DataFrame:
+    """``(reason, n)``: how many rows were left out, and why; also on a stream."""
+    return df.select(fault.alias("reason")).where("reason is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     """Nested structs as flat columns named ``outer.inner``."""
 
@@ -44,51 +60,67 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
 
 
 def parse_json_body(df: DataFrame, body: str, record: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
-    """A JSON object, or a list of objects, as flat columns; a list gives one row per object."""
+    """A JSON object, or a list of objects, as flat columns; a list gives one row per object.
+
+    Bodies that are no JSON, or neither an object nor a list, are left out; ``rejects`` with ``json_fault`` counts them.
+    """
     is_list = F.ltrim(F.col(body)).startswith("[")
     many = F.from_json(F.col(body), T.ArrayType(record))
     one = F.array(F.from_json(F.col(body), record))
-    rows = df.select(*keep, F.explode(F.when(is_list, many).otherwise(one)).alias("_r")).where("_r is not null")
+    rows = df.where(json_fault(body).isNull()).select(*keep, F.explode(F.when(is_list, many).otherwise(one)).alias("_r")).where("_r is not null")
     return flatten(rows.select(*keep, "_r.*"))
 
 
-def baseline_limits(df: DataFrame, numeric: Sequence[str], categories: Sequence[str], max_values: int = 20) -> DataFrame:
-    """``(column, kind, completeness, min, max, n_distinct, categories)``: suggested limits from a baseline."""
+def baseline_limits(df: DataFrame, numeric: Sequence[str], categories: Sequence[str]) -> DataFrame:
+    """``(column, kind, completeness, min, max, n_distinct, example_values)``: suggested limits from a baseline.
+
+    The complete values of the categories are in ``profiling.category_values``.
+    """
     cols = [*numeric, *categories]
     full = null_profile(df, cols).select("column", (1 - F.col("null_ratio")).alias("completeness"))
     kinds = full.join(distinct_counts(df, cols), "column")
     if numeric:
         kinds = kinds.join(numeric_range(df, numeric).select("column", "min", "max"), "column", "left")
     if categories:
-        kinds = kinds.join(first_categories(df, categories, max_values).select("column", "categories"), "column", "left")
+        kinds = kinds.join(first_categories(df, categories).select("column", "example_values"), "column", "left")
     is_num = F.col("column").isin(list(numeric)) if numeric else F.lit(False)
     return kinds.withColumn("kind", F.when(is_num, F.lit("numeric")).otherwise(F.lit("category")))
 
 
-def violations(current: DataFrame, baseline: DataFrame, numeric: Sequence[str], categories: Sequence[str], max_values: int = 20) -> DataFrame:
+def violations(current: DataFrame, baseline: DataFrame, numeric: Sequence[str], categories: Sequence[str]) -> DataFrame:
     """``(column, rule, n)``: how many current rows breach the baseline's completeness, range or category limits.
 
-    Category limits hold for columns whose baseline has at most ``max_values`` values.
+    A category breaches if the baseline never has it, however many values a column has. Without any baseline value
+    there is no category limit.
     """
-    limits = baseline_limits(baseline, numeric, categories, max_values)
-    held = limits.groupBy().agg(
-        F.map_from_entries(F.collect_list(F.struct("column", F.struct("completeness", "min", "max", "n_distinct", "categories")))).alias("m")
-    ).scalar()  # one entry per column
-    of = lambda c, f: F.col("_m")[c].getField(f)
-    with_limits = current.withColumn("_m", held)
+    cols = [*numeric, *categories]
+    known_share = lambda c: F.avg(F.col(c).isNotNull().cast("double"))
+    kept = [known_share(c).alias(f"full{i}") for i, c in enumerate(cols)]
+    for i, c in enumerate(numeric):
+        v = known(F.col(c).cast("double"))
+        kept += [F.min(v).alias(f"low{i}"), F.max(v).alias(f"high{i}")]
+    held = baseline.groupBy().agg(*kept).select(F.struct("*").alias("m")).scalar()  # one row
     counted = []
-    for c in numeric:
+    for i, c in enumerate(numeric):
         v = F.col(c).cast("double")
-        counted.append((c, "range", count_where((v < of(c, "min")) | (v > of(c, "max")))))
-    for c in categories:
-        known = F.array_contains(of(c, "categories"), F.col(c).cast("string"))
-        counted.append((c, "category", count_where((of(c, "n_distinct") <= max_values) & ~known)))
-    for c in [*numeric, *categories]:
-        short = F.max(of(c, "completeness")) > F.avg(F.col(c).isNotNull().cast("double"))
+        counted.append((c, "range", count_where((v < F.col(f"_m.low{i}")) | (v > F.col(f"_m.high{i}")))))
+    for i, c in enumerate(cols):
+        short = F.max(F.col(f"_m.full{i}")) > known_share(c)
         counted.append((c, "completeness", F.when(short, count_where(F.col(c).isNull())).otherwise(F.lit(0)).cast("bigint")))
-    wide = with_limits.agg(*[a.alias(f"c{i}") for i, (_, _, a) in enumerate(counted)])
+    wide = current.withColumn("_m", held).agg(*[a.alias(f"c{i}") for i, (_, _, a) in enumerate(counted)])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("rule"), F.col(f"c{i}").alias("n")) for i, (c, r, _) in enumerate(counted)])
-    return wide.select(F.inline(rows)).where("n > 0")
+    found = wide.select(F.inline(rows))
+    if categories:
+        found = found.unionByName(unknown_values(current, category_values(baseline, categories), categories))
+    return found.where("n > 0")
+
+
+def unknown_values(current: DataFrame, values: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """``(column, rule, n)``: rows whose category is not in the complete table ``(column, value)``; columns without a value there have no limit."""
+    counts = text_values(current, categories).where("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    limited = counts.join(values.select("column").distinct(), "column", "left_semi")
+    unseen = limited.join(values, ["column", "value"], "left_anti")
+    return unseen.groupBy("column").agg(F.lit("category").alias("rule"), F.sum("n").alias("n"))
 
 
 def alerts(table: DataFrame, breach: Column, kind: str, subject: str, detail: Column) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -50,7 +51,7 @@ def value_counts(df: DataFrame, col: str, *, drop_null: bool = True) -> DataFram
     """``(value, n, share)`` over the counted rows."""
     rows = df.where(F.col(col).isNotNull()) if drop_null else df
     counts = rows.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    total = rows.groupBy().agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = counts.groupBy().agg(F.sum("n").alias("n")).scalar()  # the counts' exchange is used again
     return counts.withColumn("share", F.col("n") / total)
 
 
@@ -93,18 +94,23 @@ def numeric_range(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
+def category_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, value)``: every value of every column, one row each."""
+    return text_values(df, cols).where("value is not null").groupBy("column", "value").agg(F.lit(1).alias("_")).drop("_")
+
+
 def first_categories(df: DataFrame, cols: Sequence[str], k: int = EXAMPLES) -> DataFrame:
-    """``(column, n_categories, categories)``: the first ``k`` values in order, as an array."""
-    values = text_values(df, cols).where("value is not null").groupBy("column", "value").agg(F.lit(1).alias("_"))
+    """``(column, n_categories, example_values)``: the first ``k`` values in order, as an array."""
+    values = category_values(df, cols)
     sizes = values.groupBy("column").agg(F.count(F.lit(1)).alias("n_categories"))
     # the rank filter is applied before the shuffle too, so a task sends at most k values per column
     top = values.withColumn("rn", F.row_number().over(Window.partitionBy("column").orderBy("value"))).where(F.col("rn") <= k)
-    listed = top.groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("categories"))
+    listed = top.groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("example_values"))
     return sizes.join(listed, "column")
 
 
 def schema_profile(df: DataFrame, k: int = EXAMPLES) -> DataFrame:
-    """``(column, dtype, nullable, min, max, n_categories, categories)``, one row per column."""
+    """``(column, dtype, nullable, min, max, n_categories, example_values)``, one row per column."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     numeric = columns_of(df, (T.NumericType,))
     times = columns_of(df, TIMES)
@@ -135,7 +141,7 @@ def schema_profile(df: DataFrame, k: int = EXAMPLES) -> DataFrame:
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p, allowMissingColumns=True)
-    for name, kind in (("min", "string"), ("max", "string"), ("n_categories", "bigint"), ("categories", "array<string>")):
+    for name, kind in (("min", "string"), ("max", "string"), ("n_categories", "bigint"), ("example_values", "array<string>")):
         if name not in merged.columns:
             merged = merged.withColumn(name, F.lit(None).cast(kind))
     dtype = F.create_map(*[x for kv in types.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
@@ -146,14 +152,14 @@ def schema_profile(df: DataFrame, k: int = EXAMPLES) -> DataFrame:
         "min",
         "max",
         "n_categories",
-        "categories",
+        "example_values",
     )
 
 
 def means_by_target(df: DataFrame, cols: Sequence[str], target: str, classes: Sequence) -> DataFrame:
     """``(column, mean_<class>...)``."""
     wide = df.groupBy().agg(
-        *[F.avg(F.when(F.col(target) == k, F.col(c).cast("double"))).alias(f"{i}_{k}") for i, c in enumerate(cols) for k in classes]
+        *[F.avg(F.when(F.col(target) == k, known(F.col(c).cast("double")))).alias(f"{i}_{k}") for i, c in enumerate(cols) for k in classes]
     )
     rows = F.array(
         *[F.struct(F.lit(c).alias("column"), *[F.col(f"{i}_{k}").alias(f"mean_{k}") for k in classes]) for i, c in enumerate(cols)]
@@ -282,11 +288,11 @@ def _v_from_sums(x: str, y: str) -> Column:
     return F.when(smaller > 0, F.sqrt(F.greatest(chi2, F.lit(0.0)) / n / smaller))
 
 
-def association_ranking(df: DataFrame, target: str, max_cat_unique: int = 20) -> DataFrame:
+def association_ranking(df: DataFrame, target: str, max_cat_unique: int | None = None) -> DataFrame:
     """``(feature, correlation, method)``: point-biserial for numbers, Cramér's V for categories.
 
-    Columns with at most one distinct value are skipped, as are non-text, non-numeric
-    columns with more than ``max_cat_unique`` values. Null is a category of its own.
+    Columns with at most one distinct value are left out. With ``max_cat_unique`` the other columns that are
+    neither text nor numbers and have more values are not ranked: their method is ``skipped``. Null is a category of its own.
     """
     numeric = columns_of(df, (T.NumericType, T.BooleanType), skip=[target])
     texts = columns_of(df, (T.StringType,))
@@ -298,11 +304,15 @@ def association_ranking(df: DataFrame, target: str, max_cat_unique: int = 20) ->
         parts.append(varies.where("varies").select("column", F.col("r").alias("correlation"), F.lit("point-biserial").alias("method")))
     if cats:
         texty = F.col("column").isin(texts) if texts else F.lit(False)
-        wanted = distinct_counts(df, cats).where((F.col("n_distinct") > 1) & (texty | (F.col("n_distinct") <= max_cat_unique)))
+        varied = distinct_counts(df, cats).where(F.col("n_distinct") > 1)
+        ranked = texty | (F.col("n_distinct") <= max_cat_unique) if max_cat_unique is not None else F.lit(True)
+        wanted = varied.where(ranked)
+        if max_cat_unique is not None:
+            parts.append(varied.where(~ranked).select("column", F.lit(None).cast("double").alias("correlation"), F.lit("skipped").alias("method")))
         long = text_values(df, cats, [target]).withColumn("value", F.coalesce("value", F.lit("<NA>")))
         found = cramers_v(long, "value", target, ["column"]).join(wanted, "column", "left_semi")
         parts.append(found.select("column", F.col("v").alias("correlation"), F.lit("cramers_v").alias("method")))
-    ranked = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    ranked = reduce(DataFrame.unionByName, parts)
     return ranked.select(F.col("column").alias("feature"), "correlation", "method").orderBy(F.desc_nulls_last("correlation"), "feature")
 
 

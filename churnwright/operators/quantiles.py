@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnwright.functions import known
-from churnwright.operators.lookups import BROADCAST_ROWS
+from churnwright.operators.lookups import BROADCAST_BYTES, size_of
 from churnwright.operators.ordered import ordered_scan
 from churnwright.session import chunks_for, stage
 
@@ -89,7 +89,7 @@ def _bracketed(rows: DataFrame, probs: Sequence[float], by: Sequence[str]) -> Da
         ),
         "sketch",
     )
-    if sketch.count() > BROADCAST_ROWS:
+    if size_of(sketch) > BROADCAST_BYTES:
         return None
     small = F.col("_n") <= SMALL_GROUP
     low = lambda i: F.when(small | F.lit(lows[i] <= 0.0), F.col("_min")).otherwise(F.col("_a")[i])

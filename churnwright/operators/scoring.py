@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnwright.functions import count_where, ratio
+from churnwright.functions import count_where, known, ratio
 from churnwright.operators.lookups import beside
 from churnwright.operators.ordered import ordered_scan
 from churnwright.operators.sampling import best_row
@@ -29,6 +29,7 @@ def threshold_curve(df: DataFrame, label: str = "label", score: str = "score", b
     ``tp`` and ``fp`` count the rows with ``score >= threshold``.
     """
     by = list(by)
+    df = df.withColumn(score, known(F.col(score).cast("double")))
     rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
     y = F.col(label).cast("long")
     hist = stage(
@@ -161,7 +162,7 @@ def class_report(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def brier(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
-    gap = F.col(score) - F.col(label)
+    gap = known(F.col(score).cast("double")) - F.col(label)
     return df.groupBy(*by).agg(F.avg(gap * gap).alias("brier"))
 
 

@@ -100,7 +100,7 @@ def lookback(
     if flag is not None:
         aggs.append(F.sum(flag.cast("long")).alias("_f"))
     daily = _daily(events, who, ts, aggs)
-    asked = anchors.select(who, F.col(anchor_day).cast("date").alias("_day")).distinct()
+    asked = anchors.select(who, F.col(anchor_day).cast("date").alias("_day")).where(F.col(who).isNotNull() & F.col("_day").isNotNull()).distinct()
     grid = daily.withColumn("_has", F.col("_day")).unionByName(asked.withColumn("_ask", F.lit(True)), allowMissingColumns=True)
     # at most two rows per customer and calendar day
     w = Window.partitionBy(who).orderBy(_day_number("_day"))
@@ -130,7 +130,10 @@ def lookback(
         ]
     cols.append((F.col(f"{prefix}_count") > 0).cast("int").alias(f"{prefix}_was_seen"))
     per_day = seen.select(F.col(who), F.col("_day"), *cols)
-    return lookup(anchors.withColumn("_day", F.col(anchor_day).cast("date")), stage(per_day, "lookback"), [who, "_day"]).drop("_day")
+    found = lookup(anchors.withColumn("_day", F.col(anchor_day).cast("date")), stage(per_day, "lookback"), [who, "_day"]).drop("_day")
+    # a row without a customer or day has seen nothing, as a customer without events
+    none = [f"{prefix}_count", f"{prefix}_total", f"{prefix}_hits", f"{prefix}_any", f"{prefix}_was_seen"]
+    return found.fillna(0, [c for c in none if c in found.columns and c not in anchors.columns])
 
 
 def lookback_distinct(anchors: DataFrame, events: DataFrame, *, who: str, anchor_day: str, ts: str, what: str, days: int, out: str) -> DataFrame:
@@ -140,7 +143,7 @@ def lookback_distinct(anchors: DataFrame, events: DataFrame, *, who: str, anchor
     next occurrence takes over. The spans of one value do not overlap, so the number of
     distinct values on a day is the running sum of span starts less span ends.
     """
-    by_value = events.where(F.col(what).isNotNull()).select(who, F.to_date(ts).alias("_day"), F.col(what).alias("_v")).distinct()
+    by_value = events.where(F.col(what).isNotNull() & F.col(who).isNotNull() & F.col(ts).isNotNull()).select(who, F.to_date(ts).alias("_day"), F.col(what).alias("_v")).distinct()
     nxt = F.lead("_day").over(Window.partitionBy(who, "_v").orderBy("_day"))
     spans = by_value.select(
         who, F.date_add("_day", 1).alias("_from"), F.date_add(F.least(F.date_add("_day", days), F.coalesce(nxt, F.date_add("_day", days))), 1).alias("_to")
@@ -148,32 +151,35 @@ def lookback_distinct(anchors: DataFrame, events: DataFrame, *, who: str, anchor
     steps = spans.select(
         who, F.inline(F.array(F.struct(F.col("_from").alias("_day"), F.lit(1).alias("_d")), F.struct(F.col("_to").alias("_day"), F.lit(-1).alias("_d"))))
     )
-    asked = anchors.select(who, F.col(anchor_day).cast("date").alias("_day")).distinct().withColumn("_d", F.lit(0)).withColumn("_ask", F.lit(True))
+    asked = anchors.select(who, F.col(anchor_day).cast("date").alias("_day")).where(F.col(who).isNotNull() & F.col("_day").isNotNull()).distinct().withColumn("_d", F.lit(0)).withColumn("_ask", F.lit(True))
     daily = steps.unionByName(asked, allowMissingColumns=True).groupBy(who, "_day").agg(F.sum("_d").alias("_d"), F.bool_or(F.coalesce("_ask", F.lit(False))).alias("_ask"))
     # one row per customer and calendar day
     running = daily.withColumn(out, F.sum("_d").over(Window.partitionBy(who).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)))
     per_day = running.where("_ask").select(who, "_day", out)
-    return lookup(anchors.withColumn("_day", F.col(anchor_day).cast("date")), stage(per_day, "lookback"), [who, "_day"]).drop("_day")
+    return lookup(anchors.withColumn("_day", F.col(anchor_day).cast("date")), stage(per_day, "lookback"), [who, "_day"]).drop("_day").fillna(0, [out])
 
 
 def as_of(rows: DataFrame, history: DataFrame, *, who: str, at: str, valid_from: str, key: str, take: dict[str, str]) -> DataFrame:
     """The newest history row per customer with ``valid_from <= at``, joined to each row.
 
-    Both sides go through one ordered scan per customer; no row is paired with more than the one it takes.
+    History without a customer or a date holds for nobody; rows without one get nulls. Both sides go through one ordered scan per customer; no row is paired with more than the one it takes.
     ``take`` maps output names to history columns; ``key`` identifies a row of ``rows``.
     """
-    marked = history.select(
+    marked = history.where(F.col(who).isNotNull() & F.col(valid_from).isNotNull()).select(
         F.col(who), F.col(valid_from).alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast("string").alias("_key"),
         F.struct(F.col(valid_from).alias("_from"), *[F.col(c).alias(n) for n, c in take.items()]).alias("_h"),
     )
     # one history row per customer and instant
     marked = marked.groupBy(who, "_at", "_side", "_key").agg(F.max("_h").alias("_h"))
-    asked = rows.withColumn("_row", F.struct(*rows.columns)).select(
+    placed = F.col(who).isNotNull() & F.col(at).isNotNull()
+    asked = rows.where(placed).withColumn("_row", F.struct(*rows.columns)).select(
         F.col(who), F.col(at).alias("_at"), F.lit(1).alias("_side"), F.col(key).cast("string").alias("_key"), "_row"
     )
     both = marked.unionByName(asked, allowMissingColumns=True)
     scanned = ordered_scan(both, ["_at", "_side", "_key"], [who], peak={"_seen": "_h"})
-    return scanned.where("_side = 1").select("_row.*", *[F.col(f"_seen.{n}").alias(n) for n in take])
+    found = scanned.where("_side = 1").select("_row.*", *[F.col(f"_seen.{n}").alias(n) for n in take])
+    kinds = {n: history.schema[c].dataType for n, c in take.items()}
+    return found.unionByName(rows.where(~placed).select("*", *[F.lit(None).cast(k).alias(n) for n, k in kinds.items()]))
 
 
 def used_before(anchors: DataFrame, events: DataFrame, *, who: str, anchor_day: str, ts: str, days: int, out: str) -> DataFrame:

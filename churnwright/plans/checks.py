@@ -4,6 +4,9 @@ from pyspark.sql import functions as F
 
 from churnwright.operators import checks as v
 from churnwright.plans.registry import ctes, query, rounded
+from churnwright.session import new_path
+from churnwright.sources.readers import read_schema_contract
+from churnwright.sources.writers import write_schema_contract
 
 DIRTY = ctes("dirty")
 
@@ -107,3 +110,21 @@ CONTRACT = {
 )
 def _(t):
     return v.conformance(t.derive("dirty"), CONTRACT)
+
+
+@query(
+    "v11b_written_contract",
+    """WITH o AS (SELECT o_orderkey, o_totalprice AS price, 'clerk ' || CAST(o_custkey % 61 AS VARCHAR) AS clerk FROM orders),
+            b AS (SELECT * FROM o WHERE o_orderkey % 2 = 0 AND clerk <> 'clerk 5'), c AS (SELECT o_orderkey, price, CASE WHEN o_orderkey % 9 <> 0 THEN clerk END AS clerk FROM o WHERE o_orderkey % 2 = 1)
+       SELECT * FROM (SELECT 'price' AS "column", 'range' AS rule, COUNT(*) FILTER (price < (SELECT MIN(price) FROM b) OR price > (SELECT MAX(price) FROM b)) AS n FROM c
+         UNION ALL SELECT 'o_orderkey', 'range', COUNT(*) FILTER (o_orderkey < (SELECT MIN(o_orderkey) FROM b) OR o_orderkey > (SELECT MAX(o_orderkey) FROM b)) FROM c
+         UNION ALL SELECT 'clerk', 'null', COUNT(*) FILTER (clerk IS NULL) FROM c
+         UNION ALL SELECT 'clerk', 'category', COUNT(*) FILTER (clerk NOT IN (SELECT clerk FROM b)) FROM c) WHERE n > 0""",
+)
+def _(t):
+    # the contract is written from one half of the orders and read back for the other
+    rows = t.orders.select("o_orderkey", F.col("o_totalprice").alias("price"), F.concat(F.lit("clerk "), (F.col("o_custkey") % 61).cast("string")).alias("clerk"))
+    path = new_path(t.spark, "contract")
+    write_schema_contract(rows.where("o_orderkey % 2 = 0 and clerk <> 'clerk 5'"), path)
+    later = rows.where("o_orderkey % 2 = 1").withColumn("clerk", F.when(F.col("o_orderkey") % 9 != 0, F.col("clerk")))
+    return v.contract_violations(later, *read_schema_contract(t.spark, path))

@@ -94,10 +94,16 @@ def _(t):
 
 @query(
     "f6_one_hot",
-    """SELECT c_custkey, c_acctbal, CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS seg_BUILDING, CAST(c_mktsegment = 'MACHINERY' AS INTEGER) AS seg_MACHINERY FROM customer""",
+    """WITH train AS (SELECT DISTINCT c_mktsegment FROM customer WHERE c_custkey % 3 <> 0 AND c_mktsegment <> 'MACHINERY')
+       SELECT c_custkey, c_acctbal, """
+    + ", ".join(f"CAST(c_mktsegment = '{s}' AND c_mktsegment IN (FROM train) AS INTEGER) AS seg_{s}" for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"))
+    + " FROM customer",
 )
 def _(t):
-    return e.one_hot(t.customer.select("c_custkey", "c_acctbal", "c_mktsegment"), "c_mktsegment", ["BUILDING", "MACHINERY"], "seg").drop("c_mktsegment")
+    # learned on the training side, which never has MACHINERY: its rows are zero in every column
+    rows = t.customer.select("c_custkey", "c_acctbal", "c_mktsegment")
+    values = e.one_hot_values(rows.where("c_custkey % 3 <> 0 and c_mktsegment <> 'MACHINERY'"), "c_mktsegment")
+    return e.one_hot(rows, "c_mktsegment", values, "seg").drop("c_mktsegment")
 
 
 @query(
@@ -270,6 +276,37 @@ def _(t):
     )
 
 
+@query(
+    "c10b_as_of_with_nulls",
+    """WITH e AS (SELECT event_id, value, event_type, CASE WHEN event_id % 11 <> 0 THEN user_id END AS user_id, CASE WHEN event_id % 7 <> 0 THEN ts END AS ts FROM events),
+            h AS (SELECT user_id, ts AS valid_from, MAX(value) AS v FROM e WHERE event_type = 'view' AND user_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2),
+            a AS (SELECT event_id, user_id, ts FROM e WHERE event_type = 'signup')
+       SELECT a.event_id, h.v AS last_view FROM (SELECT * FROM a WHERE user_id IS NOT NULL AND ts IS NOT NULL) a ASOF LEFT JOIN h ON a.user_id = h.user_id AND a.ts >= h.valid_from
+       UNION ALL SELECT event_id, NULL FROM a WHERE user_id IS NULL OR ts IS NULL""",
+)
+def _(t):
+    # an eleventh of the events without a customer, a seventh without a time
+    ev = t.events.withColumns({"user_id": F.when(F.col("event_id") % 11 != 0, F.col("user_id")), "ts": F.when(F.col("event_id") % 7 != 0, F.col("ts"))})
+    rows = ev.where("event_type = 'signup'").select("event_id", "user_id", "ts")
+    views = ev.where("event_type = 'view'")
+    return s.as_of(rows, views, who="user_id", at="ts", valid_from="ts", key="event_id", take={"last_view": "value"}).select("event_id", "last_view")
+
+
+@query(
+    "c8c_lookback_with_nulls",
+    """WITH e AS (SELECT event_id, value, event_type, CASE WHEN event_id % 11 <> 0 THEN user_id END AS user_id, CAST(ts AS DATE) AS day FROM events),
+            a AS (SELECT * FROM e WHERE event_type = 'signup')
+       SELECT a.event_id, COUNT(v.day) AS topup_count, ROUND(COALESCE(SUM(v.value), 0.0), 6) AS topup_total, CAST(COUNT(v.day) > 0 AS INTEGER) AS topup_was_seen, COUNT(DISTINCT v.value) AS n_values
+       FROM a LEFT JOIN e v ON v.user_id = a.user_id AND v.event_type = 'purchase' AND v.day >= a.day - 7 AND v.day < a.day GROUP BY 1""",
+)
+def _(t):
+    ev = t.events.withColumns({"user_id": F.when(F.col("event_id") % 11 != 0, F.col("user_id")), "day": F.to_date("ts")})
+    anchors, buys = ev.where("event_type = 'signup'").select("event_id", "user_id", "day"), ev.where("event_type = 'purchase'")
+    out = s.lookback(anchors, buys, who="user_id", anchor_day="day", ts="ts", days=7, value="value", prefix="topup")
+    out = s.lookback_distinct(out, buys, who="user_id", anchor_day="day", ts="ts", what="value", days=7, out="n_values")
+    return rounded(out.select("event_id", "topup_count", "topup_total", "topup_was_seen", "n_values"))
+
+
 @query("c11_churn_label", HISTORY + " SELECT contract_id, CAST(churn AS DOUBLE) AS churn FROM l")
 def _(t):
     return history(t).select("contract_id", F.col("churn").cast("double").alias("churn"))

@@ -25,7 +25,7 @@ def _(t):
 def _(t):
     # a third of all lines share one part key
     facts = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", F.when(F.col("l_partkey") % 3 == 0, 0).otherwise(F.col("l_partkey")).alias("p_partkey"))
-    return j.lookup(facts, t.part.select("p_partkey", "p_brand"), ["p_partkey"], hot_keys=64, small_rows=0).drop("p_partkey")
+    return j.lookup(facts, t.part.select("p_partkey", "p_brand"), ["p_partkey"], hot_keys=64, small_bytes=0).drop("p_partkey")
 
 
 @query("j2_with_truth", "SELECT doc_id, quality, CAST(n_chars % 101 AS DOUBLE) / 101 AS score, lang FROM documents JOIN labels USING (doc_id)")

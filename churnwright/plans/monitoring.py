@@ -58,6 +58,26 @@ def _(t):
     return mo.parse_json_body(t.events.select("event_id", "props"), "props", T.StructType([T.StructField("k", T.LongType())]), ["event_id"])
 
 
+@query(
+    "m3c_rejected_bodies",
+    """SELECT CASE event_id % 5 WHEN 0 THEN 'malformed' WHEN 1 THEN 'no object' ELSE 'no body' END AS reason, COUNT(*) AS n FROM events WHERE event_id % 5 < 3 GROUP BY 1
+       UNION ALL SELECT 'parsed', COUNT(*) FROM events WHERE event_id % 5 > 2""",
+)
+def _(t):
+    part = F.col("event_id") % 5
+    body = F.when(part == 0, F.concat(F.lit("{"), F.col("event_type"))).when(part == 1, F.col("event_id").cast("string")).when(part > 2, F.col("props"))
+    rows = t.events.select(body.alias("body"))
+    parsed = mo.parse_json_body(rows, "body", T.StructType([T.StructField("k", T.LongType())]))
+    return mo.rejects(rows, mo.json_fault("body")).unionByName(parsed.groupBy().agg(F.lit("parsed").alias("reason"), F.count(F.lit(1)).alias("n")))
+
+
+@query("m2b_csv_headers", "SELECT CAST(event_id AS VARCHAR) AS user_id, event_type AS kind FROM events")
+def _(t):
+    # header names with blanks, colons and commas
+    rows = t.events.select(F.concat_ws(",", "event_id", "event_type").alias("body"))
+    return mo.parse_csv_body(rows, "body", ["user id", "kind:a, b"]).withColumnsRenamed({"user id": "user_id", "kind:a, b": "kind"})
+
+
 def _limit_row(c: str, numeric: bool) -> str:
     lo, hi = (f"CAST(MIN({c}) AS DOUBLE)", f"CAST(MAX({c}) AS DOUBLE)") if numeric else ("NULL", "NULL")
     cats = "NULL" if numeric else f"(SELECT string_agg(x, '|' ORDER BY x) FROM (SELECT DISTINCT {c} AS x FROM dirty WHERE {c} IS NOT NULL AND o_orderkey % 2 = 0))"
@@ -72,7 +92,7 @@ DIRTY = ctes("dirty")
 def _(t):
     base = t.derive("dirty").where("o_orderkey % 2 = 0")
     out = mo.baseline_limits(base, ["price", "visits"], ["priority", "status"])
-    out = out.withColumnsRenamed({"min": "low", "max": "high"}).withColumn("categories", F.array_join("categories", "|"))
+    out = out.withColumnsRenamed({"min": "low", "max": "high"}).withColumn("categories", F.array_join("example_values", "|"))
     return rounded(out.select("column", "kind", "completeness", "low", "high", "n_distinct", "categories"))
 
 
@@ -92,12 +112,24 @@ def _(t):
     return mo.violations(df.where("o_orderkey % 2 = 1"), base, ["price"], ["status"])
 
 
+@query(
+    "m5b_violations_wide",
+    """WITH k AS (SELECT DISTINCT o_custkey % 97 AS clerk FROM orders WHERE o_orderkey % 2 = 0 AND o_custkey % 97 < 80)
+       SELECT 'clerk' AS "column", 'category' AS rule, COUNT(*) AS n FROM orders WHERE o_orderkey % 2 = 1 AND o_custkey % 97 NOT IN (SELECT clerk FROM k)""",
+)
+def _(t):
+    # up to 80 values in the baseline, and 17 that it never has
+    df = t.orders.select("o_orderkey", (F.col("o_custkey") % 97).cast("string").alias("clerk"))
+    base = df.where("o_orderkey % 2 = 0 and cast(clerk as int) < 80")
+    return mo.violations(df.where("o_orderkey % 2 = 1"), base, [], ["clerk"])
+
+
 def _sides(t):
     old = F.col("l_shipdate") < F.lit(SPLIT_DAY).cast("timestamp_ntz")
     # the current side is shifted so that there is drift to find
     cur = t.lineitem.where(~old).withColumns({"l_quantity": F.col("l_quantity") + F.floor(F.col("l_partkey") % 7), "l_discount": F.col("l_discount") * 2})
     base = t.lineitem.where(old)
-    cols = d.shared_features(base, cur, FEATURES, 10)
+    cols = d.shared_features(base, cur, FEATURES)
     return d.as_features(base, cols), d.as_features(cur, cols)
 
 
@@ -131,6 +163,17 @@ def _(t):
     return rounded(d.drift_table(*_sides(t)))
 
 
+@query(
+    "m8b_drift_missing_feature",
+    DRIFT + """ SELECT feature, ROUND(psi, 6) AS psi, ROUND(ks, 6) AS ks, CASE WHEN psi < 0.1 THEN 'stable' WHEN psi <= 0.25 THEN 'moderate' ELSE 'significant' END AS severity FROM psi JOIN ks USING (feature) WHERE feature <> 'l_tax'
+        UNION ALL SELECT 'l_tax', NULL, NULL, 'missing'""",
+)
+def _(t):
+    # the current side has lost l_tax
+    base, cur = _sides(t)
+    return rounded(d.with_severity(d.drift_table(base, cur.where("feature <> 'l_tax'"))).select("feature", "psi", "ks", "severity"))
+
+
 SEVERITY = "CASE WHEN psi < 0.1 THEN 'stable' WHEN psi <= 0.25 THEN 'moderate' ELSE 'significant' END"
 
 
@@ -143,12 +186,13 @@ def _(t):
     "m10_alerts",
     DRIFT
     + f""" SELECT 'drift' AS kind, feature AS subject, {SEVERITY} AS detail, true AS retrain FROM psi JOIN ks USING (feature) WHERE psi > 0.25
+           UNION ALL SELECT 'drift', 'lost', 'missing', true
            UNION ALL SELECT 'quality', CAST(l_linestatus AS VARCHAR), 'discounted ' || CAST(COUNT(*) FILTER (l_discount > 0.05) AS VARCHAR), true FROM lineitem GROUP BY l_linestatus HAVING COUNT(*) FILTER (l_discount > 0.05) > 0""",
 )
 def _(t):
-    drift = d.with_severity(d.drift_table(*_sides(t)))
+    drift = d.with_severity(d.drift_table(*_sides(t), features=["lost"]))
     quality = t.lineitem.groupBy("l_linestatus").agg(F.count_if(F.col("l_discount") > 0.05).alias("n"))
-    return mo.alerts(drift, F.col("severity") == "significant", "drift", "feature", F.col("severity")).unionByName(
+    return mo.alerts(drift, F.col("severity").isin("significant", "missing"), "drift", "feature", F.col("severity")).unionByName(
         mo.alerts(quality, F.col("n") > 0, "quality", "l_linestatus", F.concat(F.lit("discounted "), F.col("n").cast("string")))
     )
 
@@ -173,6 +217,21 @@ def _(t):
     return rounded(d.drift_table(d.as_features(t.events.where(early), ["value"]), d.as_features(cur, ["value"], ["day"]), ["day"]))
 
 
+@query(
+    "m11b_days_without_values",
+    """WITH cur AS (SELECT strftime(ts, '%Y-%m-%d') AS day, CASE WHEN day(ts) % 3 = 0 THEN NULL ELSE value END AS value FROM events WHERE ts >= TIMESTAMP '2024-01-11')
+       SELECT day, 'value' AS feature, COUNT(value) = 0 AS missing FROM cur GROUP BY day""",
+)
+def _(t):
+    # every third day has no value at all
+    early = F.col("ts") < F.lit("2024-01-11").cast("timestamp_ntz")
+    day = F.date_format("ts", "yyyy-MM-dd").alias("day")
+    cur = t.events.where(~early).select(day, F.when(F.dayofmonth("ts") % 3 != 0, F.col("value")).alias("value"))
+    base = d.as_features(t.events.where(early), ["value"])
+    found = d.drift_table(base, d.as_features(cur, ["value"], ["day"]), ["day"], features=["value"], windows=cur.select("day").distinct())
+    return d.with_severity(found).select("day", "feature", (F.col("severity") == "missing").alias("missing"))
+
+
 @query(
     "m12_quality_over_time",
     f"""{SCORED}, u AS (SELECT strftime(date_trunc('month', shipped), '%Y-%m') AS month, label, score FROM scored), {curve_sql('u', ('month',))}

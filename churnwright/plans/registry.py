@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnwright.sources.readers import read_parquet
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -26,7 +28,7 @@ class Tables:
         path = f"{self.folder}/{name}.parquet"
         if path not in SCHEMAS:  # read a table's schema from its files once
             SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(SCHEMAS[path]).parquet(path)
+        return read_parquet(self.spark, path, SCHEMAS[path])
 
     def derive(self, name: str) -> DataFrame:
         source, columns = DERIVED[name]

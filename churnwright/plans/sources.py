@@ -89,10 +89,13 @@ def _(t):
 @query("s6_newest_files", "SELECT COUNT(*) AS n, CAST(2 AS BIGINT) AS n_files FROM orders WHERE o_orderkey % 4 >= 2")
 def _(t):
     path = new_path(t.spark, "files")
-    for part in range(4):  # one file each, oldest first
+    kept = 0
+    for part in range(4):  # oldest first; a part is as many files as its rows ask for
         bodies = t.orders.where(F.col("o_orderkey") % 4 == part).select(F.struct(F.col("o_orderkey").cast("string").alias("body")).alias("request"))
-        bodies.coalesce(1).write.mode("append").json(f"{path}/{part}")
-    return readers.newest_files(t.spark, path, 2).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("_file").alias("n_files"))
+        bodies.write.mode("append").json(f"{path}/{part}")
+        kept += t.spark.read.format("binaryFile").load(f"{path}/{part}").count() if part > 1 else 0
+    newest = readers.newest_files(t.spark, path, kept).withColumn("part", F.regexp_extract("_file", "/([0-9])/[^/]*$", 1))
+    return newest.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("part").alias("n_files"))
 
 
 @query(
@@ -145,14 +148,22 @@ def _(t):
 
 @query(
     "s11_schema_contract",
-    """SELECT 'c_acctbal' AS "column", 'double' AS dtype, false AS nullable, COUNT(*) FILTER (c_acctbal IS NULL) AS n_null, CAST(NULL AS DOUBLE) AS n_categories FROM customer
-       UNION ALL SELECT 'c_mktsegment', 'string', false, COUNT(*) FILTER (c_mktsegment IS NULL), CAST(COUNT(DISTINCT c_mktsegment) AS DOUBLE) FROM customer""",
+    """WITH c AS (SELECT c_acctbal, CASE WHEN c_custkey % 9 <> 0 THEN c_mktsegment END AS segment, 'clerk ' || CAST(c_custkey % 37 AS VARCHAR) AS clerk FROM customer)
+       SELECT 'c_acctbal' AS "column", 'double' AS dtype, false AS nullable, ROUND(MIN(c_acctbal), 2) AS low, ROUND(MAX(c_acctbal), 2) AS high, CAST(NULL AS DOUBLE) AS n_categories, NULL AS every_value FROM c
+       UNION ALL SELECT 'segment', 'string', true, NULL, NULL, CAST(COUNT(DISTINCT segment) AS DOUBLE), string_agg(DISTINCT segment, '|' ORDER BY segment) FROM c
+       UNION ALL SELECT 'clerk', 'string', false, NULL, NULL, CAST(COUNT(DISTINCT clerk) AS DOUBLE), string_agg(DISTINCT clerk, '|' ORDER BY clerk) FROM c""",
 )
 def _(t):
     path = new_path(t.spark, "contract")
-    writers.write_schema_contract(t.customer.select("c_acctbal", "c_mktsegment"), path)
-    back = t.spark.read.schema("column string, dtype string, nullable boolean, min string, max string, n_categories bigint, categories array<string>").json(path)
-    return back.select("column", "dtype", "nullable", F.col("nullable").cast("bigint").alias("n_null"), F.col("n_categories").cast("double").alias("n_categories"))
+    segment = F.when(F.col("c_custkey") % 9 != 0, F.col("c_mktsegment")).alias("segment")
+    clerk = F.concat(F.lit("clerk "), (F.col("c_custkey") % 37).cast("string")).alias("clerk")
+    writers.write_schema_contract(t.customer.select("c_acctbal", segment, clerk), path)
+    columns, values = readers.read_schema_contract(t.spark, path)
+    every = values.groupBy("column").agg(F.array_join(F.array_sort(F.collect_list("value")), "|").alias("every_value"))  # five and 37 values
+    number = lambda c: F.round(F.col(c).cast("double"), 2)
+    return columns.join(every, "column", "left").select(
+        "column", "dtype", "nullable", number("min").alias("low"), number("max").alias("high"), F.col("n_categories").cast("double").alias("n_categories"), "every_value"
+    )
 
 
 @query(

@@ -63,12 +63,9 @@ def chunks_for(rows: int, spark: SparkSession) -> int:
     """How many ordered chunks to cut ``rows`` into.
 
     One chunk, that is a plain window, while the rows fit comfortably in one task
-    (``churnwright.rowsPerChunk``); from there on as many as the data asks for, up
-    to twice the shuffle width of the session.
+    (``churnwright.rowsPerChunk``); from there on as many as the data asks for.
     """
-    per_chunk = int(spark.conf.get(ROWS_PER_CHUNK_KEY, "1000000"))
-    widest = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(widest, max(1, math.ceil(rows / per_chunk)))
+    return max(1, math.ceil(rows / int(spark.conf.get(ROWS_PER_CHUNK_KEY, "1000000"))))
 
 
 def square_side(n: int) -> int:

@@ -65,6 +65,12 @@ def read_capture(spark: SparkSession, path: str, schema: T.StructType = CAPTURE_
     return spark.read.schema(schema).option("recursiveFileLookup", True).json(path)
 
 
+def read_schema_contract(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The columns ``(column, dtype, nullable, min, max, n_categories, example_values)`` and the values ``(column, value)`` of a written contract."""
+    columns = "column string, dtype string, nullable boolean, min string, max string, n_categories bigint, example_values array<string>"
+    return spark.read.schema(columns).json(f"{path}/columns"), spark.read.schema("column string, value string").parquet(f"{path}/values")
+
+
 def newest_files(spark: SparkSession, path: str, n: int, schema: T.StructType = CAPTURE_SCHEMA) -> DataFrame:
     """Rows of the ``n`` newest capture files, by modification time and then name; no other file is opened."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "modificationTime")

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from churnwright.operators.profiling import schema_profile
+from churnwright.operators.profiling import EXAMPLES, category_values, schema_profile
 from churnwright.operators.sampling import sample_rows
 
 
@@ -38,6 +39,8 @@ def write_baseline_sample(df: DataFrame, path: str, n: int, key: str, seed: int
     write_table(sample_rows(df, n, key, seed), path, "csv")
 
 
-def write_schema_contract(df: DataFrame, path: str, k: int = 20) -> None:
-    """The schema profile, one JSON object per column."""
-    write_table(schema_profile(df, k), path, "json")
+def write_schema_contract(df: DataFrame, path: str, examples: int = EXAMPLES) -> None:
+    """``columns``: the schema profile, one JSON object per column. ``values``: every value of every text column, as ``(column, value)``."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    write_table(schema_profile(df, examples), f"{path}/columns", "json")
+    write_parquet(category_values(df, texts) if texts else df.sparkSession.createDataFrame([], "column string, value string"), f"{path}/values")

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """``n / (2 n_class)`` as a weight column."""
+    """``n / (2 n_class)`` as a weight column; null for a row without a 0/1 label."""
     y = F.col(label)
     counts = df.groupBy().agg(F.struct(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")).alias("c")).scalar()
     held = df.withColumn("_c", counts)
     n = F.col("_c.pos") + F.col("_c.neg")
-    own = F.when(y == 1, F.col("_c.pos")).otherwise(F.col("_c.neg"))
+    own = F.when(y == 1, F.col("_c.pos")).when(y == 0, F.col("_c.neg"))
     return held.withColumn(out, n / (2.0 * own)).drop("_c")
 
 

@@ -8,8 +8,9 @@ import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from churnwright.operators import checks, cleaning, encoding, gates, lookups, monitoring, profiling, sampling, snapshot, splitting
+from churnwright.operators import checks, cleaning, drift, encoding, gates, lookups, monitoring, profiling, sampling, snapshot, splitting
 from churnwright.sources import readers, writers
 from churnwright.streaming import capture as st
 from churnwright.streaming import monitors as wm
@@ -61,7 +62,7 @@ def test_frequencies_sum_to_one(spark):
 def test_lookup_with_a_hot_key(spark, small):
     facts = spark.range(3000).select("id", F.when(F.col("id") % 3 != 1, 7).otherwise(F.col("id") % 40).alias("k"))
     table = spark.range(35).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    got = lookups.lookup(facts, table, ["k"], hot_keys=16, small_rows=small)
+    got = lookups.lookup(facts, table, ["k"], hot_keys=16, small_bytes=small)
     want = facts.join(table, "k", "left")
     assert got.count() == 3000 and got.select("k", "id", "v").exceptAll(want.select("k", "id", "v")).count() == 0
 
@@ -70,7 +71,7 @@ def test_lookup_keeps_null_keys(spark):
     facts = spark.createDataFrame([(1, "a"), (2, None)], "id int, k string")
     table = spark.createDataFrame([("a", 5)], "k string, v int")
     for small in (0, 10):
-        assert {r["id"]: r["v"] for r in lookups.lookup(facts, table, ["k"], small_rows=small).collect()} == {1: 5, 2: None}
+        assert {r["id"]: r["v"] for r in lookups.lookup(facts, table, ["k"], small_bytes=small).collect()} == {1: 5, 2: None}
 
 
 def test_splits_are_disjoint_complete_and_exact(spark):
@@ -215,8 +216,41 @@ def test_csv_body_drops_extra_fields(spark):
 def test_schema_contract_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, None)], "n int, s string")
     writers.write_schema_contract(df, str(tmp_path / "c"))
-    back = {r["column"]: r for r in spark.read.json(str(tmp_path / "c")).collect()}
-    assert back["n"]["min"] == "1.0" and back["s"]["categories"] == ["a"] and back["s"]["nullable"]
+    columns, values = readers.read_schema_contract(spark, str(tmp_path / "c"))
+    back = {r["column"]: r for r in columns.collect()}
+    assert back["n"]["min"] == "1.0" and back["s"]["example_values"] == ["a"] and back["s"]["nullable"]
+    assert [tuple(r) for r in values.collect()] == [("s", "a")]
+    later = spark.createDataFrame([(1, "a"), (5, "b"), (None, None)], "n int, s string")
+    assert {(r["column"], r["rule"], r["n"]) for r in checks.contract_violations(later, columns, values).collect()} == {("n", "null", 1), ("n", "range", 1), ("s", "category", 1)}
+
+
+def test_wide_categories_are_held_to_the_baseline(spark):
+    base = spark.createDataFrame([(str(i), float(i)) for i in range(30)], "c string, x double")
+    now = spark.createDataFrame([(str(i), 1.0) for i in range(20, 40)] + [("3", float("nan"))], "c string, x double")
+    assert [tuple(r) for r in monitoring.violations(now, base, ["x"], ["c"]).where("rule = 'category'").collect()] == [("c", "category", 10)]
+
+
+def test_drift_keeps_features_without_values(spark):
+    rows = [(d, "a", float(i)) for d in ("x", "y") for i in range(40)] + [("x", "b", float(i)) for i in range(40)]
+    base = spark.createDataFrame([("a", float(i)) for i in range(40)] + [("b", float(i)) for i in range(40)], "feature string, value double")
+    now = spark.createDataFrame(rows, "day string, feature string, value double")
+    whole = {r["feature"]: r["severity"] for r in drift.with_severity(drift.drift_table(base, now.where("feature = 'a'").drop("day"))).collect()}
+    assert whole == {"a": "stable", "b": "missing"}
+    empty = spark.createDataFrame([("z",)], "day string")
+    daily = {(r["day"], r["feature"]): r["severity"] for r in drift.with_severity(drift.drift_table(base, now, ["day"], features=["c"], windows=empty)).collect()}
+    assert daily[("x", "b")] == "stable" and daily[("y", "b")] == "missing" and daily[("z", "a")] == "missing" and daily[("x", "c")] == "missing" and len(daily) == 9
+
+
+def test_rejected_bodies_are_counted(spark):
+    bodies = ['{"k": 1}', '[{"k": 2}, {"k": 3}]', "{bad", "not json", "7", None, ""]
+    df = spark.createDataFrame([(b,) for b in bodies], "b string")
+    record = T.StructType([T.StructField("k", T.LongType())])
+    assert sorted(r["k"] for r in monitoring.parse_json_body(df, "b", record).collect()) == [1, 2, 3]
+    assert {r["reason"]: r["n"] for r in monitoring.rejects(df, monitoring.json_fault("b")).collect()} == {"malformed": 3, "no object": 1, "no body": 1}
+    csv = spark.createDataFrame([("1,2",), ("x",), ("1,2\n3,4",), (None,)], "b string")
+    got = monitoring.parse_csv_body(csv, "b", ["user id", "a:b`c"])
+    assert got.columns == ["user id", "a:b`c"] and [tuple(r) for r in got.collect()] == [("1", "2")]
+    assert {r["reason"]: r["n"] for r in monitoring.rejects(csv, monitoring.csv_fault("b")).collect()} == {"no comma": 1, "more than one line": 1, "no body": 1}
 
 
 def test_missing_files_fail(spark, tmp_path):
@@ -245,6 +279,7 @@ def test_stream_equals_batch_with_late_and_repeated_rows(spark, tmp_path):
 
 
 def test_grid_and_draws():
-    assert len(search.grid(search.GRID_FOCUSED)) == 3 and len(search.grid(search.GRID_BROAD)) == 625
-    assert search.random_draws(search.RANDOM_RANGES, 5) == search.random_draws(search.RANDOM_RANGES, 5)
-    assert all(500 <= d["n_estimators"] <= 3000 and 0.01 <= d["learning_rate"] <= 0.2 for d in search.random_draws(search.RANDOM_RANGES, 50))
+    assert search.grid({"a": [1, 2], "b": ["x", "y", "z"]})[:2] == [{"a": 1, "b": "x"}, {"a": 1, "b": "y"}] and len(search.grid({"a": [1, 2], "b": [3, 4, 5]})) == 6
+    ranges = {"trees": (3, 9), "rate": (0.1, 0.4)}
+    assert search.random_draws(ranges, 5) == search.random_draws(ranges, 5)
+    assert all(3 <= d["trees"] <= 9 and isinstance(d["trees"], int) and 0.1 <= d["rate"] <= 0.4 for d in search.random_draws(ranges, 50))
