@@ -45,12 +45,14 @@ def recent_flag(df: DataFrame, days: str, within: int, out: str) -> DataFrame:
 
 def frequency_encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``<col>__freq``: share of the category among the known values; null stays null."""
+    # one scan counts the values of all columns; the totals are sums of those counts
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "column", "value").where("value is not null")
+    counts = stage(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), "shares")
     out = df
     for c in cols:
-        known = df.where(F.col(c).isNotNull())
-        total = known.groupBy().agg(F.count(F.lit(1)).alias("n")).scalar()
-        shares = known.groupBy(c).agg(F.count(F.lit(1)).alias("_c")).select(c, (F.col("_c") / total).alias(f"{c}__freq"))
-        out = lookup(out, stage(shares, "shares"), [c])
+        own = counts.where(F.col("column") == c)
+        total = own.groupBy().agg(F.sum("n").alias("n")).scalar()
+        out = lookup(out, own.select(F.col("value").cast(df.schema[c].dataType).alias(c), (F.col("n") / total).alias(f"{c}__freq")), [c])
     return out
 
 

@@ -12,8 +12,21 @@ from churnwright.operators.ordered import ordered_scan
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """``n`` rows in seeded order (all if there are fewer)."""
-    return df.withColumn("_h", seed_key(seed, key)).orderBy("_h", key).limit(n).drop("_h")
+    """The first ``n`` rows in seeded order (all if there are fewer).
+
+    Rows are counted by the first four digits of their order key; whole prefixes below the cut are kept where they are,
+    and only the rows of the prefix at the cut are ranked. The rows stay spread, and come in no order.
+    """
+    keyed = df.withColumn("_h", seed_key(seed, key)).withColumn("_p", F.substring("_h", 1, 4))
+    counts = keyed.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))  # at most 65,536 rows
+    upto = counts.select("_p", "_c", F.sum("_c").over(Window.orderBy("_p")).alias("_upto"))
+    cut = upto.where(F.col("_upto") > n).groupBy().agg(F.min(F.struct("_p", (F.lit(n) - F.col("_upto") + F.col("_c")).alias("_left"))).alias("c"))
+    held = keyed.withColumn("_cut", cut.scalar())
+    whole = held.where(F.col("_cut").isNull() | (F.col("_p") < F.col("_cut._p")))
+    at = held.where(F.col("_p") == F.col("_cut._p"))
+    rank = F.row_number().over(Window.partitionBy("_p").orderBy("_h", key))
+    last = at.withColumn("_rank", rank).where(F.col("_rank") <= F.col("_cut._left"))
+    return whole.select(*df.columns).unionByName(last.select(*df.columns))
 
 
 def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 42) -> DataFrame:
@@ -21,12 +34,13 @@ def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 42) ->
     return df.where(F.substring(seed_key(seed, key), 1, 8) < hex_bound(fraction))
 
 
-def sample_per_stratum(df: DataFrame, stratum: str, key: str, ratio: float, cap: int, seed: int = 42) -> DataFrame:
-    """``min(ceil(n * ratio), cap)`` rows of each stratum, e.g. of each input file."""
+def sample_per_stratum(df: DataFrame, stratum: str, key: str, ratio: float, cap: int | None = None, seed: int = 42) -> DataFrame:
+    """``ceil(n * ratio)`` rows of each stratum, e.g. of each input file; at most ``cap`` if one is given."""
     ranked = ordered_scan(
         df.withColumn("_h", seed_key(seed, key)), ["_h", key], [stratum], position="_pos", totals={"_n": F.lit(1)}
     )
-    wanted = F.least(F.ceil(F.col("_n") * ratio), F.lit(cap)) if ratio < 1.0 else F.lit(cap)
+    share = F.ceil(F.col("_n") * min(ratio, 1.0))
+    wanted = share if cap is None else F.least(share, F.lit(cap))
     return ranked.where(F.col("_pos") <= wanted).select(*df.columns)
 
 

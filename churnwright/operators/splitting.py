@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from churnwright.functions import seed_key
 from churnwright.operators.ordered import ordered_scan
 from churnwright.operators.quantiles import quantiles
+from churnwright.session import stage
 
 # A time split needs more than this share of usable dates; the cutoff is this quantile of them.
 USABLE_DATES = 0.8
@@ -80,6 +81,7 @@ def three_way_split(
         outer = holdout(df, time, 1.0 - test_size)
     else:
         outer = stratified_split(df, target, key, test_size, seed)
+    outer = stage(outer, "outer")  # both branches read it
     rest = outer.where(F.col("split") == "train").drop("split")
     inner = stratified_split(rest, target, key, val_size / (1.0 - test_size), seed, names=("train", "val"))
     return inner.unionByName(outer.where(F.col("split") == "test"))
@@ -139,5 +141,5 @@ def split_report(df: DataFrame, time: str, target: str, split: str = "split") ->
         F.max(time).alias("last"),
         F.avg(F.col(target).cast("double")).alias("target_rate"),
     )
-    total = df.groupBy().agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = per.groupBy().agg(F.sum("n").alias("n")).scalar()  # one row per split
     return per.withColumn("share", F.col("n") / total)

@@ -8,6 +8,7 @@ from churnwright.operators.drift import as_features
 from churnwright.operators.profiling import top_categories
 from churnwright.operators.splitting import split_report, time_split
 from churnwright.plans.registry import ctes, query, rounded
+from churnwright.session import stage
 from churnwright.training.models import feature_stages
 
 CONTRACTS = ctes("contracts")
@@ -36,7 +37,8 @@ def history(t):
                 ROUND(COUNT(*) / (SELECT COUNT(*) FROM k), 6) AS share FROM q GROUP BY 1""",
 )
 def _(t):
-    known = history(t).where("churn is not null")
+    # the cutoff and the report read the history; only what they need of it is written
+    known = stage(history(t).where("churn is not null").select("start", "churn"), "history")
     report = split_report(time_split(known, "start"), "start", "churn")
     return rounded(report.withColumns({c: F.col(c).cast("string") for c in ("first", "last")}))
 

@@ -36,14 +36,79 @@ def feature_stages(numeric: Sequence[str], categories: Sequence[str], one_hot: b
     return stages
 
 
-def boosted_trees(label: str, *, rounds: int = 20, depth: int = 4, rate: float = 0.1, seed: int = 42, validation: str | None = None, weight: str | None = None, bins: int = 64) -> GBTClassifier:
-    """Gradient-boosted trees; with a validation flag column they stop early."""
-    g = GBTClassifier(labelCol=label, featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, maxBins=bins)
+def boosted_trees(
+    label: str,
+    *,
+    rounds: int = 20,
+    depth: int = 4,
+    rate: float = 0.1,
+    seed: int = 42,
+    validation: str | None = None,
+    tolerance: float = 0.01,
+    rows: float = 1.0,
+    columns: str = "all",
+    weight: str | None = None,
+    bins: int = 64,
+) -> GBTClassifier:
+    """Gradient-boosted trees. ``rows`` and ``columns`` are sampled per tree.
+
+    With a validation flag column they stop at the first round that gains less than ``tolerance``; for stopping with
+    patience fit all rounds and cut them with ``best_round``. Spark's trees have no L2 penalty.
+    """
+    g = GBTClassifier(
+        labelCol=label, featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, maxBins=bins,
+        subsamplingRate=rows, featureSubsetStrategy=columns, validationTol=tolerance,
+    )
     if validation:
         g = g.setValidationIndicatorCol(validation)
     return g.setWeightCol(weight) if weight else g
 
 
+def validation_curve(model: PipelineModel, valid: DataFrame) -> list[float]:
+    """The loss on the validation rows after each round, in one pass."""
+    learner = model.stages[-1]
+    prepared = PipelineModel(model.stages[:-1]).transform(valid)
+    return list(learner.evaluateEachIteration(prepared))
+
+
+def best_round(losses: Sequence[float], patience: int = 50) -> int:
+    """The round (from 1) of the least loss before ``patience`` rounds without a gain."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def cut_rounds(model: PipelineModel, rounds: int) -> Column:
+    """The margin of the first ``rounds`` trees, as a column over the model's transformed rows: class 1 if positive."""
+    learner = model.stages[-1]
+    trees = F.lit(0.0)
+    for tree, weight in list(zip(learner.trees, learner.treeWeights, strict=True))[:rounds]:
+        trees = trees + F.expr(_tree_text(tree._java_obj.rootNode())) * float(weight)
+    return trees
+
+
+def _tree_text(node) -> str:
+    if node.numDescendants() == 0:
+        return repr(float(node.prediction()))
+    split = node.split()
+    at = f"vector_to_array_col[{split.featureIndex()}]"
+    if split.getClass().getSimpleName() == "ContinuousSplit":
+        test = f"{at} <= {split.threshold()!r}"
+    else:
+        test = f"{at} IN ({', '.join(repr(float(c)) for c in split.leftCategories())})"
+    return f"CASE WHEN {test} THEN {_tree_text(node.leftChild())} ELSE {_tree_text(node.rightChild())} END"
+
+
+def score_cut(model: PipelineModel, df: DataFrame, rounds: int, keep: Sequence[str], out: str = "score") -> DataFrame:
+    """Probability of class 1 by the first ``rounds`` trees only."""
+    prepared = PipelineModel(model.stages[:-1]).transform(df).withColumn("vector_to_array_col", vector_to_array("features"))
+    return prepared.select(*keep, (1 / (1 + F.exp(-2 * cut_rounds(model, rounds)))).alias(out))
+
+
 def logistic(label: str, *, weight: str | None = None, rounds: int = 50, reg: float = 0.0) -> LogisticRegression:
     m = LogisticRegression(labelCol=label, featuresCol="features", maxIter=rounds, regParam=reg)
     return m.setWeightCol(weight) if weight else m
