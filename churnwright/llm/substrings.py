@@ -14,9 +14,10 @@ equal windows pick the same place. That place is named by its ``REACH`` words. A
 without any symbol is its own name.
 
 Places whose name occurs once cannot lie in a repeated window. The others, with the
-texts they are in, are brought together; the windows around them are named by 128 bits
-of their words, and the earliest start of each name decides. So the shuffles carry about
-one row for seven words, then one row for each window near a shared place.
+texts they are in, are brought together; the windows that picked them are named by 128
+bits of their words. An equal window before it in its text, or in a document of smaller
+id, decides. So the shuffles carry about one row for seven words, then one row for each
+window with a shared place.
 
 Names that very many documents share are added up before the shuffle and joined back,
 so that one name is never collected in one task. Of equal texts only the first takes
@@ -24,7 +25,7 @@ part; the windows of the others all start earlier in it.
 
 Rows: null texts have no words. Rows with a null id are left as they are and do not
 count as earlier. Repeated rows of one id and text are judged alike. Rows that share an
-id but not the text count as one document.
+id but not the text do not remove words from each other.
 """
 
 from __future__ import annotations
@@ -135,7 +136,11 @@ def sliding_max(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def places(names: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place in it, name) of every place that some window picks; ``sizes`` are the texts' words."""
+    """(text, place, name) of every place that some window picks; ``sizes`` are the texts' words.
+
+    A place is its word's number in the text, with how far before it the first window
+    that picks it starts, and how many more do, in the low bytes.
+    """
     begins = np.cumsum(sizes) - sizes
     doc = np.repeat(np.arange(len(sizes)), sizes)
     n = len(names)
@@ -156,12 +161,32 @@ def places(names: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     own = best == 0
     ahead = ((PLACES - (best & PLACES)).astype(np.int64) - local[start]) % (1 << 24)
     picked = np.where(own, start, start + ahead)
-    fresh = np.append(True, (picked[1:] != picked[:-1]) | (own[1:] != own[:-1])) if len(picked) else np.zeros(0, bool)
+    fresh = np.flatnonzero(np.append(True, (picked[1:] != picked[:-1]) | (own[1:] != own[:-1]))) if len(picked) else np.zeros(0, np.int64)
+    first, more = start[fresh], np.diff(np.append(fresh, len(picked))) - 1
     picked, own = picked[fresh], own[fresh]
     key = np.zeros(len(picked), np.uint64)
     key[~own] = gram(names, picked[~own], REACH, GRAM)
     key[own] = gram(names, picked[own], WINDOW, GRAM)
-    return doc[picked], local[picked], key
+    return doc[picked], local[picked] << 8 | (picked - first) << 4 | more, key
+
+
+def picking(spots: np.ndarray) -> np.ndarray:
+    """The windows that picked the given places, in order."""
+    first, n = (spots >> 8) - (spots >> 4 & 15), (spots & 15) + 1
+    found = np.repeat(first - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+    found.sort()
+    return found
+
+
+def repeated(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """Which windows of one text have the name of an earlier one."""
+    _, first, back = np.unique(h1, return_index=True, return_inverse=True)
+    first = first[back]
+    return (first < np.arange(len(h1))) & (h2 == h2[first])
+
+
+def window_names(names: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return gram(names, starts, WINDOW, FIRST), gram(mixed(names), starts, WINDOW, SECOND)
 
 
 def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -177,7 +202,7 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             doc, at, key = places(names, sizes)
             cuts = np.searchsorted(doc, np.arange(1, len(texts)))
             return [
-                (len(w), hashlib.sha256(b" ".join(w)).hexdigest(), k.view(np.int64), a.astype(np.int32))
+                (len(w), hashlib.sha256(b" ".join(w)).hexdigest(), k.view(np.int64), a)
                 for w, k, a in zip(words, np.split(key, cuts), np.split(at, cuts), strict=True)
             ]
 
@@ -185,55 +210,53 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_bytes(text_col).alias("text"))
     rows = rows.select("id", F.crc32("text").alias("mark"), F.unhex(F.md5("text")).alias("digest"), "text")
-    return map_rows(rows, make, "n_words bigint, plain string, keys array<bigint>, at array<int>")
+    return map_rows(rows, make, "n_words bigint, plain string, keys array<bigint>, at array<bigint>")
 
 
 def windows_of(near: DataFrame) -> DataFrame:
-    """(id, start, h1, h2) of every window around a shared place, from (id, mark, at, text)."""
+    """(id, mark, start, h1, h2) of every window that picked a shared place and has no equal before it in its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Names()
         for batch in batches:
             for piece in pieces(batch):
-                ids, at, texts = (piece.column(i) for i in (0, 2, 3))
                 out = []
-                for row, (places_in, text) in enumerate(zip(at, texts.to_pylist(), strict=True)):
-                    names = known.of(text.split())
-                    shared = np.asarray(places_in.values, np.int64)
-                    mask = np.zeros(len(names) + WINDOW + 1, np.int32)
-                    np.add.at(mask, np.maximum(shared - (WINDOW - REACH), 0), 1)
-                    np.add.at(mask, shared + 1, -1)
-                    starts = np.flatnonzero(np.cumsum(mask)[: max(0, len(names) - WINDOW + 1)] > 0)
-                    out.append((np.full(len(starts), row), starts, gram(names, starts, WINDOW, FIRST), gram(mixed(names), starts, WINDOW, SECOND)))
+                for row, (spots, text) in enumerate(zip(piece.column(2), piece.column(3).to_pylist(), strict=True)):
+                    starts = picking(np.asarray(spots.values, np.int64))
+                    h1, h2 = window_names(known.of(text.split()), starts)
+                    new = ~repeated(h1, h2)
+                    out.append((np.full(new.sum(), row), starts[new], h1[new], h2[new]))
                 row, starts, h1, h2 = (np.concatenate(x) for x in zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(row)), pa.array(starts.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], names=["id", "start", "h1", "h2"]
-                )
+                made = [pa.array(starts.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))]
+                yield pa.RecordBatch.from_arrays([piece.column(0).take(pa.array(row)), piece.column(1).take(pa.array(row)), *made], names=["id", "mark", "start", "h1", "h2"])
 
     kind = dict(near.dtypes)["id"]
-    return near.select("id", "mark", "at", "text").mapInArrow(run, f"id {kind}, start int, h1 bigint, h2 bigint")
+    return near.select("id", "mark", "at", "text").mapInArrow(run, f"id {kind}, mark bigint, start int, h1 bigint, h2 bigint")
 
 
 def without(cut: DataFrame) -> DataFrame:
-    """(id, mark, n_removed, kept): the words that no removed window covers, from (id, mark, starts, text)."""
+    """(id, mark, n_removed, kept): the words that no removed window covers, from (id, mark, at, starts, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Names()
         for batch in batches:
             for piece in pieces(batch):
                 removed, kept = [], []
-                for starts, text in zip(piece.column(2), piece.column(3).to_pylist(), strict=True):
+                for spots, later, text in zip(piece.column(2), piece.column(3), piece.column(4).to_pylist(), strict=True):
                     words = text.split()
-                    at = np.asarray(starts.values, np.int64)
+                    starts = picking(np.asarray(spots.values, np.int64))
+                    again = starts[repeated(*window_names(known.of(words), starts))]
+                    gone = np.union1d(again, np.asarray(later.values, np.int64)) if later.is_valid else again
                     mask = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(mask, at, 1)
-                    np.add.at(mask, at + WINDOW, -1)
+                    np.add.at(mask, gone, 1)
+                    np.add.at(mask, gone + WINDOW, -1)
                     stays = np.cumsum(mask[:-1]) == 0
                     removed.append(int(len(words) - stays.sum()))
-                    kept.append(b" ".join(words[i] for i in np.flatnonzero(stays)))
-                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())], names=["id", "mark", "n_removed", "kept"])
+                    kept.append(hashlib.sha256(b" ".join(words[i] for i in np.flatnonzero(stays))).hexdigest())
+                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["id", "mark", "n_removed", "kept"])
 
     kind = dict(cut.dtypes)["id"]
-    return cut.select("id", "mark", "starts", "text").mapInArrow(run, f"id {kind}, mark bigint, n_removed bigint, kept binary")
+    return cut.select("id", "mark", "at", "starts", "text").mapInArrow(run, f"id {kind}, mark bigint, n_removed bigint, kept string")
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,24 +265,27 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     firsts = seen.where("id is not null").groupBy("digest").agg(F.min("id").alias("first"))
     copy = F.coalesce((F.col("id") > F.col("first")) & (F.col("n_words") >= WINDOW), F.lit(False))
     base = stage(seen.drop("keys", "at").join(firsts, "digest", "left").select("id", "mark", "n_words", "plain", copy.alias("copy")), "substring-base")
+    same = (F.col("id") == F.col("i")) & (F.col("mark") == F.col("m"))
+    renamed = lambda df, *more: df.select(F.col("id").alias("i"), F.col("mark").alias("m"), *more)
 
+    # Names that occur twice are written down, so that the joins with them can split a name that very many rows have.
     spots = seen.where("id is not null").select("id", "mark", F.explode(F.arrays_zip("keys", "at")).alias("p")).select("id", "mark", F.col("p.keys").alias("key"), F.col("p.at").alias("at"))
-    shared = spots.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("k"))
+    shared = stage(spots.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("k")), "substring-shared")
     met = spots.join(shared, F.col("key") == F.col("k"), "left_semi").groupBy("id", "mark").agg(F.collect_set("at").alias("at"))
-    met = met.join(base.where("not copy").select(F.col("id").alias("i"), F.col("mark").alias("m")), (F.col("id") == F.col("i")) & (F.col("mark") == F.col("m")), "left_semi")
+    met = met.join(renamed(base.where("not copy")), same, "left_semi")
     text = text_bytes(text_col)
     texts = docs.select(F.col(f"`{id_col}`").alias("i"), F.crc32(text).alias("m"), text.alias("text"))
-    near = stage(met.join(texts, (F.col("id") == F.col("i")) & (F.col("mark") == F.col("m"))).select("id", "mark", "at", "text"), "substring-near")
+    near = stage(met.join(texts, same).select("id", "mark", "at", "text"), "substring-near")
 
     windows = windows_of(near)
-    earliest = windows.groupBy("h1", "h2").agg(F.min(F.struct("id", "start")).alias("low"), F.count("*").alias("n")).where("n > 1")
-    earliest = earliest.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), "low")
-    later = windows.join(earliest, (F.col("h1") == F.col("e1")) & (F.col("h2") == F.col("e2"))).where(F.struct("id", "start") > F.col("low"))
-    starts = later.groupBy("id").agg(F.collect_set("start").alias("starts")).withColumnRenamed("id", "i")
-    kept = without(near.join(starts, F.col("id") == F.col("i")).select("id", "mark", "starts", "text"))
-    kept = kept.select(F.col("id").alias("i"), F.col("mark").alias("m"), "n_removed", F.sha2("kept", 256).alias("kept")).distinct()
-
-    out = base.join(kept, (F.col("id") == F.col("i")) & (F.col("mark") == F.col("m")), "left")
+    earliest = windows.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.count("*").alias("n")).where("n > 1")
+    earliest = stage(earliest.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), "low"), "substring-earliest")
+    later = windows.join(earliest, (F.col("h1") == F.col("e1")) & (F.col("h2") == F.col("e2"))).where("id > low")
+    starts = renamed(later.groupBy("id", "mark").agg(F.collect_set("start").alias("starts")), "starts")
+    kept = without(near.join(starts, same, "left").select("id", "mark", "at", "starts", "text")).where("n_removed > 0")
+    kept = renamed(kept, "n_removed", "kept").distinct()
+
+    out = base.join(kept, same, "left")
     return out.select(
         F.col("id").alias(id_col), "n_words", F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(F.col("copy"), F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("kept", "plain")).alias("kept_sha256"),
