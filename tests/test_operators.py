@@ -283,3 +283,35 @@ def test_grid_and_draws():
     ranges = {"trees": (3, 9), "rate": (0.1, 0.4)}
     assert search.random_draws(ranges, 5) == search.random_draws(ranges, 5)
     assert all(3 <= d["trees"] <= 9 and isinstance(d["trees"], int) and 0.1 <= d["rate"] <= 0.4 for d in search.random_draws(ranges, 50))
+
+
+def test_best_round_waits():
+    from churnwright.training.models import best_round
+
+    assert best_round([5, 4, 3, 3.5, 3.4, 2.9, 3], 2) == 3 and best_round([5, 4, 3, 3.5, 3.4, 2.9, 3], 3) == 6 and best_round([1.0]) == 1
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 499, 500, 900])
+def test_sample_by_prefix_cut(spark, n):
+    df = spark.range(500).repartition(5)
+    whole = [r["id"] for r in df.withColumn("h", F.md5(F.concat_ws("|", F.lit("42"), F.col("id").cast("string")))).orderBy("h", "id").collect()]
+    assert sorted(r["id"] for r in sampling.sample_rows(df, n, "id").collect()) == sorted(whole[:n])
+
+
+def test_one_hot_is_learned_and_never_cut(spark):
+    train = spark.createDataFrame([("b",), ("a",), (None,)], "c string")
+    assert encoding.one_hot_values(train, "c") == ["a", "b"]
+    with pytest.raises(ValueError):
+        encoding.one_hot_values(train, "c", most=1)
+
+
+def test_nulls_and_nan_do_not_count(spark):
+    from churnwright.operators import scoring
+    from churnwright.training.models import balanced_weights
+
+    rows = [(1, 0.9), (0, 0.2), (1, float("nan")), (0, float("nan")), (None, 0.5), (0, None)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    assert scoring.ranking_metrics(scoring.threshold_curve(df)).first()["roc_auc"] == 1.0
+    assert scoring.threshold_curve(df).first()["n_neg"] == 1
+    assert math.isclose(scoring.brier(df).first()["brier"], (0.01 + 0.04) / 2)
+    assert {(r["label"], r["weight"]) for r in balanced_weights(df, "label").collect()} == {(1, 1.25), (0, 5 / 6), (None, None)}
