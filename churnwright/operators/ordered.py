@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnwright.session import chunks_for, square_side
+from churnwright.session import chunks_for
 
 CHUNK = "_chunk"
 SAMPLE_PER_CHUNK = 48
@@ -37,21 +37,11 @@ def _cut_points(df: DataFrame, keys: Sequence[str], chunks: int, rows: int) -> D
 
 
 def _with_chunk(df: DataFrame, keys: Sequence[str], cut_points: DataFrame, chunks: int) -> DataFrame:
-    """Number of cut points at or below the row's key, searched in two levels of about sqrt(chunks) each."""
-    side = square_side(chunks)
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.lit(side)), lambda j: F.slice("cuts", j * F.lit(side) + F.lit(1), F.lit(side))
-    )
-    lasts = F.transform(F.filter(blocks, lambda b: F.size(b) == side), lambda b: F.element_at(b, -1))
-    found = cut_points.select(F.struct(blocks.alias("blocks"), lasts.alias("lasts")).alias("c")).scalar()
+    """Number of cut points at or below the row's key: from large to small, each step is taken if the cut point there is not beyond the key."""
     key = F.struct(*keys)
-    count_upto = lambda cuts: F.size(F.filter(cuts, lambda b: b <= key))
-    return (
-        df.withColumn("_cuts", found)
-        .withColumn("_block", count_upto(F.col("_cuts.lasts")))
-        .withColumn(CHUNK, F.col("_block") * side + count_upto(F.get("_cuts.blocks", "_block")))
-        .drop("_cuts", "_block")
-    )
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(chunks.bit_length()))])
+    further = lambda at, step: F.when(F.get("_cuts", at + step - 1) <= key, at + step).otherwise(at)
+    return df.withColumn("_cuts", cut_points.select("cuts").scalar()).withColumn(CHUNK, F.aggregate(steps, F.lit(0), further)).drop("_cuts")
 
 
 def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:

@@ -28,12 +28,17 @@ def threshold_curve(df: DataFrame, label: str = "label", score: str = "score", b
 
     ``tp`` and ``fp`` count the rows with ``score >= threshold``.
     """
+    return curve_of_counts(df.withColumn("_one", F.lit(1)), "_one", label, score, by)
+
+
+def curve_of_counts(df: DataFrame, n: str, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    """The threshold curve of rows that stand for ``n`` rows each."""
     by = list(by)
     df = df.withColumn(score, known(F.col(score).cast("double")))
     rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
     y = F.col(label).cast("long")
     hist = stage(
-        rows.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")),
+        rows.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(F.sum(y * F.col(n)).alias("pos"), F.sum((1 - y) * F.col(n)).alias("neg")),
         "curve",
     )
     run = ordered_scan(

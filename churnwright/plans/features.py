@@ -52,9 +52,12 @@ def _(t):
     return e.date_parts(t.orders.select("o_orderkey", "o_orderdate"), "o_orderdate").drop("o_orderdate")
 
 
-@query("f2_product", "SELECT l_orderkey, l_quantity * l_extendedprice AS value, l_quantity, l_extendedprice FROM lineitem")
+@query("f2_product", "SELECT l_orderkey, l_quantity * l_extendedprice AS value, l_quantity, l_extendedprice, ROUND_EVEN(l_quantity * l_linenumber / 4, 0) AS rounded FROM lineitem")
 def _(t):
-    return e.product(t.lineitem.select("l_orderkey", "l_quantity", "l_extendedprice"), "l_quantity", "l_extendedprice", "value", None)
+    # quarters, so that a half is exact and goes to the even neighbour
+    lines = t.lineitem.select("l_orderkey", "l_quantity", "l_extendedprice", (F.col("l_linenumber") / 4).alias("part"))
+    both = e.product(e.product(lines, "l_quantity", "l_extendedprice", "value", None), "l_quantity", "part", "rounded", 0)
+    return both.drop("part")
 
 
 @query(

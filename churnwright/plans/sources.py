@@ -22,7 +22,12 @@ LOG_PATTERNS = {
     "SELECT o_orderstatus, COUNT(*) AS n, MIN(o_orderkey) AS first_key, MAX(o_orderdate) AS last_date FROM orders GROUP BY 1",
 )
 def _(t):
-    df = readers.read_parquet(t.spark, t.folder, glob="order*.parquet")
+    # three files of a folder that the pattern names, and one that it does not
+    path = new_path(t.spark, "snapshots")
+    for part in range(3):
+        t.orders.where(F.col("o_orderkey") % 3 == part).write.parquet(f"{path}/orders-{part}.parquet")
+    t.orders.limit(1).write.parquet(f"{path}/other.parquet")
+    df = readers.read_parquet(t.spark, f"{path}/order*.parquet")
     return df.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderdate").alias("last_date")
     )

@@ -66,8 +66,3 @@ def chunks_for(rows: int, spark: SparkSession) -> int:
     (``churnwright.rowsPerChunk``); from there on as many as the data asks for.
     """
     return max(1, math.ceil(rows / int(spark.conf.get(ROWS_PER_CHUNK_KEY, "1000000"))))
-
-
-def square_side(n: int) -> int:
-    """Smallest k with k * k >= n."""
-    return max(1, math.isqrt(max(0, n - 1)) + 1)

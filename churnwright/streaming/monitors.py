@@ -35,6 +35,16 @@ def window_bins(long: DataFrame, ts: str, edges: DataFrame, every: str = "1 day"
     )
 
 
+def window_scores(scored: DataFrame, ts: str, label: str = "label", score: str = "score", every: str = "1 day") -> DataFrame:
+    """``(start, score, label, n)``: counts per window, score and label of a scored stream with its truth.
+
+    Counts add up, so they are what a stream keeps; ``scoring.curve_of_counts`` makes the exact threshold curve and with
+    it every metric of a window.
+    """
+    counted = scored.groupBy(F.window(ts, every).alias("w"), known(F.col(score).cast("double")).alias("score"), F.col(label).alias("label"))
+    return counted.agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), "score", "label", "n")
+
+
 def join_truth(predictions: DataFrame, truth: DataFrame, key: str, at: str, truth_at: str, within: str) -> DataFrame:
     """Stream-stream join of predictions with ground truth that arrives up to ``within`` later.
 
