@@ -31,8 +31,11 @@ from pyspark.sql import functions as F
 
 from churnwright.llm.common import map_rows, table, text_bytes
 
-MAX_PIECES = 600_000
-MAX_MOVES = 600_000
+MAX_PIECES = 200_000
+MAX_MOVES = 400_000
+# An open start is its place in the trie and the token before it, a move the next state and a token: each pair in one number.
+LOW_BITS = 24
+LOW = (1 << LOW_BITS) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -65,15 +68,15 @@ class Transducer:
                 node = nxt
             self.token[node] = rank
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.reset()
 
     def reset(self) -> None:
         """Forget all states and moves."""
-        start = ((0, -1),)
+        start = (LOW,)
         self.number = {start: 0}
         self.states = [start]
-        self.moves: dict[int, tuple[int, int]] = {}
+        self.moves: dict[int, int] = {}
         self.pairs.clear()
 
     def split(self, token: int) -> tuple[int, int] | None:
@@ -91,7 +94,7 @@ class Transducer:
         return self.halves[token]
 
     def fits(self, before: int, token: int) -> bool:
-        """Whether ``token`` can follow ``before`` (-1: nothing) in an encoding.
+        """Whether ``token`` can follow ``before`` (LOW: nothing) in an encoding.
 
         It can unless a merge across the border comes before one that hides it:
         the merges inside the two tokens are undone from the last one backwards,
@@ -99,10 +102,10 @@ class Transducer:
         """
         if self.split(token) is None:
             return False
-        if before < 0:
+        if before == LOW:
             return True
-        if (known := self.pairs.get((before, token))) is None:
-            known = self.pairs[before, token] = self.apart(before, token)
+        if (known := self.pairs.get(before << LOW_BITS | token)) is None:
+            known = self.pairs[before << LOW_BITS | token] = self.apart(before, token)
         return known
 
     def apart(self, left: int, right: int) -> bool:
@@ -118,24 +121,25 @@ class Transducer:
             else:
                 limit, right = right + 1, self.split(right)[0]
 
-    def move(self, state: int, byte: int) -> tuple[int, int]:
+    def move(self, state: int, byte: int) -> int:
         """The next state, and the token in which the encoding of what has been read ends; made once."""
         opened, ended = [], None
-        for node, before in self.states[state]:
+        for start in self.states[state]:
+            node, before = start >> LOW_BITS, start & LOW
             nxt = self.child.get(node << 8 | byte)
             if nxt is None:
                 continue
             if ended is None and (token := self.token[nxt]) >= 0 and self.fits(before, token):
                 ended = token
             if self.inner[nxt]:
-                opened.append((nxt, before))
+                opened.append(nxt << LOW_BITS | before)
         if ended is None:
             raise ValueError("every single byte must be a token")
-        key = (*opened, (0, ended))
+        key = (*opened, ended)
         if (to := self.number.get(key)) is None:
             to = self.number[key] = len(self.states)
             self.states.append(key)
-        self.moves[state << 8 | byte] = made = (to, ended)
+        self.moves[state << 8 | byte] = made = to << LOW_BITS | ended
         return made
 
     def encode(self, piece: bytes) -> list[int]:
@@ -156,8 +160,8 @@ class Transducer:
                         state = self.forget(state)
                     made = self.move(state, byte)
                     moves = self.moves
-                state, token = made
-                last.append(token)
+                state = made >> LOW_BITS
+                last.append(made & LOW)
                 if len(last) >= wait:
                     sure = self.certain(state, last)
                     if sure:
@@ -177,7 +181,7 @@ class Transducer:
 
     def certain(self, state: int, last: list[int]) -> int:
         """How much of what has been read is cut alike whatever follows: where all open starts lead back to."""
-        places = {len(last) - self.depth[node] for node, _ in self.states[state]}
+        places = {len(last) - self.depth[start >> LOW_BITS] for start in self.states[state]}
         while len(places) > 1:
             latest = max(places)
             places.remove(latest)

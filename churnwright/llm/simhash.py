@@ -19,6 +19,10 @@ no neighbour. A first, narrower ball finds out which bits can matter:
 2. Fingerprints that meet there give the bits in which they differ. A linked pair
    differs only in such bits, so the ball of radius 2 over those bits is enough.
 
+``keep_first`` takes out near copies by the similarity of their word shingles. Fingerprints of
+shingles move too far for that (five words are lost for each one changed), so its candidates
+come from two fingerprints of the words, by the same ball, and are then compared.
+
 Rows: null and empty texts have the fingerprint zero and link like any other.
 Repeated rows and doc_ids give one output row each. A null doc_id keeps its row and
 does not name a component unless nothing else does.
@@ -26,16 +30,18 @@ does not name a component unless nothing else does.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from churnwright.llm.common import LOWER, components, map_rows, table, text_bytes
+from churnwright.llm.common import LOWER, components, map_rows, pieces, table, text_bytes
 from churnwright.session import stage
 
 RADIUS = 4
@@ -121,16 +127,88 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(named, F.col("fp") == F.col("f"), "left").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component: the one with its smallest id; rows with a null id stay.
+def word_fingerprints(text: bytes) -> tuple[int, int]:
+    """Two fingerprints of the distinct words, each weighted by 1 + the log of its count: a changed word moves few bits."""
+    counts = Counter(text.translate(LOWER).split())
+    if not counts:
+        return 0, 0
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, counts, repeat(SEED)), np.uint64, len(counts))
+    weights = 1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))
+    out = []
+    for h in (hashes, mixed(hashes)):
+        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        out.append(int.from_bytes(np.packbits(weights @ bits * 2 > weights.sum(), bitorder="little").tobytes(), "little"))
+    return out[0], out[1]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def similarity(a: bytes, b: bytes, shingle: int) -> float:
+    """Jaccard similarity of the sets of word shingles; a text of fewer words is one shingle."""
+
+    def grams(text: bytes) -> set[bytes]:
+        words = text.translate(LOWER).split()
+        return set(map(b" ".join, zip(*[words[i:] for i in range(shingle)], strict=False))) or {b" ".join(words)}
+
+    x, y = grams(a), grams(b)
+    return len(x & y) / len(x | y)
+
+
+def verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs (u, v) of ids whose texts (id, text) are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                near = [similarity(a, b, shingle) >= least for a, b in zip(piece.column(2).to_pylist(), piece.column(3).to_pylist(), strict=True)]
+                yield piece.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
+
+    side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
+    both = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "text_u", "text_v")
+    return both.mapInArrow(run, both.select("u", "v").schema)
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """(id) of the rows to keep: one for each group of texts that are linked by a similarity of ``least`` or more.
+
+    Candidates are texts within four bits in either of two word fingerprints, found by the ball; they are compared by their
+    word shingles. Equal texts are one. The smallest id of a group stays.
+    """
+    named = docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("id"), text_bytes(text_col).alias("text"))
+
+    def make() -> Callable[[list], list[tuple]]:
+        return lambda texts: [tuple(map(signed, word_fingerprints(t))) for t in texts]
+
+    seen = stage(map_rows(named.select("id", F.unhex(F.md5("text")).alias("digest"), "text"), make, "fp0 bigint, fp1 bigint"), "copies")
+    once = stage(seen.groupBy("digest", "fp0", "fp1").agg(F.min("id").alias("id")).select("id", "fp0", "fp1"), "copies-texts")
+    pairs = None
+    for name in ("fp0", "fp1"):
+        fps = stage(once.groupBy(F.col(name).alias("fp")).agg(F.min("id").alias("first")), "copies-fps")
+        first = lambda c, fps=fps: fps.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_id"))
+        across = ball_links(differing_bits(fps)).join(first("u"), "u").join(first("v"), "v").select(F.col("u_id").alias("u"), F.col("v_id").alias("v"))
+        within = once.join(fps, F.col(name) == F.col("fp")).where("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v"))
+        both = across.unionByName(within).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        pairs = both if pairs is None else pairs.unionByName(both)
+    pairs = stage(pairs.where("u <> v").distinct(), "copies-pairs")
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("w")).distinct()
+    texts = stage(named.join(wanted, F.col("id") == F.col("w"), "left_semi").dropDuplicates(["id"]), "copies-compared")
+    roots = components(verified(pairs, texts, shingle, least), "copies-links")
+    return once.select("id").join(roots.where("node <> root"), F.col("id") == F.col("node"), "left_anti")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """One row of each group of near copies, with all its columns: the one with the smallest id; rows with a null id stay.
 
     Of rows that repeat an id the one with the smallest text hash stays.
     """
-    found = stage(near_duplicates(docs, id_col, text_col).withColumnRenamed(id_col, "__kept"), "simhash-found")
-    kept = found.where("`__kept` = component_id").groupBy("__kept").agg(F.count("*").alias("__n"))
+    kept = stage(near_copies(docs, id_col, text_col, shingle, least).withColumnRenamed("id", "__kept"), "copies-kept")
     unnamed = docs.where(F.col(f"`{id_col}`").isNull())
-    named = docs.join(kept.select("__kept"), F.col(f"`{id_col}`") == F.col("__kept"), "left_semi")
-    if not kept.where("__n > 1").isEmpty():
+    named = docs.join(kept.select("__kept").distinct(), F.col(f"`{id_col}`") == F.col("__kept"), "left_semi")
+    if not docs.where(F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`")).count().where("count > 1").isEmpty():
         row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
         named = named.groupBy(F.col(f"`{id_col}`").alias("__kept")).agg(F.min_by(row, F.xxhash64(F.col(f"`{text_col}`"))).alias("__row")).select("__row.*")
     return named.unionByName(unnamed)

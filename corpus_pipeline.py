@@ -15,7 +15,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest id stays."""
+    """Of each group of texts with a similarity of 0.8 or more in shingles of five words the document with the smallest id stays."""
     return simhash.keep_first(docs)
 
 

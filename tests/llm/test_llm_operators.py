@@ -121,10 +121,36 @@ def test_simhash_rows(docs, none):
     least = {x: min((r.doc_id for r, y in zip(rows, roots) if y == x and r.doc_id is not None), default=None) for x in roots}
     assert [r.component_id for r in rows] == [least[x] for x in roots]
     assert simhash.near_duplicates(none).count() == 0
+
+
+def plain_similarity(a, b):
+    def grams(text):
+        w = split(lower(text))
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+    return len(grams(a) & grams(b)) / len(grams(a) | grams(b))
+
+
+def test_near_copies_leave_one_of_each_group(spark, docs, none):
+    rnd = random.Random(12)
+    base = [words_of(rnd, 200).split() for _ in range(12)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(base)]
+    for i, w in enumerate(base):
+        light, heavy = list(w), list(w)
+        light[50 + i] = "changed"
+        for k in range(0, 200, 4):
+            heavy[k] = f"other{k}"
+        rows += [(100 + i, " ".join(light).translate({c: c - 32 for c in range(97, 123)})), (200 + i, " ".join(heavy)), (300 + i, " ".join(w))]
+    found = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert {r.doc_id for r in simhash.keep_first(found).collect()} == {*range(12), *range(200, 212)}
+    given = docs.collect()
     kept = simhash.keep_first(docs)
     assert kept.columns == docs.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert len([i for i in ids if i is not None]) == len({least[x] for x in roots} - {None}) and ids.count(None) == 2
+    left = kept.collect()
+    ids = [r.doc_id for r in left]
+    assert ids.count(None) == 2 and len([i for i in ids if i is not None]) == len({i for i in ids if i is not None})
+    gone = [r for r in given if r.doc_id is not None and r.doc_id not in ids]
+    assert gone and all(any(plain_similarity(r.text, k.text) >= 0.8 and k.doc_id < r.doc_id for k in left if k.doc_id is not None) for r in gone)
     assert simhash.keep_first(none).count() == 0
 
 
