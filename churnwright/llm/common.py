@@ -95,6 +95,20 @@ def pieces(batch: pa.RecordBatch, target: int = 8_000_000) -> Iterator[pa.Record
         yield batch.slice(at, step)
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``stage`` that also frees the shuffle files of the write, as nothing reads them again."""
+    conf = df.sparkSession.conf
+    before = conf.get(FREE_SHUFFLES, "false")
+    conf.set(FREE_SHUFFLES, "true")
+    try:
+        return stage(df, label)
+    finally:
+        conf.set(FREE_SHUFFLES, before)
+
+
 def components(edges: DataFrame, label: str = "component") -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v): root is the smallest node reachable.
 

@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import compress
 from operator import itemgetter
 
 import numpy as np
@@ -40,8 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnwright.llm.common import map_rows, pieces, table, text_bytes
-from churnwright.session import stage
+from churnwright.llm.common import map_rows, pieces, table, text_bytes, written
 
 WINDOW = 20
 REACH = 8
@@ -170,21 +170,6 @@ def places(names: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return doc[picked], local[picked] << 8 | (picked - first) << 4 | more, key
 
 
-def picking(spots: np.ndarray) -> np.ndarray:
-    """The windows that picked the given places, in order."""
-    first, n = (spots >> 8) - (spots >> 4 & 15), (spots & 15) + 1
-    found = np.repeat(first - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-    found.sort()
-    return found
-
-
-def repeated(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-    """Which windows of one text have the name of an earlier one."""
-    _, first, back = np.unique(h1, return_index=True, return_inverse=True)
-    first = first[back]
-    return (first < np.arange(len(h1))) & (h2 == h2[first])
-
-
 def window_names(names: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return gram(names, starts, WINDOW, FIRST), gram(mixed(names), starts, WINDOW, SECOND)
 
@@ -213,6 +198,28 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return map_rows(rows, make, "n_words bigint, plain string, keys array<bigint>, at array<bigint>")
 
 
+class Picked:
+    """The windows of a batch of texts that picked the given places: where they start, their names, and which have an equal before them in their text."""
+
+    def __init__(self, known: Names, spots: pa.Array, texts: list):
+        self.words = [t.split() for t in texts]
+        sizes = np.array([len(w) for w in self.words], np.int64)
+        self.begins = np.cumsum(sizes) - sizes
+        names = known.of([w for own in self.words for w in own])
+        row = np.repeat(np.arange(len(texts)), spots.value_lengths().to_numpy(zero_copy_only=False))
+        at = spots.flatten().to_numpy(zero_copy_only=False)
+        first, n = (at >> 8) - (at >> 4 & 15) + self.begins[row], (at & 15) + 1
+        self.starts = np.repeat(first - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
+        self.starts.sort()
+        self.row = np.searchsorted(self.begins, self.starts, side="right") - 1
+        self.h1, self.h2 = window_names(names, self.starts)
+        key = mixed(self.h1 + mixed(self.row.astype(np.uint64) + np.uint64(1)))
+        _, earliest, back = np.unique(key, return_index=True, return_inverse=True)
+        earliest = earliest[back]
+        equal = (self.row == self.row[earliest]) & (self.h1 == self.h1[earliest]) & (self.h2 == self.h2[earliest])
+        self.repeated = equal & (earliest < np.arange(len(key)))
+
+
 def windows_of(near: DataFrame) -> DataFrame:
     """(id, mark, start, h1, h2) of every window that picked a shared place and has no equal before it in its text."""
 
@@ -220,15 +227,11 @@ def windows_of(near: DataFrame) -> DataFrame:
         known = Names()
         for batch in batches:
             for piece in pieces(batch):
-                out = []
-                for row, (spots, text) in enumerate(zip(piece.column(2), piece.column(3).to_pylist(), strict=True)):
-                    starts = picking(np.asarray(spots.values, np.int64))
-                    h1, h2 = window_names(known.of(text.split()), starts)
-                    new = ~repeated(h1, h2)
-                    out.append((np.full(new.sum(), row), starts[new], h1[new], h2[new]))
-                row, starts, h1, h2 = (np.concatenate(x) for x in zip(*out, strict=True))
-                made = [pa.array(starts.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))]
-                yield pa.RecordBatch.from_arrays([piece.column(0).take(pa.array(row)), piece.column(1).take(pa.array(row)), *made], names=["id", "mark", "start", "h1", "h2"])
+                p = Picked(known, piece.column(2), piece.column(3).to_pylist())
+                new = ~p.repeated
+                row = pa.array(p.row[new])
+                made = [pa.array((p.starts - p.begins[p.row])[new].astype(np.int32)), pa.array(p.h1[new].view(np.int64)), pa.array(p.h2[new].view(np.int64))]
+                yield pa.RecordBatch.from_arrays([piece.column(0).take(row), piece.column(1).take(row), *made], names=["id", "mark", "start", "h1", "h2"])
 
     kind = dict(near.dtypes)["id"]
     return near.select("id", "mark", "at", "text").mapInArrow(run, f"id {kind}, mark bigint, start int, h1 bigint, h2 bigint")
@@ -241,18 +244,19 @@ def without(cut: DataFrame) -> DataFrame:
         known = Names()
         for batch in batches:
             for piece in pieces(batch):
+                p = Picked(known, piece.column(2), piece.column(4).to_pylist())
+                later = piece.column(3)
+                row = np.repeat(np.arange(piece.num_rows), later.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                gone = np.union1d(p.starts[p.repeated], later.flatten().to_numpy(zero_copy_only=False) + p.begins[row])
+                mask = np.zeros(sum(map(len, p.words)) + 1, np.int32)
+                mask[gone] += 1  # each start once
+                mask[gone + WINDOW] -= 1
+                stays = np.cumsum(mask[:-1]) == 0
                 removed, kept = [], []
-                for spots, later, text in zip(piece.column(2), piece.column(3), piece.column(4).to_pylist(), strict=True):
-                    words = text.split()
-                    starts = picking(np.asarray(spots.values, np.int64))
-                    again = starts[repeated(*window_names(known.of(words), starts))]
-                    gone = np.union1d(again, np.asarray(later.values, np.int64)) if later.is_valid else again
-                    mask = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(mask, gone, 1)
-                    np.add.at(mask, gone + WINDOW, -1)
-                    stays = np.cumsum(mask[:-1]) == 0
-                    removed.append(int(len(words) - stays.sum()))
-                    kept.append(hashlib.sha256(b" ".join(words[i] for i in np.flatnonzero(stays))).hexdigest())
+                for words, begin in zip(p.words, p.begins.tolist(), strict=True):
+                    own = stays[begin : begin + len(words)]
+                    removed.append(int(len(words) - own.sum()))
+                    kept.append(hashlib.sha256(b" ".join(compress(words, own.tolist()))).hexdigest())
                 yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["id", "mark", "n_removed", "kept"])
 
     kind = dict(cut.dtypes)["id"]
@@ -261,25 +265,25 @@ def without(cut: DataFrame) -> DataFrame:
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_removed, kept_sha256) for every row of ``docs``."""
-    seen = stage(described(docs, id_col, text_col), "substring-places")
+    seen = written(described(docs, id_col, text_col), "substring-places")
     firsts = seen.where("id is not null").groupBy("digest").agg(F.min("id").alias("first"))
     copy = F.coalesce((F.col("id") > F.col("first")) & (F.col("n_words") >= WINDOW), F.lit(False))
-    base = stage(seen.drop("keys", "at").join(firsts, "digest", "left").select("id", "mark", "n_words", "plain", copy.alias("copy")), "substring-base")
+    base = written(seen.drop("keys", "at").join(firsts, "digest", "left").select("id", "mark", "n_words", "plain", copy.alias("copy")), "substring-base")
     same = (F.col("id") == F.col("i")) & (F.col("mark") == F.col("m"))
     renamed = lambda df, *more: df.select(F.col("id").alias("i"), F.col("mark").alias("m"), *more)
 
     # Names that occur twice are written down, so that the joins with them can split a name that very many rows have.
     spots = seen.where("id is not null").select("id", "mark", F.explode(F.arrays_zip("keys", "at")).alias("p")).select("id", "mark", F.col("p.keys").alias("key"), F.col("p.at").alias("at"))
-    shared = stage(spots.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("k")), "substring-shared")
+    shared = written(spots.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("k")), "substring-shared")
     met = spots.join(shared, F.col("key") == F.col("k"), "left_semi").groupBy("id", "mark").agg(F.collect_set("at").alias("at"))
     met = met.join(renamed(base.where("not copy")), same, "left_semi")
     text = text_bytes(text_col)
     texts = docs.select(F.col(f"`{id_col}`").alias("i"), F.crc32(text).alias("m"), text.alias("text"))
-    near = stage(met.join(texts, same).select("id", "mark", "at", "text"), "substring-near")
+    near = written(met.join(texts, same).select("id", "mark", "at", "text"), "substring-near")
 
     windows = windows_of(near)
     earliest = windows.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.count("*").alias("n")).where("n > 1")
-    earliest = stage(earliest.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), "low"), "substring-earliest")
+    earliest = written(earliest.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), "low"), "substring-earliest")
     later = windows.join(earliest, (F.col("h1") == F.col("e1")) & (F.col("h2") == F.col("e2"))).where("id > low")
     starts = renamed(later.groupBy("id", "mark").agg(F.collect_set("start").alias("starts")), "starts")
     kept = without(near.join(starts, same, "left").select("id", "mark", "at", "starts", "text")).where("n_removed > 0")

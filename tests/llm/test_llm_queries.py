@@ -10,6 +10,7 @@ import corpus_pipeline
 from churnwright.llm import decontaminate, pii, toxicity
 from churnwright.llm.common import LOWER, table
 from churnwright.llm.queries import ORACLE, QUERIES
+from churnwright.session import stage
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -39,12 +40,13 @@ def simhash_grams(text):
 
 
 def test_pipeline_stages(spark):
-    docs = table(spark, FOLDER, "documents").cache()
+    step = lambda k, docs: stage(corpus_pipeline.STAGES[k][1](spark, docs, FOLDER), "test-stage")
+    docs = table(spark, FOLDER, "documents")
     model = toxicity.learn(docs, table(spark, FOLDER, "labels"))
-    calm = corpus_pipeline.STAGES[0][1](spark, docs, FOLDER)
+    calm = step(0, docs)
     score = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
     assert {r.doc_id for r in calm.collect()} == {d for d, s in score.items() if s < 0.5}
-    one = corpus_pipeline.STAGES[1][1](spark, calm, FOLDER)
+    one = step(1, calm)
     texts = {r.doc_id: r.text for r in calm.collect()}
     left = {r.doc_id for r in one.collect()}
     grams = {d: simhash_grams(t) for d, t in texts.items()}
@@ -52,10 +54,10 @@ def test_pipeline_stages(spark):
     lost = [d for d in texts if d not in left and not any(alike(d, e) for e in texts if e < d)]
     equal = [d for d in left if any(texts[d] == texts[e] for e in texts if e < d)]
     assert not lost and not equal and len(left) < len(texts)
-    fresh = corpus_pipeline.STAGES[2][1](spark, one, FOLDER)
+    fresh = step(2, one)
     found = decontaminate.matches(one, table(spark, FOLDER, "benchmark")).collect()
     assert {r.doc_id for r in fresh.collect()} == {r.doc_id for r in found if not (r.hits and 20 * len(r.hits) >= r.n_words)}
-    safe = corpus_pipeline.STAGES[3][1](spark, fresh, FOLDER)
+    safe = step(3, fresh)
     assert calm.columns == one.columns == fresh.columns == safe.columns == docs.columns
     assert pii.personal_data(safe, {"trees": [], "cuts": {}}).where("size(chosen) > 0").count() == 0
     tokens = corpus_pipeline.STAGES[4][1](spark, safe, FOLDER).collect()
