@@ -20,8 +20,12 @@ no neighbour. A first, narrower ball finds out which bits can matter:
    differs only in such bits, so the ball of radius 2 over those bits is enough.
 
 ``keep_first`` takes out near copies by the similarity of their word shingles. Fingerprints of
-shingles move too far for that (five words are lost for each one changed), so its candidates
-come from two fingerprints of the words, by the same ball, and are then compared.
+shingles move too far for that (five words are lost for each one changed), so its first candidates
+come from two fingerprints of the words, by the same ball. That finds the bulk cheaply but not all:
+an added passage moves too many bits. The second source is complete: of two texts of n distinct
+shingles or fewer with a similarity of 0.8, each shares one of its first n - ceil(0.8 n) + 1 with the
+other's, in any order of shingles that holds for all texts. The order here puts those last that are
+frequent in a sample, so that common passages do not bring texts together. All candidates are compared.
 
 Rows: null and empty texts have the fingerprint zero and link like any other.
 Repeated rows and doc_ids give one output row each. A null doc_id keeps its row and
@@ -30,6 +34,7 @@ does not name a component unless nothing else does.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import repeat
@@ -37,16 +42,18 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from churnwright.llm.common import LOWER, components, map_rows, pieces, table, text_bytes
+from churnwright.llm.common import LOWER, components, map_rows, pieces, table, text_bytes, written
+from churnwright.llm.learning import by_hash
 from churnwright.session import stage
 
 RADIUS = 4
 SEED = 42
 BLOCKS = ((0, 21), (21, 42), (42, 64))
+SAMPLE, FREQUENT, NAMED = 10_000, 4, 200_000  # texts asked for frequent shingles, how often, and how many are told to the tasks
 
 
 def fingerprint(text: bytes, shingle: int = 4) -> int:
@@ -172,32 +179,138 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) ->
     return both.mapInArrow(run, both.select("u", "v").schema)
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """(id) of the rows to keep: one for each group of texts that are linked by a similarity of ``least`` or more.
+class WordHashes(dict):
+    """Hashes of words, each made once; emptied at a fixed size."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 200_000:
+            self.clear()
+        self[word] = made = xxhash.xxh64_intdigest(word, SEED)
+        return made
+
+
+def shingle_hashes(text: bytes, shingle: int, hashes: WordHashes) -> np.ndarray:
+    """The distinct shingles of ``similarity`` as sorted 64-bit hashes."""
+    words = text.translate(LOWER).split()
+    if len(words) < shingle:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED + 1)], np.uint64)
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    n = len(words) - shingle + 1
+    out = np.zeros(n, np.uint64)
+    for i in range(shingle):
+        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + h[i : i + n])
+    return np.unique(out)
 
-    Candidates are texts within four bits in either of two word fingerprints, found by the ball; they are compared by their
-    word shingles. Equal texts are one. The smallest id of a group stays.
-    """
-    named = docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("id"), text_bytes(text_col).alias("text"))
+
+def prefix(grams: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
+    """The shingles of which a text shares one with every text of a similarity of ``least`` or more, in the order that holds for all."""
+    n = len(grams)
+    keys, counts = frequent
+    if len(keys):
+        at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
+        grams = grams[np.argsort(np.where(keys[at] == grams, counts[at], 0), kind="stable")]
+    return grams[: n - math.ceil(least * n - 1e-9) + 1]
+
+
+def frequent_shingles(named: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of shingles that occur in ``FREQUENT`` or more of a sample of texts; only the order of shingles depends on it."""
+
+    def make() -> Callable[[list], list[tuple]]:
+        hashes = WordHashes()
+        return lambda texts: [(shingle_hashes(t, shingle, hashes).view(np.int64).tolist(),) for t in texts]
+
+    grams = map_rows(by_hash(named.select("id", "text"), "id", SAMPLE), make, "grams array<bigint>")
+    counted = grams.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT)
+    rows = counted.orderBy(F.desc("n"), "gram").limit(NAMED).collect()
+    keys = np.array([r.gram for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], np.array([r.n for r in rows], np.int64)[order]
+
+
+def distinct_texts(named: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(node, id, digest, fp0, fp1, n, grams): a number for each distinct text of (id, digest, text), its smallest id, fingerprints and prefix."""
+    held = named.sparkSession.sparkContext.broadcast(frequent_shingles(named, shingle))
 
     def make() -> Callable[[list], list[tuple]]:
-        return lambda texts: [tuple(map(signed, word_fingerprints(t))) for t in texts]
+        hashes, frequent = WordHashes(), held.value
+
+        def one(text: bytes) -> tuple:
+            grams = shingle_hashes(text, shingle, hashes)
+            return *map(signed, word_fingerprints(text)), len(grams), prefix(grams, frequent, least).view(np.int64).tolist()
+
+        return lambda texts: [one(t) for t in texts]
 
-    seen = stage(map_rows(named.select("id", F.unhex(F.md5("text")).alias("digest"), "text"), make, "fp0 bigint, fp1 bigint"), "copies")
-    once = stage(seen.groupBy("digest", "fp0", "fp1").agg(F.min("id").alias("id")).select("id", "fp0", "fp1"), "copies-texts")
+    seen = map_rows(named.select("id", "digest", "text"), make, "fp0 bigint, fp1 bigint, n int, grams array<bigint>")
+    once = seen.groupBy("digest").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("fp0", "fp1", "n", "grams")])
+    return written(once.select(F.monotonically_increasing_id().alias("node"), "id", "digest", "fp0", "fp1", "n", "grams"), "copies-texts")
+
+
+def ball_pairs(once: DataFrame) -> DataFrame:
+    """(u, v): nodes whose word fingerprints are within four bits in either kind, as stars."""
     pairs = None
     for name in ("fp0", "fp1"):
-        fps = stage(once.groupBy(F.col(name).alias("fp")).agg(F.min("id").alias("first")), "copies-fps")
-        first = lambda c, fps=fps: fps.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_id"))
-        across = ball_links(differing_bits(fps)).join(first("u"), "u").join(first("v"), "v").select(F.col("u_id").alias("u"), F.col("v_id").alias("v"))
-        within = once.join(fps, F.col(name) == F.col("fp")).where("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v"))
+        fps = stage(once.groupBy(F.col(name).alias("fp")).agg(F.min("node").alias("first")), "copies-fps")
+        first = lambda c, fps=fps: fps.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_node"))
+        across = ball_links(differing_bits(fps)).join(first("u"), "u").join(first("v"), "v").select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
+        within = once.join(fps, F.col(name) == F.col("fp")).where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
         both = across.unionByName(within).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         pairs = both if pairs is None else pairs.unionByName(both)
-    pairs = stage(pairs.where("u <> v").distinct(), "copies-pairs")
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("w")).distinct()
-    texts = stage(named.join(wanted, F.col("id") == F.col("w"), "left_semi").dropDuplicates(["id"]), "copies-compared")
-    roots = components(verified(pairs, texts, shingle, least), "copies-links")
-    return once.select("id").join(roots.where("node <> root"), F.col("id") == F.col("node"), "left_anti")
+    return pairs.where("u <> v").distinct()
+
+
+def shared_shingles(once: DataFrame) -> DataFrame:
+    """(gram, node, n, at): the prefix shingles that two texts or more have, and their places in the prefix."""
+    each = once.select("node", "n", F.posexplode("grams").alias("at", "gram"))
+    count = F.count("*").over(Window.partitionBy("gram"))
+    return written(each.select("gram", "node", "n", "at", count.alias("texts")).where("texts > 1").drop("texts"), "copies-shared")
+
+
+def can_reach(a: str, b: str, least: float) -> Column:
+    """Whether texts whose first common shingle in the order is at these places can be similar: it and all that follow are the most they share."""
+    col = lambda side, c: F.col(f"{side}.{c}")
+    most = F.least(col(a, "n") - col(a, "at"), col(b, "n") - col(b, "at"))
+    return most * (1 + least) >= (col(a, "n") + col(b, "n")) * least - 1e-6
+
+
+def joined_roots(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``nodes`` with the root of the group that each is in so far."""
+    known = roots.select(F.col("node").alias("__node"), "root")
+    return nodes.join(known, F.col("node") == F.col("__node"), "left").drop("__node").withColumn("root", F.coalesce("root", "node"))
+
+
+def linked(pairs: DataFrame, once: DataFrame, named: DataFrame, roots: DataFrame | None, shingle: int, least: float) -> DataFrame:
+    """(node, root): the groups ``roots`` grown by those of the pairs (u, v) of nodes that are similar."""
+    pairs = stage(pairs, "copies-pairs")
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    places = once.select("node", F.col("id").alias("__id"), F.col("digest").alias("__digest")).join(wanted, "node")
+    texts = named.join(places, (F.col("id") == F.col("__id")) & (F.col("digest") == F.col("__digest"))).dropDuplicates(["node"])
+    texts = stage(texts.select(F.col("node").alias("id"), "text"), "copies-compared")
+    links = verified(pairs, texts, shingle, least)
+    if roots is not None:
+        links = links.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    return components(links, "copies-links")
+
+
+def open_pairs(shared: DataFrame, least: float) -> DataFrame:
+    """(u, v): all texts of a shared shingle that are in different groups and can be similar."""
+    side = lambda c: shared.select("gram", F.struct("node", "n", "at", "root").alias(c))
+    both = side("x").join(side("y"), "gram").where("x.node > y.node and x.root <> y.root").where(can_reach("x", "y", least))
+    return both.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """(id) of the rows to keep: one for each group of texts that are linked by a similarity of ``least`` or more.
+
+    First candidates are texts within four bits in either of two word fingerprints, found by the ball; then texts that share
+    a shingle of their prefixes. They are compared by their word shingles. Equal texts are one. The smallest id of a group stays.
+    """
+    named = docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("id"), text_bytes(text_col).alias("text"))
+    named = named.select("id", F.unhex(F.md5("text")).alias("digest"), "text")
+    once = distinct_texts(named, shingle, least)
+    roots = linked(ball_pairs(once), once, named, None, shingle, least)
+    shared = shared_shingles(once)
+    roots = linked(open_pairs(joined_roots(shared, roots), least), once, named, roots, shingle, least)
+    return joined_roots(once.select("node", "id"), roots).groupBy("root").agg(F.min("id").alias("id")).select("id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:

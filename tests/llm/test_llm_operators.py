@@ -154,6 +154,33 @@ def test_near_copies_leave_one_of_each_group(spark, docs, none):
     assert simhash.keep_first(none).count() == 0
 
 
+def plain_kept(texts):
+    """The smallest id of each group of texts that are linked by a similarity of 0.8 or more."""
+    ids = sorted(texts)
+    roots = linked(len(ids), [(i, j) for i in range(len(ids)) for j in range(i) if plain_similarity(texts[ids[i]], texts[ids[j]]) >= 0.8])
+    return {min(d for d, y in zip(ids, roots) if y == x) for x in roots}
+
+
+def test_near_copies_of_every_kind_of_edit(spark):
+    rnd = random.Random(21)
+    many = [f"w{i}" for i in range(3000)]
+    fresh = lambda n: [rnd.choice(many) for _ in range(n)]
+    texts = {}
+    for i in range(12):
+        w = fresh(150)
+        run, run_far, spread = list(w), list(w), list(w)
+        run[60:70], run_far[60:90] = fresh(10), fresh(30)
+        for k in (30, 75, 120):
+            spread[k] = f"edit{i}"
+        made = [w, w + fresh(30), fresh(25) + w, run, spread, run_far, w + fresh(60)]
+        for kind, x in enumerate(made):
+            texts[1000 * kind + i] = " ".join(x)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    want = plain_kept(texts)
+    assert {r.doc_id for r in simhash.keep_first(df).collect()} == want
+    assert set(range(12)) <= want and not want & {1000 * kind + i for kind in range(1, 5) for i in range(12)} and len(want) > 24
+
+
 def plain_contamination(text, items):
     pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     w = re.findall(pattern, lower(text))
