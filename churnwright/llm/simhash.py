@@ -54,6 +54,7 @@ RADIUS = 4
 SEED = 42
 BLOCKS = ((0, 21), (21, 42), (42, 64))
 SAMPLE, FREQUENT, NAMED = 10_000, 4, 200_000  # texts asked for frequent shingles, how often, and how many are told to the tasks
+PAIRS = 4  # open pairs per row of shared shingles from which on stars go first
 
 
 def fingerprint(text: bytes, shingle: int = 4) -> int:
@@ -291,9 +292,32 @@ def linked(pairs: DataFrame, once: DataFrame, named: DataFrame, roots: DataFrame
     return components(links, "copies-links")
 
 
-def open_pairs(shared: DataFrame, least: float) -> DataFrame:
+def mixed_shingles(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of shared shingles whose texts are in more than one group, with their roots."""
+    now = joined_roots(shared.select("gram", "node", "n", "at"), roots)
+    same = Window.partitionBy("gram")
+    marked = now.select("*", F.min("root").over(same).alias("low"), F.max("root").over(same).alias("high"))
+    return written(marked.where("low <> high").select("gram", "node", "n", "at", "root"), "copies-open")
+
+
+def open_size(rows: DataFrame) -> tuple[int, float]:
+    """(rows, pairs): how many rows there are, and how many pairs of them share a shingle and are in different groups."""
+    per_root = rows.groupBy("gram", "root").agg(F.count("*").cast("double").alias("c"))
+    per_gram = per_root.groupBy("gram").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
+    found = per_gram.agg(F.sum("m").alias("rows"), F.sum(F.col("m") * F.col("m") - F.col("own")).alias("twice")).first()
+    return int(found.rows or 0), (found.twice or 0.0) / 2
+
+
+def star_pairs(rows: DataFrame, turn: int, least: float) -> DataFrame:
+    """(u, v): the texts of each shared shingle with one of them, another in each turn, if in another group."""
+    head = F.min_by(F.struct("node", "n", "at", "root"), F.xxhash64("node", F.lit(turn))).over(Window.partitionBy("gram"))
+    both = rows.select(F.struct("node", "n", "at", "root").alias("x"), head.alias("y")).where("x.root <> y.root").where(can_reach("x", "y", least))
+    return both.select(F.greatest("x.node", "y.node").alias("u"), F.least("x.node", "y.node").alias("v")).distinct()
+
+
+def open_pairs(rows: DataFrame, least: float) -> DataFrame:
     """(u, v): all texts of a shared shingle that are in different groups and can be similar."""
-    side = lambda c: shared.select("gram", F.struct("node", "n", "at", "root").alias(c))
+    side = lambda c: rows.select("gram", F.struct("node", "n", "at", "root").alias(c))
     both = side("x").join(side("y"), "gram").where("x.node > y.node and x.root <> y.root").where(can_reach("x", "y", least))
     return both.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
 
@@ -303,13 +327,26 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     First candidates are texts within four bits in either of two word fingerprints, found by the ball; then texts that share
     a shingle of their prefixes. They are compared by their word shingles. Equal texts are one. The smallest id of a group stays.
+
+    A text that is unlike the one it was compared with is not done: as long as a shared shingle has texts of different groups,
+    they are compared. Stars around another text in each turn join large groups first, so that few pairs are left; then all that
+    are left are compared. Only where very many texts that are not similar share rare shingles does that grow with their square.
     """
     named = docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("id"), text_bytes(text_col).alias("text"))
     named = named.select("id", F.unhex(F.md5("text")).alias("digest"), "text")
     once = distinct_texts(named, shingle, least)
     roots = linked(ball_pairs(once), once, named, None, shingle, least)
-    shared = shared_shingles(once)
-    roots = linked(open_pairs(joined_roots(shared, roots), least), once, named, roots, shingle, least)
+    rows = mixed_shingles(shared_shingles(once), roots)
+    size, ahead = open_size(rows)
+    turn = 0
+    while ahead > PAIRS * size:
+        roots = linked(star_pairs(rows, turn, least), once, named, roots, shingle, least)
+        rows, before = mixed_shingles(rows, roots), ahead
+        size, ahead = open_size(rows)
+        turn += 1
+        if ahead > before / 2:
+            break
+    roots = linked(open_pairs(rows, least), once, named, roots, shingle, least)
     return joined_roots(once.select("node", "id"), roots).groupBy("root").agg(F.min("id").alias("id")).select("id")
 
 

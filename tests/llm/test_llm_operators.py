@@ -181,6 +181,21 @@ def test_near_copies_of_every_kind_of_edit(spark):
     assert set(range(12)) <= want and not want & {1000 * kind + i for kind in range(1, 5) for i in range(12)} and len(want) > 24
 
 
+def test_near_copies_with_the_words_of_another_order(spark, monkeypatch):
+    rnd = random.Random(22)
+    words = [f"w{i}" for i in range(120)]
+    texts = {}
+    for i in range(10):
+        order = rnd.sample(words, len(words))
+        texts[2 * i], texts[2 * i + 1] = " ".join(order), " ".join([*order[6:], *order[:6]])
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    want = plain_kept(texts)
+    assert want == {2 * i for i in range(10)}
+    for pairs in (simhash.PAIRS, 0):
+        monkeypatch.setattr(simhash, "PAIRS", pairs)
+        assert {r.doc_id for r in simhash.keep_first(df).collect()} == want
+
+
 def plain_contamination(text, items):
     pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     w = re.findall(pattern, lower(text))
