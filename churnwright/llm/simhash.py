@@ -323,7 +323,7 @@ def open_pairs(rows: DataFrame, least: float) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """(id) of the rows to keep: one for each group of texts that are linked by a similarity of ``least`` or more.
+    """(id, digest) of the rows to keep, by id and MD5 of the text: one for each group of texts that are linked by a similarity of ``least`` or more.
 
     First candidates are texts within four bits in either of two word fingerprints, found by the ball; then texts that share
     a shingle of their prefixes. They are compared by their word shingles. Equal texts are one. The smallest id of a group stays.
@@ -347,20 +347,22 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if ahead > before / 2:
             break
     roots = linked(open_pairs(rows, least), once, named, roots, shingle, least)
-    return joined_roots(once.select("node", "id"), roots).groupBy("root").agg(F.min("id").alias("id")).select("id")
+    least_of = F.min(F.struct("id", "digest")).alias("kept")
+    return joined_roots(once.select("node", "id", "digest"), roots).groupBy("root").agg(least_of).select("kept.id", "kept.digest")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
     """One row of each group of near copies, with all its columns: the one with the smallest id; rows with a null id stay.
 
-    Of rows that repeat an id the one with the smallest text hash stays.
+    Every text is judged for itself, also where texts share an id; of rows that repeat both id and text one stays.
     """
-    kept = stage(near_copies(docs, id_col, text_col, shingle, least).withColumnRenamed("id", "__kept"), "copies-kept")
+    kept = stage(near_copies(docs, id_col, text_col, shingle, least).select(F.col("id").alias("__kept"), F.col("digest").alias("__digest")), "copies-kept")
     unnamed = docs.where(F.col(f"`{id_col}`").isNull())
-    named = docs.join(kept.select("__kept").distinct(), F.col(f"`{id_col}`") == F.col("__kept"), "left_semi")
-    if not docs.where(F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`")).count().where("count > 1").isEmpty():
+    key = [F.col(f"`{id_col}`").alias("__id"), F.unhex(F.md5(text_bytes(text_col))).alias("__text")]
+    named = docs.join(kept, (F.col(f"`{id_col}`") == F.col("__kept")) & (F.unhex(F.md5(text_bytes(text_col))) == F.col("__digest")), "left_semi")
+    if not docs.where(F.col(f"`{id_col}`").isNotNull()).groupBy(*key).count().where("count > 1").isEmpty():
         row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-        named = named.groupBy(F.col(f"`{id_col}`").alias("__kept")).agg(F.min_by(row, F.xxhash64(F.col(f"`{text_col}`"))).alias("__row")).select("__row.*")
+        named = named.groupBy(*key).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("__row")).select("__row.*")
     return named.unionByName(unnamed)
 
 

@@ -196,6 +196,14 @@ def test_near_copies_with_the_words_of_another_order(spark, monkeypatch):
         assert {r.doc_id for r in simhash.keep_first(df).collect()} == want
 
 
+def test_near_copies_judge_texts_that_share_an_id(spark):
+    rnd = random.Random(23)
+    copied, mine, other = words_of(rnd, 80), " ".join(f"a{i}" for i in range(80)), " ".join(f"b{i}" for i in range(80))
+    rows = [(1, copied), (5, copied), (5, mine), (5, mine), (5, other), (6, other + " end")]
+    left = simhash.keep_first(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [(1, copied), (5, mine), (5, other)]
+
+
 def plain_contamination(text, items):
     pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     w = re.findall(pattern, lower(text))
