@@ -462,6 +462,13 @@ def test_personal_data_finds_further_forms(spark):
     assert all(s.end <= len(dict(rows)[d]) for d, spans in found.items() for s in spans) and not found[9002]
 
 
+def test_personal_data_without_digit_or_at_sign_is_a_candidate(spark):
+    rows = [(0, "write to jane (at) example (dot) org"), (1, "host abcd:abcd:abcd:abcd:abcd:abcd:abcd:abcd up"), (2, "no data (at all)")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: [(s.kind_no, s.start, s.end) for s in r["__spans"]] for r in pii.candidates(docs, "text").collect()}
+    assert found == {0: [(0, 9, 36)], 1: [(1, 5, 44)], 2: []}
+
+
 def test_vectors(spark):
     rnd = np.random.default_rng(3)
     centres = rnd.normal(size=(12, 16))
