@@ -469,6 +469,18 @@ def test_personal_data_without_digit_or_at_sign_is_a_candidate(spark):
     assert found == {0: [(0, 9, 36)], 1: [(1, 5, 44)], 2: []}
 
 
+def test_personal_data_decides_further_forms_by_their_own_checks(spark):
+    yes = ["write to jane (at) example (dot) org", "call (212) 555-0100 now", "card 4111.1111.1111.1111 ok", "host 2001:0db8:0000:0000:0000:ff00:0042:8329 up", "host dead:beef:dead:beef:dead:beef:dead:beef up"]
+    no = ["sold jane (at) version.2 now", "call 00124 1234-1234 1234 now", "card 4111.1111.1111.1112 ok", "disk 00:11:22:33:44:55:66:77 up", "jane.(at) example.org"]
+    rows = [(i, t) for i, t in enumerate(pii_texts() * 3)] + [(9000 + i, t) for i, t in enumerate(yes)] + [(9100 + i, t) for i, t in enumerate(no)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for model in (pii.learn(docs), {"trees": [], "cuts": {}}):
+        found = {r.doc_id: [(pii.KINDS[s.kind_no], s.start, s.end) for s in r.chosen] for r in pii.personal_data(docs, model).where("doc_id >= 9000").collect()}
+        kinds = [("email", 9, 36), ("phone", 5, 19), ("card", 5, 24), ("ip", 5, 44), ("ip", 5, 44)]
+        assert [found[9000 + i] for i in range(len(yes))] == [[k] for k in kinds]
+        assert not any(found[9100 + i] for i in range(len(no)))
+
+
 def test_vectors(spark):
     rnd = np.random.default_rng(3)
     centres = rnd.normal(size=(12, 16))
