@@ -33,6 +33,7 @@ from churnwright.llm.common import map_rows, table, text_bytes
 
 MAX_PIECES = 200_000
 MAX_MOVES = 400_000
+PART = 4096  # ids decoded at a time
 # An open start is its place in the trie and the token before it, a move the next state and a token: each pair in one number.
 LOW_BITS = 24
 LOW = (1 << LOW_BITS) - 1
@@ -247,10 +248,6 @@ class Utf8:
         return data[:open_at].decode("utf-8", "replace")
 
 
-def decode_bytes(ids: np.ndarray, tokens: list[bytes]) -> bytes:
-    return b"".join(map(tokens.__getitem__, ids.tolist()))
-
-
 def decode_stream(parts: Iterable[Iterable[int]], tokens: list[bytes]) -> Iterator[str]:
     """Text of a stream of ids as soon as its characters are complete."""
     machine = Utf8()
@@ -259,6 +256,18 @@ def decode_stream(parts: Iterable[Iterable[int]], tokens: list[bytes]) -> Iterat
     yield machine.feed(b"", last=True)
 
 
+def in_parts(ids: np.ndarray, part: int = PART) -> Iterator[list[int]]:
+    return (ids[at : at + part].tolist() for at in range(0, len(ids), part))
+
+
+def decoded_digest(ids: np.ndarray, tokens: list[bytes], part: int = PART) -> str:
+    """SHA-256 of the text of ``ids``, decoded as a stream of ``part`` ids at a time."""
+    digest = hashlib.sha256()
+    for text in decode_stream(in_parts(ids, part), tokens):
+        digest.update(text.encode("utf-8"))
+    return digest.hexdigest()
+
+
 def worker_encoder(ranks: dict[bytes, int], pattern: str, kept: dict) -> Encoder:
     """The worker's encoder: a broadcast value stays in a Python worker from task to task."""
     if "encoder" not in kept:
@@ -289,7 +298,7 @@ def decoded(rows: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", id
     held = rows.sparkSession.sparkContext.broadcast(token_list(ranks))
 
     def make() -> Callable[[list], list[tuple]]:
-        return lambda packed: [("".join(decode_stream([np.frombuffer(p, "<u4").tolist()], held.value)),) for p in packed]
+        return lambda packed: [("".join(decode_stream(in_parts(np.frombuffer(p, "<u4")), held.value)),) for p in packed]
 
     return map_rows(rows.select(F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{ids_col}`"), F.lit(b""))), make, "text string")
 
@@ -303,8 +312,8 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: s
 
         def one(text: bytes) -> tuple:
             packed = coder.encode(text.decode("utf-8", "replace"))
-            back = decode_bytes(np.frombuffer(packed, "<u4"), tokens)
-            return len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(back).hexdigest(), packed
+            back = decoded_digest(np.frombuffer(packed, "<u4"), tokens)
+            return len(packed) // 4, hashlib.sha256(packed).hexdigest(), back, packed
 
         return lambda texts: [one(t) for t in texts]
 

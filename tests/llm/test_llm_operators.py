@@ -531,6 +531,18 @@ def test_tokens(spark, docs, none, coder):
     assert bpe.round_trip(none, ranks, pattern).count() == 0
 
 
+def test_round_trip_decodes_a_stream_of_parts(spark, coder, monkeypatch):
+    ranks, pattern = coder
+    text = "añ 日本 😀🀄 \U0001f9ff end " * 40
+    ids = np.frombuffer(bpe.Encoder(ranks, pattern).encode(text), "<u4")
+    want = hashlib.sha256(text.encode()).hexdigest()
+    assert all(bpe.decoded_digest(ids, bpe.token_list(ranks), part) == want for part in (1, 2, 7, bpe.PART))
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert bpe.round_trip(df, ranks, pattern).first().decoded_sha256 == want
+    monkeypatch.setattr(bpe, "decoded_digest", lambda ids, tokens: f"{len(ids)} ids")
+    assert bpe.round_trip(df, ranks, pattern).first().decoded_sha256 == f"{len(ids)} ids"
+
+
 def test_transducer_with_small_stores_and_streams(coder):
     tiktoken = pytest.importorskip("tiktoken")
     ranks, pattern = coder
