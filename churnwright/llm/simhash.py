@@ -250,11 +250,11 @@ def ball_pairs(once: DataFrame) -> DataFrame:
     """(u, v): nodes whose word fingerprints are within four bits in either kind, as stars."""
     pairs = None
     for name in ("fp0", "fp1"):
-        fps = stage(once.groupBy(F.col(name).alias("fp")).agg(F.min("node").alias("first")), "copies-fps")
+        fps = written(once.groupBy(F.col(name).alias("fp")).agg(F.min("node").alias("first")), "copies-fps")
         first = lambda c, fps=fps: fps.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_node"))
         across = ball_links(differing_bits(fps)).join(first("u"), "u").join(first("v"), "v").select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
         within = once.join(fps, F.col(name) == F.col("fp")).where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
-        both = across.unionByName(within).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        both = written(across.unionByName(within).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "copies-ball")
         pairs = both if pairs is None else pairs.unionByName(both)
     return pairs.where("u <> v").distinct()
 
@@ -281,12 +281,12 @@ def joined_roots(nodes: DataFrame, roots: DataFrame) -> DataFrame:
 
 def linked(pairs: DataFrame, once: DataFrame, named: DataFrame, roots: DataFrame | None, shingle: int, least: float) -> DataFrame:
     """(node, root): the groups ``roots`` grown by those of the pairs (u, v) of nodes that are similar."""
-    pairs = stage(pairs, "copies-pairs")
+    pairs = written(pairs, "copies-pairs")
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     places = once.select("node", F.col("id").alias("__id"), F.col("digest").alias("__digest")).join(wanted, "node")
     texts = named.join(places, (F.col("id") == F.col("__id")) & (F.col("digest") == F.col("__digest"))).dropDuplicates(["node"])
-    texts = stage(texts.select(F.col("node").alias("id"), "text"), "copies-compared")
-    links = verified(pairs, texts, shingle, least)
+    texts = written(texts.select(F.col("node").alias("id"), "text"), "copies-compared")
+    links = written(verified(pairs, texts, shingle, least), "copies-similar")
     if roots is not None:
         links = links.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
     return components(links, "copies-links")
@@ -356,7 +356,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Every text is judged for itself, also where texts share an id; of rows that repeat both id and text one stays.
     """
-    kept = stage(near_copies(docs, id_col, text_col, shingle, least).select(F.col("id").alias("__kept"), F.col("digest").alias("__digest")), "copies-kept")
+    kept = written(near_copies(docs, id_col, text_col, shingle, least).select(F.col("id").alias("__kept"), F.col("digest").alias("__digest")), "copies-kept")
     unnamed = docs.where(F.col(f"`{id_col}`").isNull())
     key = [F.col(f"`{id_col}`").alias("__id"), F.unhex(F.md5(text_bytes(text_col))).alias("__text")]
     named = docs.join(kept, (F.col(f"`{id_col}`") == F.col("__kept")) & (F.unhex(F.md5(text_bytes(text_col))) == F.col("__digest")), "left_semi")
