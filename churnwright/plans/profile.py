@@ -68,7 +68,7 @@ def _(t):
     df = t.orders.select("o_orderdate", F.when(F.col("o_orderkey") % 9 != 0, F.col("o_orderpriority")).alias("priority"), "o_custkey")
     return p.schema_profile(df, 3).select(
         "column", "dtype", "nullable", F.col("min").alias("low"), F.col("max").alias("high"),
-        F.col("n_categories").cast("double").alias("n_categories"), F.array_join("categories", "|").alias("categories"),
+        F.col("n_categories").cast("double").alias("n_categories"), F.array_join("example_values", "|").alias("categories"),
     )
 
 
