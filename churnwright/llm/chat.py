@@ -70,7 +70,8 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     """(role, text) of the turns of a formatted text."""
     names = {mark: role for role, mark in ROLES.items()}
     out, at = [], 0
-    mark = re.compile(rf"(?<!\\)(?:{'|'.join(map(re.escape, SHOWN))})")
+    # a mark that begins with a line end may follow a backslash; the others follow a line end
+    mark = re.compile("|".join(("" if s[0] == "\n" else r"(?<!\\)") + re.escape(s) for s in SHOWN))
     while at < len(formatted):
         head = mark.match(formatted, at)
         kind, at = SHOWN.index(head[0]), head.end()

@@ -18,7 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_equals_its_sql(spark, key):
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "labels", "embeddings"):
+    for name in ("documents", "benchmark", "labels", "embeddings", "conversations"):
         con.sql(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{FOLDER}/{name}.parquet')")
     got = QUERIES[key](spark, FOLDER).toPandas()
     want = con.sql(ORACLE[key]).df()
