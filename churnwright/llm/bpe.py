@@ -9,9 +9,12 @@ before it. A move gives the token that the prefix ends in; what all open starts
 share is certain and given out, a bounded stretch behind the reading place. States
 and moves are made when first needed and kept; equal states are one state.
 
-The whole piece being a token is that token. Pieces already met are looked up. Both
-stores are kept by a Python worker over its tasks and emptied at a fixed size, which
-changes no result.
+The whole piece being a token is that token. Pieces already met are looked up. At the
+last byte of a piece only the token it ends in is asked for, so no state is made that
+nothing goes on from. All stores are kept by a Python worker over its tasks and are
+bounded. States, moves and pairs are emptied at a fixed size; of the pieces, those not
+asked for during as many new ones are dropped, so that common ones stay. None of this
+changes a result.
 
 The ranks are read by the driver and sent to the tasks; a vocabulary has a fixed,
 known size. Rows: a null text is empty and has no tokens. Repeated rows give one
@@ -22,6 +25,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+import sys
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -31,8 +37,9 @@ from pyspark.sql import functions as F
 
 from churnwright.llm.common import map_rows, table, text_bytes
 
-MAX_PIECES = 200_000
+MAX_PIECES = 80_000  # new pieces after which those not asked for meanwhile go
 MAX_MOVES = 400_000
+MAX_PAIRS = 200_000
 PART = 4096  # ids decoded at a time
 # An open start is its place in the trie and the token before it, a move the next state and a token: each pair in one number.
 LOW_BITS = 24
@@ -106,6 +113,8 @@ class Transducer:
         if before == LOW:
             return True
         if (known := self.pairs.get(before << LOW_BITS | token)) is None:
+            if len(self.pairs) >= MAX_PAIRS:
+                self.pairs.clear()
             known = self.pairs[before << LOW_BITS | token] = self.apart(before, token)
         return known
 
@@ -143,11 +152,34 @@ class Transducer:
         self.moves[state << 8 | byte] = made = to << LOW_BITS | ended
         return made
 
+    def ending(self, state: int, byte: int) -> int:
+        """The token in which the encoding ends if this byte is the last one."""
+        if (made := self.moves.get(state << 8 | byte)) is not None:
+            return made & LOW
+        for start in self.states[state]:
+            nxt = self.child.get(start >> LOW_BITS << 8 | byte)
+            if nxt is not None and (token := self.token[nxt]) >= 0 and self.fits(start & LOW, token):
+                return token
+        raise ValueError("every single byte must be a token")
+
     def encode(self, piece: bytes) -> list[int]:
         """The tokens of one piece."""
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        return [token for part in self.stream([piece]) for token in part]
+        if len(piece) > 8 * self.longest:
+            return [token for part in self.stream([piece]) for token in part]
+        if len(self.moves) >= self.max_moves:
+            self.reset()
+        state, last, moves = 0, [], self.moves
+        for byte in piece[:-1]:
+            made = moves.get(state << 8 | byte)
+            if made is None:
+                made = self.move(state, byte)
+            state = made >> LOW_BITS
+            last.append(made & LOW)
+        if piece:
+            last.append(self.ending(state, piece[-1]))
+        return self.back(last, len(last))
 
     def stream(self, parts: Iterable[bytes]) -> Iterator[list[int]]:
         """Tokens of one piece that comes in parts, given out as soon as they are certain."""
@@ -198,33 +230,71 @@ class Transducer:
         return out[::-1]
 
 
+def ascii_form(pattern: str) -> str | None:
+    """The pattern as it reads on ASCII text, for the plain matcher; None if it names more than letters, numbers and white space."""
+    inside = False
+    out = []
+    for part in re.findall(r"\\p\{[^}]*\}|\\.|.", pattern, re.DOTALL):
+        if part in ("[", "]"):
+            inside = part == "["
+        if part.startswith("\\p"):
+            if part not in ASCII_KINDS:
+                return None
+            part = ASCII_KINDS[part] if inside else f"[{ASCII_KINDS[part]}]"
+        out.append(part)
+    return "".join(out)
+
+
+ASCII_KINDS = {r"\p{L}": "A-Za-z", r"\p{N}": "0-9"}
+
+
 class Encoder:
     """Encodes texts to packed ids: little-endian unsigned 32-bit numbers."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = MAX_PIECES):
-        self.machine, self.max_pieces = Transducer(ranks), max_pieces
-        self.cut = regex.compile(pattern).findall
-        self.known = Known(self.machine)
+        self.machine, self.tokens = Transducer(ranks), token_list(ranks)
+        self.cut = self.cut_ascii = regex.compile(pattern).findall
+        if (plain := ascii_form(pattern)) is not None:
+            self.cut_ascii = re.compile(plain, re.ASCII).findall
+        self.known = Known(self.machine, max_pieces)
 
     def encode(self, text: str) -> bytes:
-        if len(self.known) > self.max_pieces:
-            self.known.clear()
-        return b"".join(map(self.known.__getitem__, self.cut(text)))
+        cut = self.cut_ascii if text.isascii() else self.cut
+        out = b"".join(map(self.known.__getitem__, cut(text)))
+        self.known.age()
+        return out
 
 
 class Known(dict):
-    """Packed ids by piece, encoded when first asked for."""
+    """Packed ids by piece, encoded when first asked for.
+
+    Two generations: when the young one is full it becomes the old one, and what
+    was old and has not been asked for since goes.
+    """
 
-    def __init__(self, machine: Transducer):
+    def __init__(self, machine: Transducer, most: int):
         super().__init__()
-        self.machine = machine
+        self.machine, self.most = machine, most
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.machine.encode(piece.encode()), dtype="<u4").tobytes()
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = array("I", self.machine.encode(piece.encode()))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            ids = ids.tobytes()
         if len(piece) <= 64:
             self[piece] = ids
+            if len(self) >= 2 * self.most:  # within one very long text
+                self.age()
         return ids
 
+    def age(self) -> None:
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+
 
 class Utf8:
     """Bytes in, complete characters out; an unfinished character waits for its rest."""
@@ -303,21 +373,23 @@ def decoded(rows: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", id
     return map_rows(rows.select(F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{ids_col}`"), F.lit(b""))), make, "text string")
 
 
-def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256, ids) for every row: encoded, and decoded again from the ids."""
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256, ids) for every row: encoded, and decoded again from the ids; without ``ids`` if not wanted."""
     held = docs.sparkSession.sparkContext.broadcast((ranks, pattern, {}))
 
     def make() -> Callable[[list], list[tuple]]:
-        coder, tokens = worker_encoder(*held.value), token_list(held.value[0])
+        coder = worker_encoder(*held.value)
 
         def one(text: bytes) -> tuple:
             packed = coder.encode(text.decode("utf-8", "replace"))
-            back = decoded_digest(np.frombuffer(packed, "<u4"), tokens)
-            return len(packed) // 4, hashlib.sha256(packed).hexdigest(), back, packed
+            back = decoded_digest(np.frombuffer(packed, "<u4"), coder.tokens)
+            found = len(packed) // 4, hashlib.sha256(packed).hexdigest(), back
+            return (*found, packed) if with_ids else found
 
         return lambda texts: [one(t) for t in texts]
 
-    return map_rows(docs.select(F.col(f"`{id_col}`"), text_bytes(text_col)), make, "n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids binary")
+    schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
+    return map_rows(docs.select(F.col(f"`{id_col}`"), text_bytes(text_col)), make, schema)
 
 
 def public_ranks() -> tuple[dict[bytes, int], str]:
@@ -327,4 +399,4 @@ def public_ranks() -> tuple[dict[bytes, int], str]:
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    return round_trip(table(spark, folder, "documents"), *public_ranks()).drop("ids")
+    return round_trip(table(spark, folder, "documents"), *public_ranks(), with_ids=False)
