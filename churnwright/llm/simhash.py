@@ -11,12 +11,16 @@ so a star from the smallest links them all: there are no pairs to lose and none
 multiply, however large the group.
 
 A full ball has 2,081 variants, most of them for nothing, as most fingerprints have
-no neighbour. A first, narrower ball finds out which bits can matter:
+no neighbour. A first, narrower ball finds out what can matter:
 
 1. The 64 bits are three blocks. Of 4 differing bits at most 2 lie outside the
    worst block, so on the other two blocks (42 or 43 bits) the pair is within 2, and
    meets on a variant within 1: 131 variants per fingerprint.
-2. Fingerprints that meet there give the bits in which they differ. A linked pair
+2. Those that meet there are compared with the smallest of them. What is within the
+   radius is linked, and linked ones become one group. A variant whose fingerprints
+   are all in one group has nothing left to find; most are done here.
+3. On the others, up to ``DIRECT`` fingerprints are compared with each other, inside
+   their row. Where more meet, the bits in which they differ are noted: a linked pair
    differs only in such bits, so the ball of radius 2 over those bits is enough.
 
 ``keep_first`` takes out near copies by the similarity of their word shingles. Fingerprints of
@@ -48,12 +52,14 @@ from pyspark.sql.window import Window
 
 from churnwright.llm.common import LOWER, components, map_rows, pieces, table, text_bytes, written
 from churnwright.llm.learning import by_hash
+from churnwright.operators.lookups import lookup
 from churnwright.session import stage
 
 RADIUS = 4
 SEED = 42
 BLOCKS = ((0, 21), (21, 42), (42, 64))
 SAMPLE, FREQUENT, NAMED = 10_000, 4, 200_000  # texts asked for frequent shingles, how often, and how many are told to the tasks
+DIRECT = 64  # fingerprints on a narrow variant up to which they are compared with each other instead of making balls
 PAIRS = 4  # open pairs per row of shared shingles from which on stars go first
 
 
@@ -100,13 +106,38 @@ def narrow_variants() -> list[tuple[int, int]]:
     return [(signed(k), signed(f)) for k, f in out]
 
 
-def differing_bits(fps: DataFrame) -> DataFrame:
-    """(fp, mask): for fingerprints that may have a neighbour, all bits in which it can differ."""
+def apart(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b))
+
+
+def narrow_keys(fps: DataFrame) -> DataFrame:
+    """(key, fp, n, low): the narrow variants on which two fingerprints or more meet, how many do, and the smallest of them."""
     made = F.array(*[F.struct(F.lit(k).alias("keep"), F.lit(f).alias("flip")) for k, f in narrow_variants()])
-    keys = fps.select("fp", F.explode(F.transform(made, lambda v: F.col("fp").bitwiseAND(v.keep).bitwiseXOR(v.flip))).alias("key"))
-    same = Window.partitionBy("key")
-    apart = F.bit_or("fp").over(same).bitwiseXOR(F.bit_and("fp").over(same))
-    return keys.select("fp", apart.alias("apart")).where("apart <> 0").groupBy("fp").agg(F.bit_or("apart").alias("mask"))
+    each = fps.select("fp", F.explode(F.transform(made, lambda v: F.col("fp").bitwiseAND(v.keep).bitwiseXOR(v.flip))).alias("key"))
+    met = written(each.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("low")).where("n > 1"), "simhash-met")
+    return written(lookup(each, met, ["key"], how="inner").select("key", "fp", "n", "low"), "simhash-narrow")
+
+
+def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(u, v): pairs of fingerprints within ``radius`` bits by which all that are linked can be reached from each other."""
+    keys = narrow_keys(fps)
+    stars = written(keys.where((F.col("fp") != F.col("low")) & (apart(F.col("fp"), F.col("low")) <= radius)).select(F.col("fp").alias("u"), F.col("low").alias("v")).distinct(), "simhash-stars")
+    roots = components(stars, "simhash-groups").select(F.col("node").alias("fp"), "root")
+    now = lookup(keys.select("key", "fp", "n"), written(roots, "simhash-roots"), ["fp"]).withColumn("root", F.coalesce("root", "fp"))
+    now = written(now, "simhash-rooted")
+    same = now.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.bit_or("fp").bitwiseXOR(F.bit_and("fp")).alias("apart"))
+    mixed = written(same.where("least <> most").select("key", "apart"), "simhash-mixed")
+    left = written(lookup(now, mixed, ["key"], how="inner"), "simhash-open")
+    masks = left.where(F.col("n") > DIRECT).groupBy("fp").agg(F.bit_or("apart").alias("mask"))
+    return stars.unionByName(direct_links(left.where(F.col("n") <= DIRECT), radius)).unionByName(ball_links(masks, radius)).distinct()
+
+
+def direct_links(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(u, v): the linked pairs among the few fingerprints of a key that are in different groups; nothing leaves a key but links."""
+    held = rows.groupBy("key").agg(F.collect_list(F.struct("fp", "root")).alias("all"))
+    linked = lambda x: F.filter("all", lambda y: (y.fp < x.fp) & (y.root != x.root) & (apart(x.fp, y.fp) <= radius))
+    pairs = F.flatten(F.transform("all", lambda x: F.transform(linked(x), lambda y: F.struct(x.fp.alias("u"), y.fp.alias("v")))))
+    return held.select(F.explode(pairs).alias("e")).select("e.u", "e.v")
 
 
 def ball_links(masks: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -119,16 +150,17 @@ def ball_links(masks: DataFrame, radius: int = RADIUS) -> DataFrame:
         F.col("bits"),
         F.flatten(F.transform("bits", lambda b, i: F.transform(F.slice("bits", i + 2, F.size("bits")), lambda c: b.bitwiseOR(c)))),
     )
-    balls = bits.select("fp", F.explode(F.transform(flips, lambda f: F.col("fp").bitwiseXOR(f))).alias("variant"))
-    star = balls.select("fp", F.min("fp").over(Window.partitionBy("variant")).alias("low")).where("fp <> low").distinct()
-    return star.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("low"))) <= radius).select(F.col("fp").alias("u"), F.col("low").alias("v"))
+    balls = written(bits.select("fp", F.explode(F.transform(flips, lambda f: F.col("fp").bitwiseXOR(f))).alias("variant")), "simhash-balls")
+    heads = written(balls.groupBy("variant").agg(F.min("fp").alias("low"), F.count("*").alias("n")).where("n > 1").drop("n"), "simhash-heads")
+    star = lookup(balls, heads, ["variant"], how="inner").where("fp <> low").select("fp", "low").distinct()
+    return star.where(apart(F.col("fp"), F.col("low")) <= radius).select(F.col("fp").alias("u"), F.col("low").alias("v"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
     """(id, fp, component_id) for every row: component_id is the smallest id reachable over links."""
     rows = stage(with_fingerprints(docs, id_col, text_col, shingle).withColumnRenamed(id_col, "id"), "simhash")
     fps = stage(rows.groupBy("fp").agg(F.min("id").alias("first")), "simhash-fps")
-    found = components(ball_links(differing_bits(fps)), "simhash-links")
+    found = components(near_links(fps), "simhash-links")
     rooted = fps.join(found, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select(F.col("fp").alias("f"), "component_id")
@@ -252,7 +284,7 @@ def ball_pairs(once: DataFrame) -> DataFrame:
     for name in ("fp0", "fp1"):
         fps = written(once.groupBy(F.col(name).alias("fp")).agg(F.min("node").alias("first")), "copies-fps")
         first = lambda c, fps=fps: fps.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_node"))
-        across = ball_links(differing_bits(fps)).join(first("u"), "u").join(first("v"), "v").select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
+        across = near_links(fps).join(first("u"), "u").join(first("v"), "v").select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
         within = once.join(fps, F.col(name) == F.col("fp")).where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
         both = written(across.unionByName(within).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "copies-ball")
         pairs = both if pairs is None else pairs.unionByName(both)
