@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the characters a category is stripped of (space and the ASCII control whitespace).
 WHITESPACE = " \t\n\r\f\v"
@@ -15,6 +16,11 @@ def known(c: Column | str) -> Column:
     return F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
 
 
+def present(df: DataFrame, col: str) -> Column:
+    """The column with null as its only missing marker: of a floating-point column only what is ``known``."""
+    return known(F.col(col)) if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)) else F.col(col)
+
+
 def tidy_text(c: Column | str) -> Column:
     """Strip surrounding whitespace and lower-case."""
     c = F.col(c) if isinstance(c, str) else c

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnwright.functions import count_where, tidy_text
+from churnwright.functions import count_where, known, tidy_text
 from churnwright.operators.monitoring import unknown_values
 from churnwright.operators.profiling import text_values
 
@@ -46,11 +46,11 @@ def null_ratio(col: str, limit: float | None = None) -> Check:
 
 
 def in_range(col: str, lo: float | None, hi: float | None) -> Check:
-    bad = F.lit(False)
+    value, bad = known(F.col(col).cast("double")), F.lit(False)  # NaN is missing, not out of range
     if lo is not None:
-        bad = bad | (F.col(col) < lo)
+        bad = bad | (value < lo)
     if hi is not None:
-        bad = bad | (F.col(col) > hi)
+        bad = bad | (value > hi)
     return Check(f"range_{col}", count_where(bad), 0, "=")
 
 

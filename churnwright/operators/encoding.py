@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnwright.functions import weekday
+from churnwright.functions import seed_key, weekday
 from churnwright.operators.lookups import lookup
 from churnwright.operators.ordered import ordered_scan
 from churnwright.operators.quantiles import quantiles
@@ -122,3 +122,34 @@ def target_encode(df: DataFrame, train: DataFrame, col: str, target: str, out: s
     means = train.where(F.col(col).isNotNull()).groupBy(col).agg(F.avg(F.col(target).cast("double")).alias("_m"))
     overall = train.groupBy().agg(F.avg(F.col(target).cast("double")).alias("m")).scalar()
     return lookup(df, stage(means, "means"), [col]).select(*df.columns, F.coalesce("_m", overall).alias(out))
+
+
+def ordered_target_encode(
+    df: DataFrame, col: str, target: str, key: str, out: str, *, seed: int = 42, prior: float = 0.5, weight: float = 1.0
+) -> DataFrame:
+    """Each row's category by the targets of the rows ahead of it in a seeded permutation: ``(sum + prior * weight) / (n + weight)``.
+
+    A row never sees its own target, nor that of a row behind it, so the column may be trained on. ``prior`` is a fixed
+    number, as a mean of the table would hold the row's own target. Rows without a target add nothing; a null category is
+    one of its own. The permutation is by md5 of seed and ``key``, ties by ``key``, which should identify a row. A category
+    of any size is cut into chunks by the ordered scan.
+    """
+    y = F.col(target).cast("double")
+    drawn = df.withColumn("_draw", seed_key(seed, key))
+    run = ordered_scan(drawn, ["_draw", key], [col], before={"_sum": F.coalesce(y, F.lit(0.0)), "_n": y.isNotNull().cast("long")})
+    value = (F.col("_sum") + prior * weight) / (F.col("_n") + F.lit(float(weight)))
+    return run.select(*df.columns, value.alias(out))
+
+
+def target_statistics(train: DataFrame, col: str, target: str) -> DataFrame:
+    """``(col, sum, n)``: what the whole training table says of each category; mergeable by adding up."""
+    y = F.col(target).cast("double")
+    return train.groupBy(col).agg(F.coalesce(F.sum(y), F.lit(0.0)).alias("sum"), F.count(y).alias("n"))
+
+
+def apply_target_statistics(df: DataFrame, statistics: DataFrame, col: str, out: str, *, prior: float = 0.5, weight: float = 1.0) -> DataFrame:
+    """Rows to be scored take the statistics of all training rows; an unseen category takes the prior."""
+    held = stage(statistics.select(F.struct(F.col(col).alias("v")).alias("_k"), "sum", "n").withColumnsRenamed({"sum": "_sum", "n": "_n"}), "statistics")
+    found = lookup(df.withColumn("_k", F.struct(F.col(col).alias("v"))), held, ["_k"])  # in a struct a null category is a key like any other
+    value = (F.coalesce("_sum", F.lit(0.0)) + prior * weight) / (F.coalesce("_n", F.lit(0)) + F.lit(float(weight)))
+    return found.select(*df.columns, value.alias(out))

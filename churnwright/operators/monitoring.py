@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnwright.functions import count_where, known, ratio
+from churnwright.functions import count_where, known, present, ratio
 from churnwright.operators.profiling import category_values, distinct_counts, first_categories, null_profile, numeric_range, text_values
 from churnwright.operators.sampling import sample_fraction
 
@@ -71,6 +72,61 @@ def parse_json_body(df: DataFrame, body: str, record: T.StructType, keep: Sequen
     return flatten(rows.select(*keep, "_r.*"))
 
 
+def json_objects(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``(keep..., object)``: the JSON objects of the bodies as variants, one row per object of a list.
+
+    Bodies that ``json_fault`` names, and list items that are no objects, are left out.
+    """
+    held = df.where(json_fault(body).isNull()).select(*keep, F.parse_json(F.col(body)).alias("_v"))
+    is_list = F.schema_of_variant("_v").startswith("ARRAY")
+    items = F.when(is_list, F.col("_v").try_cast("array<variant>")).otherwise(F.array("_v"))
+    objects = held.select(*keep, F.explode(items).alias("object"))
+    return objects.where(F.schema_of_variant("object").startswith("OBJECT"))
+
+
+def json_shape(objects: DataFrame, col: str = "object") -> T.StructType:
+    """The merged type of JSON objects of any shape: one aggregate, merged over the cluster before one row reaches the driver.
+
+    Numbers widen to the type that holds all of them. What is of different kinds in different objects is a variant.
+    """
+    text = objects.groupBy().agg(F.schema_of_variant_agg(col).alias("s")).first()["s"]
+    if not text.startswith("OBJECT<"):
+        return T.StructType([])
+    named = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<")  # names in backquotes stay
+    return T.DataType.fromDDL(named.sub(lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], text))
+
+
+def flatten_objects(objects: DataFrame, shape: T.StructType, keep: Sequence[str] = (), col: str = "object", sep: str = ".") -> DataFrame:
+    """Every leaf of ``shape`` as a column named by its path. Leaves of mixed kinds are text; lists stay lists.
+
+    An object that lacks a leaf, or has another kind of value there than ``shape`` says, gives null.
+    """
+
+    def leaves(of: T.StructType, path: tuple[str, ...]):
+        for f in of.fields:
+            if isinstance(f.dataType, T.StructType) and f.dataType.fields:
+                yield from leaves(f.dataType, (*path, f.name))
+            else:
+                yield (*path, f.name), f.dataType
+
+    def leaf(path: tuple[str, ...], kind: T.DataType) -> Column:
+        steps = "".join(f"['{p}']" if "'" not in p else f'["{p}"]' for p in path)
+        text = isinstance(kind, (T.VariantType, T.NullType, T.StructType))
+        found = F.try_variant_get(F.col(col), F.lit(f"${steps}"), "string" if text else kind.simpleString())
+        return found.alias(sep.join(path))
+
+    return objects.select(*keep, *[leaf(path, kind) for path, kind in leaves(shape, ())])
+
+
+def parse_any_json(df: DataFrame, body: str, keep: Sequence[str] = (), shape: T.StructType | None = None) -> DataFrame:
+    """JSON objects or lists of objects, whatever keys they have, as flat columns; a list gives one row per object.
+
+    The shape is merged from all bodies first, unless it is given (a stream needs one, say that of a captured baseline).
+    """
+    objects = json_objects(df, body, keep)
+    return flatten_objects(objects, json_shape(objects) if shape is None else shape, keep)
+
+
 def baseline_limits(df: DataFrame, numeric: Sequence[str], categories: Sequence[str]) -> DataFrame:
     """``(column, kind, completeness, min, max, n_distinct, example_values)``: suggested limits from a baseline.
 
@@ -91,22 +147,22 @@ def violations(current: DataFrame, baseline: DataFrame, numeric: Sequence[str],
     """``(column, rule, n)``: how many current rows breach the baseline's completeness, range or category limits.
 
     A category breaches if the baseline never has it, however many values a column has. Without any baseline value
-    there is no category limit.
+    there is no category limit. NaN is missing: it counts against completeness, not against the range.
     """
     cols = [*numeric, *categories]
-    known_share = lambda c: F.avg(F.col(c).isNotNull().cast("double"))
-    kept = [known_share(c).alias(f"full{i}") for i, c in enumerate(cols)]
+    known_share = lambda df, c: F.avg(present(df, c).isNotNull().cast("double"))
+    kept = [known_share(baseline, c).alias(f"full{i}") for i, c in enumerate(cols)]
     for i, c in enumerate(numeric):
         v = known(F.col(c).cast("double"))
         kept += [F.min(v).alias(f"low{i}"), F.max(v).alias(f"high{i}")]
     held = baseline.groupBy().agg(*kept).select(F.struct("*").alias("m")).scalar()  # one row
     counted = []
     for i, c in enumerate(numeric):
-        v = F.col(c).cast("double")
+        v = known(F.col(c).cast("double"))
         counted.append((c, "range", count_where((v < F.col(f"_m.low{i}")) | (v > F.col(f"_m.high{i}")))))
     for i, c in enumerate(cols):
-        short = F.max(F.col(f"_m.full{i}")) > known_share(c)
-        counted.append((c, "completeness", F.when(short, count_where(F.col(c).isNull())).otherwise(F.lit(0)).cast("bigint")))
+        short = F.max(F.col(f"_m.full{i}")) > known_share(current, c)
+        counted.append((c, "completeness", F.when(short, count_where(present(current, c).isNull())).otherwise(F.lit(0)).cast("bigint")))
     wide = current.withColumn("_m", held).agg(*[a.alias(f"c{i}") for i, (_, _, a) in enumerate(counted)])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("rule"), F.col(f"c{i}").alias("n")) for i, (c, r, _) in enumerate(counted)])
     found = wide.select(F.inline(rows))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnwright.functions import count_where, known
+from churnwright.functions import count_where, known, present
 from churnwright.operators.cleaning import TIMES, columns_of
 from churnwright.operators.lookups import beside, lookup
 from churnwright.operators.quantiles import long_numeric, quantiles
@@ -37,11 +37,11 @@ def _per_column(df: DataFrame, cols: Sequence[str], parts: dict) -> DataFrame:
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """``(column, n_null, n_known, null_ratio)``."""
+    """``(column, n_null, n_known, null_ratio)``; NaN and the infinities count as null."""
     counted = _per_column(
         df,
         cols or df.columns,
-        {"n_null": lambda c: count_where(F.col(c).isNull()), "n_known": lambda c: F.count(c)},
+        {"n_null": lambda c: count_where(present(df, c).isNull()), "n_known": lambda c: F.count(present(df, c))},
     )
     total = F.col("n_null") + F.col("n_known")
     return counted.withColumn("null_ratio", F.when(total > 0, F.col("n_null") / total))

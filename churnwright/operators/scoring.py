@@ -34,8 +34,7 @@ def threshold_curve(df: DataFrame, label: str = "label", score: str = "score", b
 def curve_of_counts(df: DataFrame, n: str, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
     """The threshold curve of rows that stand for ``n`` rows each."""
     by = list(by)
-    df = df.withColumn(score, known(F.col(score).cast("double")))
-    rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    rows = _with_score(df, label, score)
     y = F.col(label).cast("long")
     hist = stage(
         rows.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(F.sum(y * F.col(n)).alias("pos"), F.sum((1 - y) * F.col(n)).alias("neg")),
@@ -99,10 +98,16 @@ def best_f1(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return scored.groupBy(*by).agg(pick.alias("m")).select(*by, "m.*")
 
 
+def _with_score(df: DataFrame, label: str, score: str) -> DataFrame:
+    """The rows with a label and a score; NaN and the infinities are no scores."""
+    rows = df.withColumn(score, known(F.col(score).cast("double")))
+    return rows.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+
+
 def confusion(df: DataFrame, threshold: float | Column, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., tn, fp, fn, tp)`` at a fixed threshold."""
+    """``(by..., tn, fp, fn, tp)`` at a fixed threshold, over the rows with a label and a known score."""
     thr = threshold if isinstance(threshold, Column) else F.lit(threshold)
-    rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    rows = _with_score(df, label, score)
     yes, true = F.col(score) >= thr, F.col(label) == 1
     return rows.groupBy(*by).agg(
         count_where(~yes & ~true).alias("tn"),
@@ -200,7 +205,7 @@ def metric_set(
     rows = [m for m in wanted if m in ROW_METRICS]
     if not rows:
         return out
-    scored = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    scored = _with_score(df, label, score)
     per = scored.groupBy(*by).agg(*[ROW_METRICS[m](F.col(label), F.col(score)).alias(m) for m in rows])
     if by:
         return out.join(per, list(by))

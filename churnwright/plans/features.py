@@ -156,6 +156,31 @@ def _(t):
     return rounded(e.target_encode(df, df.where("o_orderkey % 5 <> 0"), "priority", "target", "encoded").select("o_orderkey", "encoded"))
 
 
+@query(
+    "f10b_ordered_target_encode",
+    DIRTY
+    + """, d AS (SELECT *, md5('42|' || CAST(o_orderkey AS VARCHAR)) AS draw FROM dirty)
+         SELECT o_orderkey, ROUND((COALESCE(SUM(CAST(target AS DOUBLE)) OVER w, 0) + 0.3 * 2) / (COUNT(target) OVER w + 2), 6) AS encoded FROM d
+         WINDOW w AS (PARTITION BY priority ORDER BY draw, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+)
+def _(t):
+    df = t.derive("dirty").select("o_orderkey", "priority", "target")
+    return rounded(e.ordered_target_encode(df, "priority", "target", "o_orderkey", "encoded", prior=0.3, weight=2.0).select("o_orderkey", "encoded"))
+
+
+@query(
+    "f10c_target_statistics",
+    DIRTY
+    + """, s AS (SELECT priority, COALESCE(SUM(CAST(target AS DOUBLE)), 0) AS s, COUNT(target) AS n FROM dirty WHERE o_orderkey % 5 <> 0 AND coalesce(priority, '') <> '1-URGENT' GROUP BY 1)
+         SELECT o_orderkey, ROUND((COALESCE(s, 0) + 0.3 * 2) / (COALESCE(n, 0) + 2), 6) AS encoded FROM dirty LEFT JOIN s ON dirty.priority IS NOT DISTINCT FROM s.priority WHERE o_orderkey % 5 = 0""",
+)
+def _(t):
+    # the training side lacks one category
+    df = t.derive("dirty").select("o_orderkey", "priority", "target")
+    held = e.target_statistics(df.where("o_orderkey % 5 <> 0 AND coalesce(priority, '') <> '1-URGENT'"), "priority", "target")
+    return rounded(e.apply_target_statistics(df.where("o_orderkey % 5 = 0"), held, "priority", "encoded", prior=0.3, weight=2.0).select("o_orderkey", "encoded"))
+
+
 @query("f11_assemble", "SELECT c_custkey, CAST(3 AS INTEGER) AS n_features, c_acctbal AS first FROM customer")
 def _(t):
     from pyspark.ml import Pipeline

@@ -80,6 +80,28 @@ def _(t):
     return m.confusion(t.derive("scored"), 0.4, by=["segment"])
 
 
+NAN_SCORED = """WITH scored AS (SELECT l_linestatus AS segment, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label,
+   CASE WHEN l_partkey % 9 <> 0 THEN CAST((l_partkey * 7 + l_linenumber * 13 + CASE WHEN l_returnflag = 'R' THEN 150 ELSE 0 END) % 997 AS DOUBLE) / 997 END AS score FROM lineitem), known AS (SELECT * FROM scored WHERE score IS NOT NULL)"""
+
+
+@query(
+    "e1b_unknown_scores",
+    f"""{NAN_SCORED}, {curve_sql("known")}, c AS (SELECT segment, COUNT(*) FILTER (score < 0.4 AND label = 0) AS tn, COUNT(*) FILTER (score >= 0.4 AND label = 0) AS fp, COUNT(*) FILTER (score < 0.4 AND label = 1) AS fn,
+          COUNT(*) FILTER (score >= 0.4 AND label = 1) AS tp, AVG((score - label) * (score - label)) AS brier, AVG(score) AS mean_score FROM known GROUP BY 1)
+        SELECT segment, c.tn, c.fp, c.fn, c.tp, ROUND(roc_auc, 6) AS roc_auc, ROUND(brier, 6) AS brier, ROUND(mean_score, 6) AS mean_score, ROUND(brier, 6) AS brier_alone FROM rank JOIN c USING (segment)""",
+)
+def _(t):
+    # a ninth of the scores is NaN or infinite: no metric may count them
+    odd = F.when(F.col("l_partkey") % 2 == 0, F.lit(float("nan"))).otherwise(F.lit(float("inf")))
+    returned = F.col("l_returnflag") == "R"
+    value = ((F.col("l_partkey") * 7 + F.col("l_linenumber") * 13 + F.when(returned, 150).otherwise(0)) % 997).cast("double") / 997
+    score = F.when(F.col("l_partkey") % 9 == 0, odd).otherwise(value)
+    rows = t.lineitem.select(F.col("l_linestatus").alias("segment"), F.when(returned, 1).otherwise(0).alias("label"), score.alias("score"))
+    metrics = m.metric_set(rows, ["roc_auc", "brier", "mean_score"], by=["segment"]).drop("threshold_at_target")
+    alone = m.brier(rows, by=["segment"]).withColumnRenamed("brier", "brier_alone")
+    return rounded(m.confusion(rows, 0.4, by=["segment"]).join(metrics, "segment").join(alone, "segment"))
+
+
 RATES = """ROUND((tp + tn) / (tn + fp + fn + tp), 6) AS accuracy, ROUND(tp / (tp + fp), 6) AS precision, ROUND(tp / (tp + fn), 6) AS recall, ROUND(tn / (tn + fp), 6) AS specificity,
    ROUND(COALESCE(tn / NULLIF(tn + fn, 0), 0), 6) AS negative_precision, ROUND((tp / (tp + fn) + tn / (tn + fp)) / 2, 6) AS balanced_accuracy,
    ROUND(2 * (tp / (tp + fp)) * (tp / (tp + fn)) / (tp / (tp + fp) + tp / (tp + fn)), 6) AS f1, ROUND((tp + fn) / (tn + fp + fn + tp), 6) AS actual_rate, ROUND((tp + fp) / (tn + fp + fn + tp), 6) AS predicted_rate"""

@@ -6,7 +6,9 @@ from pyspark.sql import types as T
 from churnwright.operators import drift as d
 from churnwright.operators import monitoring as mo
 from churnwright.operators import scoring as sc
+from churnwright.operators.checks import in_range, run_checks
 from churnwright.operators.cleaning import label_at
+from churnwright.operators.profiling import null_profile
 from churnwright.plans.metrics import curve_sql
 from churnwright.plans.registry import ctes, query, rounded
 
@@ -53,6 +55,26 @@ def _(t):
     return flat.withColumnsRenamed({"user.id": "user_id", "user.kind": "user_kind"})
 
 
+@query(
+    "m3d_unknown_bodies",
+    """SELECT event_id AS event_id, event_id AS id, CASE WHEN event_id % 3 = 1 THEN 'u' || user_id ELSE CAST(user_id AS VARCHAR) END AS user_id, CASE WHEN event_id % 3 = 0 THEN event_type END AS user_kind,
+              CASE WHEN event_id % 3 = 1 THEN CAST(event_id % 7 AS DOUBLE) / 2 END AS amount, CASE WHEN event_id % 3 = 2 THEN 'true' END AS flag_by_hand, CAST(NULL AS VARCHAR) AS note FROM events
+       UNION ALL SELECT event_id, event_id + 1000000000, CAST(user_id AS VARCHAR), 'again', NULL, NULL, NULL FROM events WHERE event_id % 3 = 0""",
+)
+def _(t):
+    # objects of three shapes, some in lists, one of whose keys is a number here and text there; nothing says so beforehand
+    user = lambda kind: F.struct(F.col("user_id").alias("id"), kind.alias("kind"))
+    first = F.struct(F.col("event_id").alias("id"), user(F.col("event_type")).alias("user"))
+    listed = F.to_json(F.array(first, F.struct((F.col("event_id") + 1_000_000_000).alias("id"), user(F.lit("again")).alias("user"))))
+    priced = F.to_json(F.struct(F.col("event_id").alias("id"), F.struct(F.concat(F.lit("u"), "user_id").alias("id")).alias("user"), ((F.col("event_id") % 7).cast("double") / 2).alias("amount")))
+    flagged = F.concat(F.lit('{"id": '), "event_id", F.lit(', "user": {"id": '), "user_id", F.lit('}, "flag": {"by hand": true}, "note": null}'))
+    part = F.col("event_id") % 3
+    bodies = t.events.select("event_id", F.when(part == 0, listed).when(part == 1, priced).otherwise(flagged).alias("body"))
+    flat = mo.parse_any_json(bodies, "body", ["event_id"])
+    named = {"user.id": "user_id", "user.kind": "user_kind", "flag.by hand": "flag_by_hand"}
+    return flat.withColumnsRenamed(named).withColumns({"amount": F.col("amount").cast("double"), "flag_by_hand": F.col("flag_by_hand").cast("string")})
+
+
 @query("m3b_event_props", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def _(t):
     return mo.parse_json_body(t.events.select("event_id", "props"), "props", T.StructType([T.StructField("k", T.LongType())]), ["event_id"])
@@ -96,6 +118,26 @@ def _(t):
     return rounded(out.select("column", "kind", "completeness", "low", "high", "n_distinct", "categories"))
 
 
+UNKNOWN = "CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN CAST('NaN' AS DOUBLE) ELSE o_totalprice END"
+
+
+@query(
+    "m5b_nan_is_missing",
+    """WITH d AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 4 = 1 THEN NULL ELSE o_totalprice END AS price FROM orders), b AS (SELECT MIN(price) AS lo, MAX(price) AS hi, COUNT(price) / COUNT(*) AS cp FROM d WHERE o_orderkey % 2 = 0),
+            c AS (SELECT * FROM d WHERE o_orderkey % 2 = 1)
+       SELECT * FROM (SELECT 'price' AS "column", 'range' AS rule, COUNT(*) FILTER (price < lo OR price > hi) AS n FROM c, b
+         UNION ALL SELECT 'price', 'completeness', CASE WHEN MAX(cp) > COUNT(price) / COUNT(*) THEN COUNT(*) FILTER (price IS NULL) ELSE 0 END FROM c, b
+         UNION ALL SELECT 'price', 'profile', COUNT(*) FILTER (price IS NULL) FROM d UNION ALL SELECT 'price', 'check', COUNT(*) FILTER (price < 0 OR price > 100000) FROM d) WHERE n > 0""",
+)
+def _(t):
+    # NaN prices count as missing in the limits, the null profile and the range check
+    df = t.orders.selectExpr("o_orderkey", f"{UNKNOWN} AS price")
+    breached = mo.violations(df.where("o_orderkey % 2 = 1"), df.where("o_orderkey % 2 = 0"), ["price"], [])
+    nulls = null_profile(df, ["price"]).select("column", F.lit("profile").alias("rule"), F.col("n_null").alias("n"))
+    checked = run_checks(df, [in_range("price", 0, 100000)]).select(F.lit("price").alias("column"), F.lit("check").alias("rule"), F.col("observed").cast("long").alias("n"))
+    return breached.unionByName(nulls).unionByName(checked).where("n > 0")
+
+
 @query(
     "m5_violations",
     DIRTY

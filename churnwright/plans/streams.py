@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from churnwright.operators import drift as d
 from churnwright.operators import monitoring as mo
+from churnwright.plans.metrics import curve_sql
 from churnwright.plans.monitoring import JSON_RECORD
 from churnwright.plans.registry import Tables, query, rounded
 from churnwright.session import new_path, stage
@@ -114,21 +115,42 @@ def _(t):
 
 
 def _joined(t):
-    pred = _events(t, "2 hours").where("event_type <> 'error'").select("event_id", "ts", (F.col("value") / 500).alias("score"))
+    return st.run_to_table(_joined_stream(t, t.folder, "events.parquet"), "with-truth").drop("ts")
+
+
+def _joined_stream(t, folder, glob=None, files_per_batch=None):
+    source = lambda: st.stream_parquet(t.spark, folder, t.events.schema, glob, files_per_batch)
+    pred = st.with_event_time(source(), "ts", "2 hours").where("event_type <> 'error'").select("event_id", "ts", (F.col("value") / 500).alias("score"))
     later = F.expr("make_dt_interval(0, 0, cast(event_id % 90 as int))")
-    truth = st.stream_parquet(t.spark, t.folder, t.events.schema, "events.parquet").select(
-        "event_id", (F.col("ts").cast("timestamp") + later).alias("at"), (F.col("event_id") % 2).alias("label")
-    )
+    truth = source().select("event_id", (F.col("ts").cast("timestamp") + later).alias("at"), (F.col("event_id") % 2).alias("label"))
     joined = wm.join_truth(pred, truth.withWatermark("at", "2 hours"), "event_id", "ts", "at", "1 hour")
-    return st.run_to_table(joined.select("event_id", "score", "label", "ts"), "with-truth").drop("ts")
+    return joined.select("event_id", "score", "label", "ts")
+
+
+JUDGED = """p AS (SELECT event_id, ts, time_bucket(INTERVAL '1 day', ts) AS start, value / 500 AS score, event_id % 2 AS label FROM events WHERE event_type <> 'error' AND event_id % 90 <= 60),
+   scored AS (SELECT * FROM p WHERE start + INTERVAL '1 day' + INTERVAL '1 hour' <= (SELECT MAX(ts) FROM p))"""
 
 
 @query(
     "m12s_stream_quality",
-    """SELECT label, COUNT(*) AS n, ROUND(AVG(value / 500), 6) AS mean_score FROM (SELECT event_id % 2 AS label, * FROM events WHERE event_type <> 'error' AND event_id % 90 <= 60) GROUP BY 1""",
+    f"""WITH {JUDGED}, {curve_sql("scored", ("start",))} SELECT strftime(rank.start, '%Y-%m-%d %H:%M:%S') AS start, CAST(rank.n_pos AS BIGINT) AS n_pos, CAST(rank.n_neg AS BIGINT) AS n_neg,
+        ROUND(roc_auc, 6) AS roc_auc, ROUND(pr_auc, 6) AS pr_auc, ROUND(threshold, 6) AS threshold, ROUND(CAST(tp AS DOUBLE) / hit.n_pos, 6) AS recall FROM rank JOIN hit USING (start)""",
 )
 def _(t):
-    return rounded(_joined(t).groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean_score")))
+    return _start(_stream_quality(t).select("start", "n_pos", "n_neg", "roc_auc", "pr_auc", "threshold", "recall"))
+
+
+def _stream_quality(t):
+    """Events come in three files, by time; truth comes up to an hour later, so a window is fed by more than one batch."""
+    folder, path = new_path(t.spark, "sliced"), new_path(t.spark, "score-counts")
+    span = t.events.agg(F.min("ts").cast("timestamp").cast("long").alias("a"), F.max("ts").cast("timestamp").cast("long").alias("b"))
+    place = F.least(F.lit(2), F.floor((F.col("ts").cast("timestamp").cast("long") - F.col("_s.a")) * 3 / (F.col("_s.b") - F.col("_s.a"))))
+    placed = t.events.withColumn("_s", span.select(F.struct("a", "b").alias("s")).scalar()).withColumn("_slice", place).drop("_s")
+    for i in range(3):  # one after the other, as the source takes files by their time
+        placed.where(F.col("_slice") == i).drop("_slice").coalesce(1).write.mode("append").parquet(folder)
+    joined = _joined_stream(t, folder, files_per_batch=1)
+    st.run_batches(joined, lambda batch, i: wm.keep_scores(batch, i, path, "ts"), "quality")
+    return wm.window_quality(t.spark, path, "1 day", "1 hour")
 
 
 @query(

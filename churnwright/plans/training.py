@@ -16,6 +16,7 @@ from churnwright.operators.splitting import expanding_folds, stratified_folds
 from churnwright.plans.registry import ctes, query, rounded
 from churnwright.session import new_path, stage
 from churnwright.sources.writers import write_table
+from churnwright.training import boosting as bo
 from churnwright.training import models as mo
 from churnwright.training import search as se
 
@@ -130,6 +131,43 @@ def _(t):
     return rounded(mo.score(model, valid, ["segment"]).groupBy("segment").agg(F.max("score").alias("score")))
 
 
+@query(
+    "t1c_regularised_leaves",
+    ROWS
+    + """, p AS (SELECT AVG(CAST(label AS DOUBLE)) AS p FROM r WHERE NOT is_valid),
+        g AS (SELECT segment, SUM(p - label) AS g, SUM(p * (1 - p)) AS h, MAX(LN(p / (1 - p))) AS base FROM r, p WHERE NOT is_valid GROUP BY 1)
+        SELECT CAST(l2 AS DOUBLE) AS l2, segment, ROUND(base - 0.3 * g / (h + l2), 6) AS margin, ROUND(1 / (1 + EXP(-(base - 0.3 * g / (h + l2)))), 6) AS score
+        FROM g, (SELECT unnest([0, 5]) AS l2) WHERE segment IN (SELECT segment FROM r WHERE is_valid)""",
+)
+def _(t):
+    """One round over one category: base and leaves have a closed form, with and without the penalty."""
+    train, valid = _sides(t)
+    found = []
+    for l2 in (0.0, 5.0):
+        model = bo.fit_boosted(train, mo.feature_stages([], ["segment"], False), "label", rounds=1, depth=6, rate=0.3, l2=l2)
+        rows = model.prepared(valid).select("segment", model.margin().alias("margin")).distinct()
+        found.append(rows.select(F.lit(l2).alias("l2"), "segment", "margin", bo.sigmoid(F.col("margin")).alias("score")))
+    return rounded(found[0].unionByName(found[1]))
+
+
+@query(
+    "t1d_regularised_quality",
+    ROWS + " SELECT CAST(SUM(label) AS BIGINT) AS n_pos, CAST(COUNT(*) - SUM(label) AS BIGINT) AS n_neg, true AS sums_to_margin, true AS gains FROM r WHERE is_valid",
+)
+def _(t):
+    """Ten rounds over all features: contributions add up to the margin in every row, and ten rounds rank better than two."""
+    train, valid = _sides(t)
+    fitted = lambda rounds: bo.fit_boosted(train, mo.feature_stages(NUMERIC, CATEGORIES, False), "label", rounds=rounds, depth=3, rate=0.3, key="o_orderkey", rows=0.8)
+    long, short = fitted(10), fitted(2)
+    explained = bo.contributions(long, valid, ["o_orderkey"])
+    gap = F.abs(F.col("base") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x) - F.col("margin"))
+    worst = explained.groupBy().agg(F.max(gap).alias("g")).scalar()
+    auc = lambda m: sc.evaluate(sc.threshold_curve(m.score(valid, ["label"])))
+    return auc(long).select(
+        F.col("n_pos").cast("bigint"), F.col("n_neg").cast("bigint"), (worst < 1e-9).alias("sums_to_margin"), (F.col("roc_auc") > auc(short).select("roc_auc").scalar()).alias("gains")
+    )
+
+
 @query("t3_forest_balanced", FOUND)
 def _(t):
     train, valid = _sides(t)

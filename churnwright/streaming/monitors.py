@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnwright.functions import count_where, known
 from churnwright.operators.encoding import bin_index
+from churnwright.operators.scoring import TARGET_RECALL, curve_of_counts, evaluate
 
 
 def window_stats(events: DataFrame, ts: str, value: str, by: Sequence[str] = (), every: str = "4 hours") -> DataFrame:
@@ -45,6 +46,35 @@ def window_scores(scored: DataFrame, ts: str, label: str = "label", score: str =
     return counted.agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), "score", "label", "n")
 
 
+def keep_scores(batch: DataFrame, batch_id: int, path: str, ts: str, label: str = "label", score: str = "score", every: str = "1 day") -> None:
+    """Add one micro-batch of scored rows with truth to the table of score counts.
+
+    A batch writes the counts of its own rows under its number, so that a repeated batch replaces itself. Truth that comes
+    late, in whatever later batch, adds to the counts of the window its prediction is in. ``newest`` is the latest event
+    time that the batch saw.
+    """
+    newest = batch.groupBy().agg(F.max(ts).alias("t")).scalar()
+    counted = window_scores(batch, ts, label, score, every).withColumn("newest", newest)
+    counted.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+COUNTS = "start timestamp, score double, label long, n long, newest timestamp, batch int"
+
+
+def window_quality(spark: SparkSession, path: str, every: str = "1 day", within: str = "0 seconds", target: float = TARGET_RECALL) -> DataFrame:
+    """``scoring.evaluate`` for each closed window of the table that ``keep_scores`` adds to, with the batches that fed it.
+
+    A window is closed when the newest event seen is at least ``within``, the time that truth may take, beyond its end.
+    Counts of all batches are added up first, so a window is revised by simply reading again.
+    """
+    counts = spark.read.schema(COUNTS).parquet(path)
+    seen = counts.groupBy().agg(F.max("newest").alias("t")).scalar()
+    closed = counts.where(F.col("start") + F.expr(f"interval {every}") + F.expr(f"interval {within}") <= seen)
+    fed = closed.groupBy("start").agg(F.count_distinct("batch").alias("n_batches"))
+    summed = closed.groupBy("start", "score", "label").agg(F.sum("n").alias("n"))
+    return evaluate(curve_of_counts(summed, "n", by=["start"]), target, ["start"]).join(fed, "start", "left")
+
+
 def join_truth(predictions: DataFrame, truth: DataFrame, key: str, at: str, truth_at: str, within: str) -> DataFrame:
     """Stream-stream join of predictions with ground truth that arrives up to ``within`` later.
 
