@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnwright.functions import seed_key
 from churnwright.operators.lookups import lookup
 from churnwright.operators.sampling import best_row
+from churnwright.operators.scoring import curve_of_counts, ranking_metrics
 from churnwright.session import stage
 
 
@@ -98,6 +101,48 @@ def stability(folds: DataFrame, metric: str, by: Sequence[str] = ("run",), std_m
     )
 
 
+def poisson_weight(u: Column) -> Column:
+    """A Poisson(1) count from 32 uniform bits: how many steps of the distribution lie at or below them."""
+    return sum((F.when(u >= step, 1).otherwise(0) for step in POISSON_STEPS), F.lit(0))
+
+
+def poisson_steps() -> list[int]:
+    """The distribution function of Poisson(1) in units of 2^-32, up to where it no longer differs from 1."""
+    out, p, total = [], math.exp(-1), 0.0
+    for k in range(1, 14):
+        total += p
+        p /= k
+        out.append(math.floor(total * 2**32))
+    return out
+
+
+POISSON_STEPS = poisson_steps()
+
+
+def bootstrap(
+    df: DataFrame, key: Sequence[str], replicates: int = 100, label: str = "label", score: str = "score", by: Sequence[str] = (), seed: int = 42
+) -> DataFrame:
+    """``(by..., replicate, roc_auc, pr_auc)`` of resampled tables.
+
+    In each replicate a row counts Poisson(1) times, by the md5 of seed, replicate and ``key``: the same whatever the
+    partitioning. All replicates come from one scan, which leaves each task as counts per replicate and score; the
+    curves of all replicates are then run up together.
+    """
+    copies = df.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    bits = F.conv(F.substring(seed_key(seed, "replicate", *key), 1, 8), 16, 10).cast("long")
+    weighted = copies.withColumn("_n", poisson_weight(bits)).where("_n > 0")
+    curve = curve_of_counts(weighted, "_n", label, score, [*by, "replicate"])
+    return ranking_metrics(curve, [*by, "replicate"]).select(*by, "replicate", "roc_auc", "pr_auc")
+
+
+def metric_interval(resampled: DataFrame, metric: str, by: Sequence[str] = (), level: float = 0.95) -> DataFrame:
+    """``(by..., mean, std, low, high, n)`` of a metric over ``bootstrap``'s replicates: the middle ``level`` of them."""
+    tail = (1 - level) / 2
+    q = F.percentile(F.col(metric), F.array(F.lit(tail), F.lit(1 - tail)))
+    found = resampled.groupBy(*by).agg(F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("std"), q.alias("_q"), F.count(metric).alias("n"))
+    return found.select(*by, "mean", "std", F.col("_q")[0].alias("low"), F.col("_q")[1].alias("high"), "n")
+
+
 def latest_approved(registry: DataFrame, metric_key: str, status: str = "Approved") -> DataFrame:
     """The newest approved package per group and its metric from the metadata map (null if absent or no number)."""
     newest = best_row(registry.where(F.col("status") == status), ["created"], "arn", ["group"])

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from churnwright.functions import count_where, known, present
 from churnwright.operators.cleaning import TIMES, columns_of
 from churnwright.operators.lookups import beside, lookup
+from churnwright.operators.ordered import ordered_scan
 from churnwright.operators.quantiles import long_numeric, quantiles
 from churnwright.session import stage
 
@@ -236,6 +237,71 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
+def rank_correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(a, b, n, r)``: Spearman over the rows where both are known, upper triangle; ties take their middle rank.
+
+    Rows become one count per pair and values first. The rank of a value follows from the counts below it, which a scan
+    over the distinct values gives however many there are; Pearson's sums are then taken over the counted cells. Ranks
+    are doubled, so that they are whole.
+    """
+    pairs = list(combinations(cols, 2))
+    d = df.select(*[known(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    at = {c: F.col(f"c{i}") for i, c in enumerate(cols)}
+    both = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), at[a].alias("x"), at[b].alias("y")) for a, b in pairs])
+    cells = d.select(F.inline(both)).where("x is not null and y is not null")
+    cells = stage(cells.groupBy("a", "b", F.col("x") + 0.0, F.col("y") + 0.0).agg(F.count(F.lit(1)).alias("n")).toDF("a", "b", "x", "y", "n"), "rank-cells")
+    for side in ("x", "y"):
+        counts = stage(cells.groupBy("a", "b", side).agg(F.sum("n").alias("k")), "rank-counts")
+        ranks = ordered_scan(counts, [side], ["a", "b"], before={"less": "k"}).select("a", "b", side, (2 * F.col("less") + F.col("k") + 1).alias(f"r{side}"))
+        cells = lookup(cells, stage(ranks, "ranks"), ["a", "b", side])
+    wide = lambda c: F.sum((c * F.col("n").cast("decimal(19,0)")).cast("decimal(38,0)"))
+    rx, ry = F.col("rx").cast("decimal(19,0)"), F.col("ry").cast("decimal(19,0)")
+    sums = cells.groupBy("a", "b").agg(
+        F.sum("n").alias("n"), wide(rx).alias("sx"), wide(ry).alias("sy"), wide(rx * rx).alias("sxx"), wide(ry * ry).alias("syy"), wide(rx * ry).alias("sxy")
+    )
+    n, sx, sy, sxx, syy, sxy = (F.col(c).cast("double") for c in ("n", "sx", "sy", "sxx", "syy", "sxy"))
+    spread = F.sqrt((sxx - sx * sx / n) * (syy - sy * sy / n))
+    return sums.select("a", "b", "n", F.when(spread > 0, (sxy - sx * sy / n) / spread).alias("r"))
+
+
+def missing_patterns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(pattern, n)``: which of the columns are missing together; a 1 in the text per missing column, in order."""
+    marks = F.concat(*[F.when(present(df, c).isNull(), "1").otherwise("0") for c in cols])
+    return df.groupBy(marks.alias("pattern")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def joint_missingness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(a, b, n_both, n_either, r)`` for each two columns: rows that lack both, rows that lack one, and the correlation of lacking them.
+
+    The rows are read once, into counts per pattern; the pairs are sums over those.
+    """
+    patterns = stage(missing_patterns(df, cols), "missing-patterns")
+    pairs = list(combinations(range(len(cols)), 2))
+    lacks = lambda i: F.substring("pattern", i + 1, 1) == "1"
+    count = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    single = [count(lacks(i)).alias(f"m{i}") for i in range(len(cols))]
+    double = [count(lacks(i) & lacks(j)).alias(f"b{i}_{j}") for i, j in pairs]
+    wide = patterns.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("n"), *single, *double)
+
+    def entry(i: int, j: int) -> Column:
+        n, a, b, both = F.col("n"), F.col(f"m{i}"), F.col(f"m{j}"), F.col(f"b{i}_{j}")
+        spread = F.sqrt(a * (n - a) * (b * (n - b)))
+        r = F.when(spread > 0, (n * both - a * b) / spread)
+        return F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), both.alias("n_both"), (a + b - both).alias("n_either"), r.alias("r"))
+
+    return wide.select(F.inline(F.array(*[entry(i, j) for i, j in pairs])))
+
+
+def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """``(n_rows, n_distinct, n_repeats, n_groups, largest)`` over the given columns: repeats are rows beyond the first of their kind."""
+    counts = df.groupBy(*(cols or df.columns)).agg(F.count(F.lit(1)).alias("c"))
+    total = F.coalesce(F.sum("c"), F.lit(0))
+    return counts.agg(
+        total.alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"), (total - F.count(F.lit(1))).alias("n_repeats"),
+        F.count_if(F.col("c") > 1).alias("n_groups"), F.coalesce(F.max("c"), F.lit(0)).alias("largest"),
+    )
+
+
 def _corr_with(c: str, target: str) -> Column:
     v = known(F.col(c).cast("double"))
     return F.corr(v, F.when(v.isNotNull(), F.col(target).cast("double")))

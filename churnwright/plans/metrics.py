@@ -292,6 +292,27 @@ def _(t):
     return out.select("arn", of("candidate_run_id"), of("is_champion"), of("owner"), F.size("lineage").alias("n_keys"))
 
 
+def _weight_sql(bits: str) -> str:
+    return " + ".join(f"CAST({bits} >= {step} AS INTEGER)" for step in g.POISSON_STEPS)
+
+
+@query(
+    "e19b_bootstrap_interval",
+    f"""{SCORED}, drawn AS (SELECT l_linestatus AS segment, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y, CAST((l_partkey * 7 + l_linenumber * 13 + CASE WHEN l_returnflag = 'R' THEN 150 ELSE 0 END) % 997 AS DOUBLE) / 997 AS score, replicate,
+          CAST('0x' || substr(md5('42|' || replicate || '|' || l_orderkey || '|' || l_linenumber), 1, 8) AS BIGINT) AS u FROM lineitem, (SELECT unnest(range(1, 13)) AS replicate)),
+        w AS (SELECT segment, replicate, score, y, {_weight_sql("u")} AS n FROM drawn),
+        hist AS (SELECT segment, replicate, score, SUM(n * y) AS pos, SUM(n * (1 - y)) AS neg FROM w WHERE n > 0 GROUP BY ALL),
+        run AS (SELECT *, SUM(neg) OVER (PARTITION BY segment, replicate ORDER BY score) AS upto, SUM(pos) OVER (PARTITION BY segment, replicate) AS np, SUM(neg) OVER (PARTITION BY segment, replicate) AS nn FROM hist),
+        auc AS (SELECT segment, replicate, SUM(CAST(pos AS DOUBLE) * (upto - neg + neg * 0.5)) / MAX(CAST(np AS DOUBLE) * nn) AS auc FROM run GROUP BY ALL)
+        SELECT segment, ROUND(AVG(auc), 6) AS mean, ROUND(STDDEV_SAMP(auc), 6) AS std, ROUND(quantile_cont(auc, 0.025), 6) AS low, ROUND(quantile_cont(auc, 0.975), 6) AS high, COUNT(*) AS n FROM auc GROUP BY 1""",
+)
+def _(t):
+    keyed = t.lineitem.selectExpr("l_orderkey", "l_linenumber", "l_linestatus AS segment", "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label",
+                                  "CAST((l_partkey * 7 + l_linenumber * 13 + CASE WHEN l_returnflag = 'R' THEN 150 ELSE 0 END) % 997 AS DOUBLE) / 997 AS score")
+    drawn = g.bootstrap(keyed, ["l_orderkey", "l_linenumber"], 12, by=["segment"])
+    return rounded(g.metric_interval(drawn, "roc_auc", ["segment"]))
+
+
 @query(
     "e19_stability",
     FOLDS

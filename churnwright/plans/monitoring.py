@@ -11,6 +11,7 @@ from churnwright.operators.cleaning import label_at
 from churnwright.operators.profiling import null_profile
 from churnwright.plans.metrics import curve_sql
 from churnwright.plans.registry import ctes, query, rounded
+from churnwright.session import stage
 
 SCORED = ctes("scored")
 SPLIT_DAY = "1998-01-01"
@@ -314,3 +315,41 @@ def _(t):
     base = t.lineitem.where(old)
     cur = t.lineitem.where(~old).withColumn("l_discount", F.col("l_discount") * 20).withColumn("year", F.year("l_shipdate"))
     return rounded(mo.attribution_drift(mo.attribution(base, WEIGHTS, base), mo.attribution(cur, WEIGHTS, base, ["year"]), ["year"]))
+
+
+PROBS = [0.1, 0.25, 0.5, 0.75, 0.9]
+
+
+@query(
+    "m8c_sketched_quantiles",
+    f"""WITH w AS (SELECT year(l_shipdate) AS y, l_quantity, l_extendedprice FROM lineitem), f AS (SELECT y, 'l_quantity' AS feature, COUNT(*) AS n FROM w GROUP BY 1 UNION ALL SELECT y, 'l_extendedprice', COUNT(*) FROM w GROUP BY 1)
+        SELECT CAST(y AS INTEGER) AS year, feature, n, CAST(p AS DOUBLE) AS prob, true AS within FROM f, (SELECT unnest([{", ".join(map(str, PROBS))}]) AS p)""",
+)
+def _(t):
+    """Sketches kept per day, merged into years; each quantile's exact rank is within the stated error of the asked one."""
+    long = d.as_features(t.lineitem.withColumn("day", F.to_date("l_shipdate")), ["l_quantity", "l_extendedprice"], ["day"])
+    daily = stage(d.sketches(long, ["day"]), "sketches")
+    yearly = stage(d.merged(daily.withColumn("year", F.year("day")), ["year"]), "sketches")
+    asked = d.sketched_quantiles(yearly, PROBS, ["year"])
+    values = long.groupBy(F.year("day").alias("year"), "feature", "value").agg(F.count(F.lit(1)).alias("c"))
+    ranked = asked.withColumnRenamed("value", "q").join(values, ["year", "feature"]).groupBy("year", "feature", "n", "prob")
+    below = ranked.agg(F.sum(F.when(F.col("value") < F.col("q"), F.col("c")).otherwise(0)).alias("less"), F.sum(F.when(F.col("value") <= F.col("q"), F.col("c")).otherwise(0)).alias("upto"))
+    room = F.lit(2 * d.rank_error()) + 1 / F.col("n")  # twice the error of one rank in a hundred
+    near = (F.col("less") / F.col("n") <= F.col("prob") + room) & (F.col("upto") / F.col("n") >= F.col("prob") - room)
+    return below.select("year", "feature", "n", "prob", near.alias("within"))
+
+
+@query(
+    "m8d_sketched_drift",
+    f"""WITH n AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem WHERE l_shipdate >= TIMESTAMP '{SPLIT_DAY}' GROUP BY 1)
+        SELECT year, feature, feature = 'shifted' AS drifted FROM n, (SELECT unnest(['l_quantity', 'l_extendedprice', 'shifted']) AS feature)""",
+)
+def _(t):
+    """Drift of later years from sketches alone: only the feature that was shifted on purpose drifts."""
+    cut = F.lit(SPLIT_DAY).cast("timestamp_ntz")
+    moved = F.when(F.col("l_shipdate") < cut, F.col("l_quantity")).otherwise(F.col("l_quantity") * 1.5)
+    rows = t.lineitem.withColumn("day", F.to_date("l_shipdate")).withColumn("shifted", moved)
+    daily = stage(d.sketches(d.as_features(rows, ["l_quantity", "l_extendedprice", "shifted"], ["day"]), ["day"]), "sketches")
+    old = F.col("day") < F.lit(SPLIT_DAY).cast("date")
+    found = d.sketched_psi(stage(d.merged(daily.where(old)), "sketches"), d.merged(daily.where(~old).withColumn("year", F.year("day")), ["year"]), ["year"])
+    return found.select("year", "feature", (F.col("psi") > d.PSI_SIGNIFICANT).alias("drifted"))

@@ -132,6 +132,40 @@ def _(t):
     return rounded(p.correlations(t.derive("lines"), ["quantity", "price", "discount", "tax"]))
 
 
+def _spearman_sql(a: str, b: str) -> str:
+    rank = lambda c: f"RANK() OVER (ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY {c}) - 1) / 2"
+    return f" SELECT '{a}' AS a, '{b}' AS b, COUNT(*) AS n, ROUND(CORR(x, y), 6) AS r FROM (SELECT {rank(a)} AS x, {rank(b)} AS y FROM lines WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+
+
+@query("a18b_rank_correlations", LINES + " UNION ALL ".join(_spearman_sql(a, b) for a, b in PAIRS))
+def _(t):
+    return rounded(p.rank_correlations(t.derive("lines"), ["quantity", "price", "discount", "tax"]))
+
+
+GAPS = ["price", "priority", "placed", "visits", "target"]
+
+
+@query(
+    "a18c_joint_missingness",
+    DIRTY
+    + " UNION ALL ".join(
+        f" SELECT '{a}' AS a, '{b}' AS b, COUNT(*) FILTER ({a} IS NULL AND {b} IS NULL) AS n_both, COUNT(*) FILTER ({a} IS NULL OR {b} IS NULL) AS n_either, ROUND(CORR(CAST({a} IS NULL AS INTEGER), CAST({b} IS NULL AS INTEGER)), 6) AS r FROM dirty"
+        for i, a in enumerate(GAPS) for b in GAPS[i + 1 :]
+    ),
+)
+def _(t):
+    return rounded(p.joint_missingness(t.derive("dirty"), GAPS))
+
+
+@query(
+    "a18d_duplicate_rows",
+    """WITH c AS (SELECT l_partkey, l_quantity, COUNT(*) AS c FROM lineitem GROUP BY 1, 2)
+       SELECT CAST(SUM(c) AS BIGINT) AS n_rows, COUNT(*) AS n_distinct, CAST(SUM(c) - COUNT(*) AS BIGINT) AS n_repeats, COUNT(*) FILTER (c > 1) AS n_groups, MAX(c) AS largest FROM c""",
+)
+def _(t):
+    return p.duplicate_rows(t.lineitem, ["l_partkey", "l_quantity"])
+
+
 @query(
     "a13_point_biserial",
     LINES + " UNION ALL ".join(f" SELECT '{c}' AS \"column\", ROUND(CORR({c}, target), 6) AS r FROM lines" for c in ("quantity", "price", "discount", "tax")),

@@ -200,6 +200,27 @@ def _(t):
     return runs.select(F.col("job_index").cast("bigint"), within.alias("within"), (F.col("roc_auc") > 0.5).alias("signal_found"))
 
 
+@query(
+    "t6b_successive_halving",
+    ROWS
+    + """, n AS (SELECT rung, share, COUNT(*) AS n_train FROM r, (SELECT unnest([0, 1, 2]) AS rung, unnest([0.25, 0.5, 1.0]) AS share, unnest(['40000000', '80000000', 'g']) AS bound)
+             WHERE NOT is_valid AND substr(md5('42|' || CAST(o_orderkey AS VARCHAR)), 1, 8) < bound GROUP BY ALL)
+        SELECT CAST(rung AS INTEGER) AS rung, CAST(share AS DOUBLE) AS share, n_train, CAST([4, 2, 1][rung + 1] AS BIGINT) AS n_runs, CAST([2, 1, 1][rung + 1] AS BIGINT) AS n_survived, true AS best_survived, true AS known_before FROM n""",
+)
+def _(t):
+    """Four penalties over three rungs; sizes and survivors are recomputed from the table of runs."""
+    runs = stage(se.halving(*_sides(t), se.grid({"reg": [0.0, 0.05, 0.2, 1.0]}), _fit_logistic, "o_orderkey", eta=2, share=0.25), "halving")
+    place = F.row_number().over(Window.partitionBy("rung").orderBy(F.desc_nulls_last("roc_auc"), "job_index"))  # a row per run
+    ranked = runs.withColumn("place", place)
+    before = runs.where("survived").select((F.col("rung") + 1).alias("rung"), "job_index", F.lit(True).alias("_known"))
+    checked = ranked.join(before, ["rung", "job_index"], "left")
+    sizes = checked.groupBy("rung", "share", "n_train").agg(
+        F.count(F.lit(1)).alias("n_runs"), F.count_if("survived").alias("n_survived"), F.max(F.when(F.col("survived"), F.col("place"))).alias("last"),
+        F.every((F.col("rung") == 0) | F.coalesce("_known", F.lit(False))).alias("known_before"),
+    )
+    return sizes.select("rung", "share", "n_train", "n_runs", "n_survived", (F.col("last") == F.col("n_survived")).alias("best_survived"), "known_before")
+
+
 @query("t7_run_table", "SELECT CAST(i AS BIGINT) AS place, CAST(4 AS BIGINT) AS n_runs, true AS ranked, true AS same FROM (SELECT unnest([1, 2, 3, 4]) AS i), region WHERE r_regionkey = 0")
 def _(t):
     """Two searches appended to one table of runs, read back and ranked; the summary of what was read equals that of what was run."""

@@ -11,8 +11,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnwright.operators.sampling import sample_fraction
 from churnwright.operators.scoring import evaluate, threshold_curve
 from churnwright.operators.splitting import fold_sides
+from churnwright.session import stage
 
 
 def grid(values: Mapping[str, Sequence]) -> list[dict]:
@@ -51,6 +53,36 @@ def search(train: DataFrame, valid: DataFrame, runs: Sequence[dict], fit_and_sco
     return reduce(lambda a, b: a.unionByName(b), [r.select(*keep) for r in rows]).orderBy(F.desc("roc_auc"), "job_index")
 
 
+def halving(
+    train: DataFrame, valid: DataFrame, runs: Sequence[dict], fit_and_score: Train, key: str, *, eta: int = 3, share: float = 0.1,
+    grows: str | None = None, metric: str = "roc_auc", seed: int = 42, parallel: int = 3,
+) -> DataFrame:
+    """``(rung, share, n_train, job_index, parameters..., metrics..., survived)``: successive halving.
+
+    The first rung fits all runs on ``share`` of the training rows; the best ``1 / eta`` of them, by ``metric`` and then
+    by number, go on to a rung with ``eta`` times the rows, until one is left or all rows are used. Rows are drawn by
+    ``key``, so a rung's rows are in the next one's. ``grows`` names a parameter, such as the rounds, that grows by ``eta``
+    with the rows. Every rung is written before its survivors are read: what reaches the driver is a row per run.
+    """
+    left, rungs, rung = list(enumerate(runs)), [], 0
+    while left:
+        now = min(1.0, share * eta**rung)
+        rows = stage(sample_fraction(train, now, key, seed), f"rung-{rung}")
+        params = [{**p, grows: p[grows] * eta**rung} if grows else p for _, p in left]
+        table = search(rows, valid, params, fit_and_score, parallel)
+        numbers = F.array(*[F.lit(i) for i, _ in left])
+        table = table.withColumn("job_index", F.get(numbers, F.col("job_index")))
+        size = rows.groupBy().agg(F.count(F.lit(1)).alias("n")).scalar()
+        table = stage(table.select(F.lit(rung).alias("rung"), F.lit(now).alias("share"), size.alias("n_train"), "*"), f"rung-{rung}-runs")
+        last = len(left) == 1 or now >= 1.0
+        keep = 0 if last else max(1, len(left) // eta)
+        best = [r["job_index"] for r in table.orderBy(F.desc_nulls_last(metric), "job_index").limit(keep or 1).collect()]
+        rungs.append(table.withColumn("survived", F.col("job_index").isin(best)))
+        left = [] if last else [(i, p) for i, p in left if i in best]
+        rung += 1
+    return reduce(lambda a, b: a.unionByName(b), rungs)
+
+
 def search_summary(runs: DataFrame, metric: str = "roc_auc") -> DataFrame:
     return runs.agg(F.max(metric).alias("best"), F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("std"), F.count(F.lit(1)).alias("n_runs"))
 
