@@ -113,7 +113,9 @@ def apart(a: Column, b: Column) -> Column:
 def narrow_keys(fps: DataFrame) -> DataFrame:
     """(key, fp, n, low): the narrow variants on which two fingerprints or more meet, how many do, and the smallest of them."""
     made = F.array(*[F.struct(F.lit(k).alias("keep"), F.lit(f).alias("flip")) for k, f in narrow_variants()])
-    each = fps.select("fp", F.explode(F.transform(made, lambda v: F.col("fp").bitwiseAND(v.keep).bitwiseXOR(v.flip))).alias("key"))
+    # spread first, as one row becomes 131; dealt by key before counting, as hardly any key is there twice in a task
+    spread = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    each = spread.select("fp", F.explode(F.transform(made, lambda v: F.col("fp").bitwiseAND(v.keep).bitwiseXOR(v.flip))).alias("key")).repartition("key")
     met = written(each.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("low")).where("n > 1"), "simhash-met")
     return written(lookup(each, met, ["key"], how="inner").select("key", "fp", "n", "low"), "simhash-narrow")
 
