@@ -66,7 +66,7 @@ class Boosted:
         chosen = self.trees if trees is None else trees
         out = F.lit(self.base if trees is None else 0.0)
         for tree in chosen:
-            out = out + F.expr(tree_text(tree, lambda n: repr(self.value(n))))
+            out = out + F.expr(tree_text(tree, lambda n: number(self.value(n))))
         return out
 
     def prepared(self, df: DataFrame) -> DataFrame:
@@ -77,6 +77,11 @@ class Boosted:
         return self.prepared(df).select(*keep, sigmoid(self.margin()).alias(out))
 
 
+def number(value: float) -> str:
+    """A double in SQL; without the suffix it would be read as a decimal."""
+    return f"{float(value)!r}D"
+
+
 def sigmoid(margin: Column) -> Column:
     return 1 / (1 + F.exp(-margin))
 
@@ -88,9 +93,9 @@ def read_tree(node) -> Node:
     split = node.split()
     at = f"{VECTOR}[{split.featureIndex()}]"
     if split.getClass().getSimpleName() == "ContinuousSplit":
-        test = f"{at} <= {split.threshold()!r}"
+        test = f"{at} <= {number(split.threshold())}"
     else:
-        test = f"{at} IN ({', '.join(repr(float(c)) for c in split.leftCategories())})"
+        test = f"{at} IN ({', '.join(number(c) for c in split.leftCategories())})"
     return Node(split.featureIndex(), test, read_tree(node.leftChild()), read_tree(node.rightChild()))
 
 
@@ -163,7 +168,7 @@ def contributions(model: Boosted, df: DataFrame, keep: Sequence[str | Column]) -
             return None
         sides = [moves(s, feature) for s in (node.left, node.right)]
         if node.feature == feature:
-            own = [repr(model.value(s) - model.value(node)) for s in (node.left, node.right)]
+            own = [number(model.value(s) - model.value(node)) for s in (node.left, node.right)]
             sides = [o if s is None else f"{o} + ({s})" for o, s in zip(own, sides, strict=True)]
         if sides == [None, None]:
             return None
