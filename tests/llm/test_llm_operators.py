@@ -87,7 +87,9 @@ def test_components_of_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
-def test_simhash_links_all_pairs_within_four_bits(spark):
+@pytest.mark.parametrize("direct", [64, 2])
+def test_simhash_links_all_pairs_within_four_bits(spark, direct, monkeypatch):
+    monkeypatch.setattr(simhash, "DIRECT", direct)  # most by comparing, or most by balls
     rnd = random.Random(1)
     fps = {rnd.getrandbits(64) for _ in range(60)}
     for f in list(fps)[:30]:
@@ -96,9 +98,15 @@ def test_simhash_links_all_pairs_within_four_bits(spark):
             for b in rnd.sample(range(64), rnd.randint(1, 6)):
                 g ^= 1 << b
             fps.add(g)
+    middle = rnd.getrandbits(64)  # a large group, of which many are more than four bits apart
+    for _ in range(150):
+        g = middle
+        for b in rnd.sample(range(20), rnd.randint(1, 6)):
+            g ^= 1 << b
+        fps.add(g)
     fps = sorted(fps | {0, 1, (1 << 64) - 1})
     df = spark.createDataFrame([(simhash.signed(f),) for f in fps], "fp bigint")
-    edges = simhash.ball_links(simhash.differing_bits(df))
+    edges = simhash.near_links(df)
     found = {(r.u, r.v) for r in edges.collect()}
     assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 4 for a, b in found)
     want = linked(len(fps), [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4])
