@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnwright.llm.common import map_rows, table, text_bytes
-from churnwright.llm.learning import by_hash, fit_logistic, held_out, labelled_sample, logistic, with_texts
+from churnwright.llm.learning import bounded_sample, fit_logistic, held_out, labelled_sample, logistic, with_texts
 
 POSITIVES, UNLABELLED = 10_000, 20_000
 PARTS, AT = 3, 1
@@ -90,8 +90,8 @@ def fit_nonnegative(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 150
 def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED, id_col: str = "doc_id", text_col: str = "text") -> dict:
     """Scaling, weights and class prior, as plain values."""
     trusted = labelled_sample(labels.where(F.col("quality") == 1), "quality", PARTS, AT, positives, id_col)
-    any_ids = by_hash(docs.select(F.col(f"`{id_col}`").alias("sample_id"), F.col(f"`{text_col}`").alias("text")), "sample_id", unlabelled)
-    rows = with_texts(docs, trusted, id_col, text_col).select(F.lit(1).alias("p"), text_bytes())
+    any_ids = bounded_sample(docs.select(F.col(f"`{id_col}`").alias("sample_id"), F.col(f"`{text_col}`").alias("text")), unlabelled)
+    rows = bounded_sample(with_texts(docs, trusted, id_col, text_col), positives).select(F.lit(1).alias("p"), text_bytes())
     seen = measured(rows.unionByName(any_ids.select(F.lit(0).alias("p"), text_bytes()))).orderBy("p", "x").collect()
     p, u = (np.array([r.x for r in seen if r.p == kind]) for kind in (1, 0))
     if not len(p) or not len(u):
