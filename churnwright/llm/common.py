@@ -15,6 +15,8 @@ from churnwright.session import stage
 # Tasks get the functions of this package with the job, so that executors need no copy of it.
 cloudpickle.register_pickle_by_value(churnwright.llm)
 
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4_000_000
+
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -27,14 +29,25 @@ def text_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")).cast("binary")
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Let Arrow batches end at ``BATCH_BYTES``, unless the session names less.
+
+    A setting of the session, read when a plan starts: the buffers of a batch are held by the JVM and by the worker at once.
+    """
+    if int(spark.conf.get(BATCH_KEY).rstrip("bB") or 0) > BATCH_BYTES:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[list], list[tuple]]], schema: str) -> DataFrame:
     """Replace the last column, a text as bytes, by the columns ``schema`` names.
 
     ``make()`` runs once per task and returns a function from a list of byte
-    strings to one tuple per string. The other columns pass through. A batch is
-    cut into pieces of about 8 MB of text, so that a task's memory does not
+    strings to one tuple per string. The other columns pass through. Batches hold
+    about 4 MB; where the session's batches are larger for another reason, they are cut into
+    pieces of about 8 MB of text, so that a task's memory does not
     depend on how long the texts of a batch are.
     """
+    short_batches(df.sparkSession)
     kept = df.columns[:-1]
     out = df.select(*[F.col(f"`{c}`") for c in kept]).schema
     full = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in out.fields), schema])
@@ -55,6 +68,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[list], list[tuple]]], s
 
 def filter_rows(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
     """The rows of ``df``, with all their columns, for whose text (as bytes, null as empty) the made function says so."""
+    short_batches(df.sparkSession)
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

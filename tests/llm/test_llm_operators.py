@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from churnwright.llm import bpe, decontaminate, language, pii, quality, sharding, simhash, substrings, toxicity, vectors
 from churnwright.llm.common import components
+from churnwright.llm.learning import bounded_sample
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, id string, fp string, hits int"
 
@@ -489,6 +490,35 @@ def test_personal_data_decides_further_forms_by_their_own_checks(spark):
         assert not any(found[9100 + i] for i in range(len(no)))
 
 
+def test_personal_data_is_selected_by_trees_and_thresholds(spark):
+    rows = [(i, t) for i, t in enumerate(pii_texts() * 3)] + [(9000, "call (212) 555-0100 now or write to jane (at) example (dot) org"), (9001, "a@b.c and card 4111.1111.1111.1111")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = pii.learn(docs)
+    assert model["trees"] and set(model["cuts"]) == {0, 1, 2, 3} and all(0 < c <= 1 for c in model["cuts"].values())
+    assert pii.learn(docs.repartition(5)) == model
+    asked = docs.where("doc_id >= 9000")
+    kinds = lambda m: {r.doc_id: [s.kind_no for s in r.chosen] for r in pii.personal_data(asked, m).collect()}
+    assert kinds(model) == {9000: [0, 3], 9001: [0, 2]}
+    assert kinds({**model, "cuts": {**model["cuts"], 2: 1.5, 3: 1.5}}) == {9000: [0], 9001: [0]}  # a threshold that no score reaches
+
+
+def test_examples_of_personal_data_are_well_formed_or_broken(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(pii_texts())], "id bigint, text string")
+    found = {(r.kind, r.y): (r.low, r.high, r.n) for r in pii.examples(docs).groupBy("kind", "y").agg(F.min("valid").alias("low"), F.max("valid").alias("high"), F.count("*").alias("n")).collect()}
+    assert set(found) == {(float(k), y) for k in range(4) for y in (0.0, 1.0)}
+    assert all(low == high == y and n > 50 for (_, y), (low, high, n) in found.items())
+
+
+def test_bounded_sample(spark):
+    rows = [(1, "same")] * 3000 + [(2, f"text {i}") for i in range(3000)] + [(None, f"none {i}") for i in range(1000)] + [(None, None)] * 1000
+    df = spark.createDataFrame(rows, "id bigint, text string").repartition(4)
+    key = lambda rows: sorted((r.id is None, r.id or 0, r.text or "") for r in rows)
+    some = bounded_sample(df, 200).collect()
+    assert len(some) == 200 == len({(r.id, r.text) for r in some}) and key(some) == key(bounded_sample(df.repartition(7), 200).collect())
+    assert len(bounded_sample(df, 100_000).collect()) == 4002 and len(bounded_sample(df.where("id = 1"), 2000).collect()) == 1
+    assert bounded_sample(df.where("false"), 10).count() == 0 and bounded_sample(df, 1).count() == 1
+
+
 def test_vectors(spark):
     rnd = np.random.default_rng(3)
     centres = rnd.normal(size=(12, 16))
