@@ -82,6 +82,7 @@ def promotion(gated: DataFrame, champions: DataFrame, group: str, metric: str =
     ok = extra_ok if extra_ok is not None else F.lit(True)
     better = F.coalesce(cand >= champ + margin, F.lit(False))
     promote = F.when(~F.col("quality_gates_pass"), False).when(~ok, False).when(champ.isNull(), True).otherwise(better)
+    # Fixed values of the output: the texts of the reasons.
     reason = (
         F.when(~F.col("quality_gates_pass"), F.lit("Failed quality gates"))
         .when(~ok, F.lit("Failed extra promotion rules"))

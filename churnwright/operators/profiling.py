@@ -6,7 +6,8 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -382,16 +383,70 @@ def association_ranking(df: DataFrame, target: str, max_cat_unique: int | None =
     return ranked.select(F.col("column").alias("feature"), "correlation", "method").orderBy(F.desc_nulls_last("correlation"), "feature")
 
 
-def fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """``(n, mix, total)``: an order-free digest of the rows. Columns are rendered as string."""
-    cols = list(cols or df.columns)
+def _row_digest(cols: Sequence[str]) -> Column:
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols])
-    row = F.conv(F.substring(F.md5(text), 1, 10), 16, 10).cast("bigint")
-    return df.select(row.alias("h")).agg(
+    return F.conv(F.substring(F.md5(text), 1, 10), 16, 10).cast("bigint")
+
+
+def _digest() -> list[Column]:
+    """The sums of row digests ``h`` that ``fingerprint`` returns; each can be combined with that of other rows."""
+    return [
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.bit_xor("h"), F.lit(0).cast("bigint")).alias("mix"),
         F.coalesce(F.sum(F.col("h") % 1_000_003), F.lit(0).cast("bigint")).alias("total"),
+    ]
+
+
+def fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """``(n, mix, total)``: an order-free digest of the rows. Columns are rendered as string."""
+    return df.select(_row_digest(list(cols or df.columns)).alias("h")).agg(*_digest())
+
+
+MANIFEST = "file string, bytes bigint, modified timestamp, cols string, n bigint, mix bigint, total bigint"
+
+
+def fingerprint_files(spark: SparkSession, folder: str, manifest: str, cols: Sequence[str] | None = None) -> DataFrame:
+    """``(n, mix, total, n_files, n_read)`` of a folder of Parquet files: ``fingerprint`` of all rows, and the files that were read for it.
+
+    A digest per file is kept in ``manifest``, a folder of its own in storage that executors share. A file is known by path, length,
+    time of change and the digested columns; only files that are not known are read, and files that are gone do not count. Files
+    are listed without opening them. The folder is to be left alone while it is read; one without files has the digest of
+    no rows if ``cols`` are given. A run that ends half-way leaves a manifest that is still right:
+    lines are added, and equal lines count once.
+    """
+    listed = spark.read.format("binaryFile").load(folder)  # finds the files, and partition columns, as a read of the table does
+    named = [F.col(f"_metadata.{c}").alias(a) for c, a in (("file_path", "file"), ("file_size", "bytes"), ("file_modification_time", "modified"))]
+    files = stage(listed.select(*named), "listing")
+    if cols is None:
+        cols = spark.read.parquet(folder).columns
+    # quoted and joined, so that no two lists of columns read alike
+    files = files.withColumn("cols", F.to_json(F.array(*[F.lit(c) for c in cols])))
+    key = ["file", "bytes", "modified", "cols"]
+    lines = spark.createDataFrame([], MANIFEST) if not _exists(spark, manifest) else spark.read.schema(MANIFEST).parquet(manifest)
+    fresh = stage(files.join(lines.select(*key).distinct(), key, "left_anti"), "fresh")
+    n_read = fresh.count()
+    if n_read:
+        paths = [r.file for r in fresh.select("file").collect()]  # one short text per file, as in the listing that Spark itself keeps
+        rows = spark.read.parquet(folder).select("*", F.col("_metadata.file_path").alias("_file")).where(F.col("_metadata.file_path").isin(paths))
+        per_file = rows.select(F.col("_file").alias("file"), _row_digest(cols).alias("h")).groupBy("file").agg(*_digest())
+        zero = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("n", "mix", "total")}
+        fresh.join(per_file, "file", "left").withColumns(zero).select(*key, "n", "mix", "total").write.mode("append").parquet(manifest)
+        lines = spark.read.schema(MANIFEST).parquet(manifest)
+    whole = files.join(lines.dropDuplicates(key), key).agg(
+        F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("n"),
+        F.coalesce(F.bit_xor("mix"), F.lit(0).cast("bigint")).alias("mix"),
+        F.coalesce(F.sum("total"), F.lit(0).cast("bigint")).alias("total"),
+        F.count(F.lit(1)).alias("n_files"),
     )
+    return whole.withColumn("n_read", F.lit(n_read).cast("bigint"))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there and holds a written table, on whatever storage the path names."""
+    try:
+        return not spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path").isEmpty()
+    except AnalysisException:
+        return False
 
 
 def dataset_record(df: DataFrame, source: str, uri: str, target: str | None = None, digest_cols: Sequence[str] | None = None) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnwright.functions import hex_bound, seed_key
-from churnwright.operators.ordered import ordered_scan
+from churnwright.operators.lookups import lookup
+from churnwright.session import stage
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
@@ -35,13 +36,27 @@ def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 42) ->
 
 
 def sample_per_stratum(df: DataFrame, stratum: str, key: str, ratio: float, cap: int | None = None, seed: int = 42) -> DataFrame:
-    """``ceil(n * ratio)`` rows of each stratum, e.g. of each input file; at most ``cap`` if one is given."""
-    ranked = ordered_scan(
-        df.withColumn("_h", seed_key(seed, key)), ["_h", key], [stratum], position="_pos", totals={"_n": F.lit(1)}
-    )
+    """``ceil(n * ratio)`` rows of each stratum, e.g. of each input file; at most ``cap`` if one is given.
+
+    The rows are those that come first in seeded order, but they are not sorted: as in ``sample_rows``, each stratum's rows are
+    counted by the first four digits of their order key, and only the rows at the prefix where the stratum is cut are ranked.
+    Rows without a stratum are a stratum of their own. Rows that repeat a key are ranked in no stated order among themselves.
+    """
+    name = F.col(f"`{stratum}`")
+    keyed = df.withColumn("_h", seed_key(seed, key)).withColumn("_p", F.substring("_h", 1, 4))
+    keyed = keyed.withColumn("_s", F.struct(name.isNull().alias("no"), F.coalesce(name.cast("string"), F.lit("")).alias("of")))
+    counts = keyed.groupBy("_s", "_p").agg(F.count(F.lit(1)).alias("_c"))
+    one = Window.partitionBy("_s")  # a window group is one stratum's prefixes: at most 65,536 rows
+    upto = counts.select("_s", "_p", "_c", F.sum("_c").over(one.orderBy("_p")).alias("_upto"), F.sum("_c").over(one).alias("_n"))
     share = F.ceil(F.col("_n") * min(ratio, 1.0))
     wanted = share if cap is None else F.least(share, F.lit(cap))
-    return ranked.where(F.col("_pos") <= wanted).select(*df.columns)
+    left = (wanted - F.col("_upto") + F.col("_c")).alias("_left")
+    cuts = stage(upto.where(F.col("_upto") > wanted).groupBy("_s").agg(F.min(F.struct("_p", left)).alias("_cut")), "cuts")
+    held = lookup(keyed, cuts, ["_s"])
+    whole = held.where(F.col("_cut").isNull() | (F.col("_p") < F.col("_cut._p")))
+    rank = F.row_number().over(Window.partitionBy("_s", "_p").orderBy("_h", key))
+    last = held.where(F.col("_p") == F.col("_cut._p")).withColumn("_rank", rank).where(F.col("_rank") <= F.col("_cut._left"))
+    return whole.select(*df.columns).unionByName(last.select(*df.columns))
 
 
 def first_by_key(df: DataFrame, key: str, n: int) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from churnwright.operators import profiling as p
 from churnwright.operators.gates import fold_summary
 from churnwright.plans.registry import ctes, query, rounded
+from churnwright.session import new_path
 from churnwright.training.search import search_summary
 
 DIRTY = ctes("dirty")
@@ -214,6 +215,26 @@ def _(t):
     return p.fingerprint(t.orders, HASHED)
 
 
+@query(
+    "a16b_incremental_fingerprint",
+    f"SELECT f.*, s.n_first, CAST(0 AS BIGINT) AS n_again, true AS only_new FROM ({FINGERPRINT}) f, (SELECT COUNT(*) AS n_first FROM orders WHERE o_orderkey % 3 < 2) s",
+)
+def _(t):
+    """Two of three orders are written and digested, the rest is added: only files of the second part are read, and none in a third look."""
+    path, manifest = new_path(t.spark, "files"), new_path(t.spark, "manifest")
+    parts = [t.orders.where("o_orderkey % 3 < 2"), t.orders.where("o_orderkey % 3 = 2")]
+    seen = []
+    for rows in [*parts, None]:
+        if rows is not None:
+            rows.write.mode("append").parquet(path)
+        seen.append(p.fingerprint_files(t.spark, path, manifest, HASHED))
+    first, second, third = (s.first() for s in seen)
+    only_new = second.n_read == second.n_files - first.n_files
+    return seen[2].select(
+        "n", "mix", "total", F.lit(first.n).cast("bigint").alias("n_first"), F.lit(third.n_read).cast("bigint").alias("n_again"), F.lit(only_new).alias("only_new")
+    )
+
+
 @query(
     "a17_dataset_record",
     DIRTY

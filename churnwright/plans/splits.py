@@ -28,6 +28,18 @@ def _(t):
     return sa.sample_per_stratum(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderpriority", "o_orderkey", 0.25, 700)
 
 
+@query(
+    "l3b_sample_per_hot_stratum",
+    f"""WITH s AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_custkey % 50 AS VARCHAR) END AS stratum FROM orders),
+        r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY stratum ORDER BY {KEY}, o_orderkey) AS rn, COUNT(*) OVER (PARTITION BY stratum) AS n FROM s)
+        SELECT o_orderkey, stratum FROM r WHERE rn <= CEIL(n * CAST(0.4 AS DOUBLE))""",
+)
+def _(t):
+    """A third of the rows are without a stratum; they are one of their own, and no rows but those at the cuts are ranked."""
+    stratum = F.when(F.col("o_orderkey") % 3 != 0, (F.col("o_custkey") % 50).cast("string")).alias("stratum")
+    return sa.sample_per_stratum(t.orders.select("o_orderkey", stratum), "stratum", "o_orderkey", 0.4)
+
+
 @query("l4_first_by_key", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 200")
 def _(t):
     return sa.first_by_key(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey", 200)

@@ -2,8 +2,10 @@
 
 import datetime as dt
 import gzip
+import hashlib
 import json
 import math
+import os
 import time
 
 import pytest
@@ -152,6 +154,65 @@ def test_cramers_v_edges(spark):
     assert profiling.cramers_v(flat, "x", "y").first()["v"] is None
 
 
+def test_stratum_sample_is_that_of_sorted_rows_without_sorting_them(spark):
+    n = 4000
+    stratum = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit("hot")).otherwise((F.col("id") % 40).cast("string"))
+    df = spark.range(n).select("id", stratum.alias("f"), F.lit(1).alias("_x"))
+    for ratio, cap in ((0.3, None), (0.5, 7), (1.0, None), (0.0, None)):
+        got = sorted(r.id for r in sampling.sample_per_stratum(df, "f", "id", ratio, cap, 5).collect())
+        groups = {}
+        for r in df.collect():
+            groups.setdefault(r.f, []).append(r.id)
+        want = []
+        for ids in groups.values():
+            k = math.ceil(len(ids) * ratio)
+            want += sorted(ids, key=lambda i: hashlib.md5(f"5|{i}".encode()).hexdigest())[: k if cap is None else min(k, cap)]
+        assert got == sorted(want), (ratio, cap)
+    rows = sampling.sample_per_stratum(df, "f", "id", 0.3)
+    assert rows.columns == df.columns
+    assert sampling.sample_per_stratum(df.limit(0), "f", "id", 0.3).count() == 0
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    ranked = plan[plan.index("Window") :]
+    assert "_cut" in ranked and "Filter" in ranked  # what is ranked has been cut down to the rows of one prefix
+
+
+def test_fingerprint_of_files_reads_only_new_ones(spark, tmp_path):
+    folder, manifest = str(tmp_path / "some files"), str(tmp_path / "manifest")
+    cols = ["id", "x"]
+    table = lambda low, high: spark.range(low, high).select("id", (F.col("id") % 7).cast("string").alias("x"))
+    table(0, 100).repartition(3).write.parquet(folder + "/day=1")
+    look = lambda: profiling.fingerprint_files(spark, folder, manifest, cols).first()
+    full = lambda low, high: profiling.fingerprint(table(low, high), cols).first()
+    first = look()
+    assert tuple(first)[:3] == tuple(full(0, 100)) and first.n_read == first.n_files == 3
+    # what is known is not opened again: its bytes may be anything as long as name, length and time are the same
+    old = next((tmp_path / "some files").glob("day=1/*.parquet"))
+    for f in (tmp_path / "some files").glob("day=1/.*.crc"):
+        f.unlink()
+    kept, stat = old.read_bytes(), old.stat()
+    old.write_bytes(b"?" * len(kept))
+    os.utime(old, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    table(100, 150).coalesce(1).write.mode("append").option("compression", "none").parquet(folder + "/day=2")
+    found = look()
+    assert (found.n_files, found.n_read) == (4, 1)
+    assert tuple(found)[:3] == tuple(full(0, 150))
+    assert look().n_read == 0
+    # a changed file is read again, one that is gone does not count
+    old.write_bytes(kept)
+    os.utime(old, ns=(stat.st_atime_ns, stat.st_mtime_ns + 10**10))
+    assert look().n_read == 1
+    old.unlink()
+    held = profiling.fingerprint(spark.read.parquet(folder), cols).first()
+    left = look()
+    assert tuple(left)[:3] == tuple(held) and (left.n_files, left.n_read) == (3, 0)
+    # other columns are another digest; a file without rows is known, too
+    table(0, 0).coalesce(1).write.mode("append").parquet(folder + "/day=3")
+    assert profiling.fingerprint_files(spark, folder, manifest, ["id"]).first().n_read == 4
+    assert look().n_read == 1 and look().n_read == 0
+    whole = profiling.fingerprint_files(spark, folder, manifest).first()
+    assert tuple(whole)[:3] == tuple(profiling.fingerprint(spark.read.parquet(folder)).first()) and whole.n_read == 4
+
+
 def test_fingerprint_ignores_order_and_sees_changes(spark):
     df = spark.range(100).withColumn("t", F.col("id").cast("string"))
     same = df.repartition(7).orderBy(F.desc("id"))
