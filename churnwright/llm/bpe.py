@@ -37,9 +37,8 @@ from pyspark.sql import functions as F
 
 from churnwright.llm.common import map_rows, table, text_bytes
 
-MAX_PIECES = 80_000  # new pieces after which those not asked for meanwhile go
-MAX_MOVES = 400_000
-MAX_PAIRS = 200_000
+MAX_MOVES = 400_000  # moves kept by a worker, about 130 MB with all that goes with them; results do not depend on it
+MOVES_PER_PIECE, MOVES_PER_PAIR = 5, 2  # new pieces after which those not asked for meanwhile go, and pairs kept, as parts of the moves
 PART = 4096  # ids decoded at a time
 # An open start is its place in the trie and the token before it, a move the next state and a token: each pair in one number.
 LOW_BITS = 24
@@ -56,7 +55,7 @@ class Transducer:
     """Encodes one piece at a time by the given ranks."""
 
     def __init__(self, ranks: dict[bytes, int], max_moves: int = MAX_MOVES):
-        self.ranks, self.max_moves = ranks, max_moves
+        self.ranks, self.max_moves, self.max_pairs = ranks, max_moves, max_moves // MOVES_PER_PAIR
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         self.child: dict[int, int] = {}  # trie: node * 256 + byte
@@ -113,7 +112,7 @@ class Transducer:
         if before == LOW:
             return True
         if (known := self.pairs.get(before << LOW_BITS | token)) is None:
-            if len(self.pairs) >= MAX_PAIRS:
+            if len(self.pairs) >= self.max_pairs:
                 self.pairs.clear()
             known = self.pairs[before << LOW_BITS | token] = self.apart(before, token)
         return known
@@ -251,12 +250,12 @@ ASCII_KINDS = {r"\p{L}": "A-Za-z", r"\p{N}": "0-9"}
 class Encoder:
     """Encodes texts to packed ids: little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = MAX_PIECES):
-        self.machine, self.tokens = Transducer(ranks), token_list(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int | None = None, max_moves: int = MAX_MOVES):
+        self.machine, self.tokens = Transducer(ranks, max_moves), token_list(ranks)
         self.cut = self.cut_ascii = regex.compile(pattern).findall
         if (plain := ascii_form(pattern)) is not None:
             self.cut_ascii = re.compile(plain, re.ASCII).findall
-        self.known = Known(self.machine, max_pieces)
+        self.known = Known(self.machine, max_moves // MOVES_PER_PIECE if max_pieces is None else max_pieces)
 
     def encode(self, text: str) -> bytes:
         cut = self.cut_ascii if text.isascii() else self.cut
@@ -338,10 +337,10 @@ def decoded_digest(ids: np.ndarray, tokens: list[bytes], part: int = PART) -> st
     return digest.hexdigest()
 
 
-def worker_encoder(ranks: dict[bytes, int], pattern: str, kept: dict) -> Encoder:
+def worker_encoder(ranks: dict[bytes, int], pattern: str, kept: dict, max_moves: int = MAX_MOVES) -> Encoder:
     """The worker's encoder: a broadcast value stays in a Python worker from task to task."""
     if "encoder" not in kept:
-        kept["encoder"] = Encoder(ranks, pattern)
+        kept["encoder"] = Encoder(ranks, pattern, max_moves=max_moves)
     return kept["encoder"]
 
 
@@ -373,12 +372,15 @@ def decoded(rows: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", id
     return map_rows(rows.select(F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{ids_col}`"), F.lit(b""))), make, "text string")
 
 
-def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256, ids) for every row: encoded, and decoded again from the ids; without ``ids`` if not wanted."""
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, max_moves: int = MAX_MOVES) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256, ids) for every row: encoded, and decoded again from the ids; without ``ids`` if not wanted.
+
+    ``max_moves`` sets what each worker keeps; fewer moves take less memory and more time.
+    """
     held = docs.sparkSession.sparkContext.broadcast((ranks, pattern, {}))
 
     def make() -> Callable[[list], list[tuple]]:
-        coder = worker_encoder(*held.value)
+        coder = worker_encoder(*held.value, max_moves)
 
         def one(text: bytes) -> tuple:
             packed = coder.encode(text.decode("utf-8", "replace"))

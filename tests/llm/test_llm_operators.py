@@ -577,6 +577,7 @@ def test_round_trip_decodes_a_stream_of_parts(spark, coder, monkeypatch):
     assert all(bpe.decoded_digest(ids, bpe.token_list(ranks), part) == want for part in (1, 2, 7, bpe.PART))
     df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
     assert bpe.round_trip(df, ranks, pattern).first().decoded_sha256 == want
+    assert bpe.round_trip(df, ranks, pattern, max_moves=10).first() == bpe.round_trip(df, ranks, pattern).first()
     monkeypatch.setattr(bpe, "decoded_digest", lambda ids, tokens: f"{len(ids)} ids")
     assert bpe.round_trip(df, ranks, pattern).first().decoded_sha256 == f"{len(ids)} ids"
 
@@ -586,11 +587,12 @@ def test_transducer_with_small_stores_and_streams(coder):
     ranks, pattern = coder
     other = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     rnd = random.Random(7)
-    small = bpe.Encoder(ranks, pattern, max_pieces=20)
-    small.machine.max_moves = 50
+    small, tiny = bpe.Encoder(ranks, pattern, max_pieces=20, max_moves=50), bpe.Encoder(ranks, pattern, max_moves=4)
+    assert (tiny.machine.max_moves, tiny.machine.max_pairs, tiny.known.most) == (4, 2, 0)
     for _ in range(1500):
         text = "".join(rnd.choice(["a", "the", "é", "日本", " ", "\n", "0", "'s", "😀", "zz", chr(rnd.randint(1, 0x2FF))]) for _ in range(rnd.randint(0, 30)))
         assert np.frombuffer(small.encode(text), "<u4").tolist() == other.encode_ordinary(text)
+        assert tiny.encode(text) == small.encode(text)
     machine = bpe.Transducer(ranks)
     piece = "".join(rnd.choice("abcdeé") for _ in range(5000)).encode()
     parts = list(machine.stream([piece[i : i + 7] for i in range(0, len(piece), 7)]))
