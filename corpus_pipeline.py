@@ -30,8 +30,11 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, with digests of the ids and of the text decoded from them."""
-    return bpe.round_trip(docs, *bpe.public_ranks())
+    """Token ids of every text, with digests of the ids and of the text decoded from them.
+
+    The heap of an executor is full of what earlier stages left, so the encoders keep half of what they usually do.
+    """
+    return bpe.round_trip(docs, *bpe.public_ranks(), max_moves=bpe.MAX_MOVES // 2)
 
 
 STAGES = [
