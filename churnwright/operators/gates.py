@@ -103,8 +103,11 @@ def stability(folds: DataFrame, metric: str, by: Sequence[str] = ("run",), std_m
 
 
 def poisson_weight(u: Column) -> Column:
-    """A Poisson(1) count from 32 uniform bits: how many steps of the distribution lie at or below them."""
-    return sum((F.when(u >= step, 1).otherwise(0) for step in POISSON_STEPS), F.lit(0))
+    """A Poisson(1) count from 32 uniform bits as eight hex digits: how many steps of the distribution lie at or below them."""
+    at = F.when(u < format(POISSON_STEPS[0], "08x"), 0)
+    for k, step in enumerate(POISSON_STEPS[1:], 1):
+        at = at.when(u < format(step, "08x"), k)
+    return at.otherwise(len(POISSON_STEPS))
 
 
 def poisson_steps() -> list[int]:
@@ -129,9 +132,12 @@ def bootstrap(
     partitioning. All replicates come from one scan, which leaves each task as counts per replicate and score; the
     curves of all replicates are then run up together.
     """
-    copies = df.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    bits = F.conv(F.substring(seed_key(seed, "replicate", *key), 1, 8), 16, 10).cast("long")
-    weighted = copies.withColumn("_n", poisson_weight(bits)).where("_n > 0")
+    # the digest is made in the generator: in a projection the filter on its weight would make it again for every step
+    named = F.when(F.coalesce(*[F.col(k).cast("string") for k in key]).isNotNull(), F.concat_ws("|", *[F.col(k).cast("string") for k in key]))
+    drawn = lambda r: F.struct(r.alias("replicate"), F.substring(seed_key(seed, r, F.col("_key")), 1, 8).alias("_u"))
+    rows = df.select(*by, label, score, named.alias("_key"))
+    copies = rows.select(*by, label, score, F.inline(F.transform(F.sequence(F.lit(1), F.lit(replicates)), drawn)))
+    weighted = copies.withColumn("_n", poisson_weight(F.col("_u"))).where("_n > 0")
     curve = curve_of_counts(weighted, "_n", label, score, [*by, "replicate"])
     return ranking_metrics(curve, [*by, "replicate"]).select(*by, "replicate", "roc_auc", "pr_auc")
 
