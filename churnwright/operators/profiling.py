@@ -241,28 +241,39 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def rank_correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(a, b, n, r)``: Spearman over the rows where both are known, upper triangle; ties take their middle rank.
 
-    Rows become one count per pair and values first. The rank of a value follows from the counts below it, which a scan
-    over the distinct values gives however many there are; Pearson's sums are then taken over the counted cells. Ranks
-    are doubled, so that they are whole.
+    The rank of a value follows from the counts below it, among the rows that know the other column. So values are counted per
+    column and per set of columns known beside them, and a scan over the distinct values, however many there are, ranks them
+    against every other column at once. Rows take the ranks of their values and leave their task as one sum of products per
+    pair; all other sums come from the counts. Ranks are doubled, so that they are whole.
     """
-    pairs = list(combinations(cols, 2))
-    d = df.select(*[known(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
-    at = {c: F.col(f"c{i}") for i, c in enumerate(cols)}
-    both = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), at[a].alias("x"), at[b].alias("y")) for a, b in pairs])
-    cells = d.select(F.inline(both)).where("x is not null and y is not null")
-    cells = stage(cells.groupBy("a", "b", F.col("x") + 0.0, F.col("y") + 0.0).agg(F.count(F.lit(1)).alias("n")).toDF("a", "b", "x", "y", "n"), "rank-cells")
-    for side in ("x", "y"):
-        counts = stage(cells.groupBy("a", "b", side).agg(F.sum("n").alias("k")), "rank-counts")
-        ranks = ordered_scan(counts, [side], ["a", "b"], before={"less": "k"}).select("a", "b", side, (2 * F.col("less") + F.col("k") + 1).alias(f"r{side}"))
-        cells = lookup(cells, stage(ranks, "ranks"), ["a", "b", side])
-    wide = lambda c: F.sum((c * F.col("n").cast("decimal(19,0)")).cast("decimal(38,0)"))
-    rx, ry = F.col("rx").cast("decimal(19,0)"), F.col("ry").cast("decimal(19,0)")
-    sums = cells.groupBy("a", "b").agg(
-        F.sum("n").alias("n"), wide(rx).alias("sx"), wide(ry).alias("sy"), wide(rx * rx).alias("sxx"), wide(ry * ry).alias("syy"), wide(rx * ry).alias("sxy")
-    )
-    n, sx, sy, sxx, syy, sxy = (F.col(c).cast("double") for c in ("n", "sx", "sy", "sxx", "syy", "sxy"))
-    spread = F.sqrt((sxx - sx * sx / n) * (syy - sy * sy / n))
-    return sums.select("a", "b", "n", F.when(spread > 0, (sxy - sx * sy / n) / spread).alias("r"))
+    at = range(len(cols))
+    d = df.select(*[(known(F.col(c).cast("double")) + 0.0).alias(f"c{i}") for i, c in enumerate(cols)])
+    beside_it = F.array(*[F.col(f"c{i}").isNotNull() for i in at]).alias("beside")
+    each = d.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"c{i}").alias("v"), beside_it) for i in at]))).where("v is not null")
+    counted = each.groupBy("i", "v", "beside").agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(counted.groupBy("i", "v").agg(*[F.sum(F.when(F.get("beside", F.lit(j)), F.col("n")).otherwise(0)).alias(f"k{j}") for j in at]), "rank-counts")
+    scanned = ordered_scan(counts, ["v"], ["i"], before={f"less{j}": f"k{j}" for j in at})
+    ranks = stage(scanned.select("i", "v", *[f"k{j}" for j in at], *[(2 * F.col(f"less{j}") + F.col(f"k{j}") + 1).alias(f"r{j}") for j in at]), "ranks")
+
+    whole = lambda c: F.col(c).cast("decimal(19,0)")
+    wide = lambda c: F.sum(c.cast("decimal(38,0)"))
+    own = F.array(*[F.struct(F.sum(f"k{j}").alias("n"), wide(whole(f"r{j}") * whole(f"r{j}") * whole(f"k{j}")).alias("squares")) for j in at])
+    sums = ranks.groupBy("i").agg(own.alias("own"))
+    for i in at:
+        table = ranks.where(F.col("i") == i).select(F.col("v").alias(f"c{i}"), *[F.col(f"r{j}").alias(f"r{i}_{j}") for j in at if j != i])
+        d = lookup(d, table, [f"c{i}"])
+    pairs = list(combinations(at, 2))
+    products = d.agg(*[wide(whole(f"r{i}_{j}") * whole(f"r{j}_{i}")).alias(f"p{i}_{j}") for i, j in pairs])
+    listed = products.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"p{i}_{j}").alias("sxy")) for i, j in pairs])))
+    x, y = (sums.select(F.col("i").alias(k), F.col("own").alias(f"own_{k}")) for k in "ij")
+    joined = listed.join(F.broadcast(x), "i").join(F.broadcast(y), "j").where("sxy is not null")
+    name = lambda k: F.get(F.array(*[F.lit(c) for c in cols]), F.col(k))
+    mine, theirs = F.get("own_i", F.col("j")), F.get("own_j", F.col("i"))
+    n = mine.n.cast("double")
+    total = (mine.n.cast("decimal(19,0)") * (mine.n + 1).cast("decimal(19,0)")).cast("double")  # of doubled ranks, with or without ties
+    sxx, syy, sxy = (c.cast("double") for c in (mine.squares, theirs.squares, F.col("sxy")))
+    spread = F.sqrt((sxx - total * total / n) * (syy - total * total / n))
+    return joined.select(name("i").alias("a"), name("j").alias("b"), mine.n.alias("n"), F.when(spread > 0, (sxy - total * total / n) / spread).alias("r"))
 
 
 def missing_patterns(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -1,10 +1,12 @@
-"""Work that must not grow faster than the rows."""
+"""Work that must not grow faster than the rows: what is staged, and how often a digest is made."""
 
 import hashlib
+import itertools
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from churnwright.operators import gates
+from churnwright.operators import gates, profiling
 
 
 def test_a_row_is_digested_once_per_replicate(spark, monkeypatch):
@@ -18,3 +20,26 @@ def test_a_row_is_digested_once_per_replicate(spark, monkeypatch):
     weight = lambda i, r: sum(int(hashlib.md5(text(i, r).encode()).hexdigest()[:8], 16) >= s for s in gates.POISSON_STEPS)
     want = sorted((r, i / 50, weight(i, r)) for i in range(50) for r in range(1, 7) if weight(i, r))
     assert sorted((r.replicate, r.score, r._n) for r in seen[0].collect()) == want
+
+
+def test_rank_correlations_stage_values_and_not_pairs(spark, monkeypatch):
+    rnd = np.random.default_rng(3)
+    data = [[None if rnd.random() < 0.1 else float(v) for v in (rnd.random(), rnd.random(), rnd.random(), rnd.integers(5))] for _ in range(300)]
+    data += [[1.0, None, None, None], [float("nan"), 0.5, 0.0, 1.0], [0.5, 0.25, -0.0, 1.0]]
+    sizes, stage = [], profiling.stage
+
+    def counted(df, label):
+        out = stage(df, label)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(profiling, "stage", counted)
+    got = {(r.a, r.b): r for r in profiling.rank_correlations(spark.createDataFrame(data, "a double, b double, c double, d double"), list("abcd")).collect()}
+    assert max(sizes) <= 4 * len(data)  # a cell per pair and row was up to 6 times as many
+    known = [[None if v is None or v != v else v for v in r] for r in data]
+    mid = lambda v: [sum(o < a for o in v) + (sum(o == a for o in v) + 1) / 2 for a in v]
+    for i, j in itertools.combinations(range(4), 2):
+        both = [(r[i], r[j]) for r in known if r[i] is not None and r[j] is not None]
+        r = got["abcd"[i], "abcd"[j]]
+        assert r.n == len(both) and abs(r.r - np.corrcoef(*(mid([p[k] for p in both]) for k in (0, 1)))[0, 1]) < 1e-12
+    assert profiling.rank_correlations(spark.createDataFrame([(1.0, None)], "a double, b double"), ["a", "b"]).collect() == []
