@@ -29,7 +29,11 @@ come from two fingerprints of the words, by the same ball. That finds the bulk c
 an added passage moves too many bits. The second source is complete: of two texts of n distinct
 shingles or fewer with a similarity of 0.8, each shares one of its first n - ceil(0.8 n) + 1 with the
 other's, in any order of shingles that holds for all texts. The order here puts those last that are
-frequent in a sample, so that common passages do not bring texts together. All candidates are compared.
+frequent in a share of the texts that does not fall as they grow more, so that common passages do not bring texts together.
+
+A candidate is first judged by bitmaps: bit i says whether an odd number of the text's shingles fall on it. A shingle that only
+one of two texts has changes one bit, so bitmaps differ in no more bits than the sets in shingles; where they differ in more
+than a similarity of 0.8 allows, the pair is none. That loses no pair and is asked inside the join. All others are compared by their words.
 
 Rows: null and empty texts have the fingerprint zero and link like any other.
 Repeated rows and doc_ids give one output row each. A null doc_id keeps its row and
@@ -58,9 +62,12 @@ from churnwright.session import stage
 RADIUS = 4
 SEED = 42
 BLOCKS = ((0, 21), (21, 42), (42, 64))
-SAMPLE, FREQUENT, NAMED = 10_000, 4, 200_000  # texts asked for frequent shingles, how often, and how many are told to the tasks
+SHARE, SAMPLE = 4, 10_000  # one of so many texts is asked for frequent shingles, but not fewer than so many
+FREQUENT, NAMED = 4, 500_000  # how often a shingle is there, and how many are told to the tasks
+FEW = 8  # pairs per text up to which all are compared at once
+WORDS = 8  # of 64 bits in a bitmap of shingles
 DIRECT = 64  # fingerprints on a narrow variant up to which they are compared with each other instead of making balls
-PAIRS = 4  # open pairs per row of shared shingles from which on stars go first
+PAIRS, TURNS = 1, 2  # open pairs per row of shared shingles from which on stars go first, and for how many turns at least
 
 
 def fingerprint(text: bytes, shingle: int = 4) -> int:
@@ -247,23 +254,31 @@ def prefix(grams: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], least: fl
     return grams[: n - math.ceil(least * n - 1e-9) + 1]
 
 
+def bitmap(grams: np.ndarray) -> list[int]:
+    """For each of 64 * ``WORDS`` equal ranges of hashes whether an odd number of shingles is there."""
+    width = 64 * WORDS
+    odd = np.bincount((grams >> np.uint64(64 - (width.bit_length() - 1))).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
 def frequent_shingles(named: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, counts) of shingles that occur in ``FREQUENT`` or more of a sample of texts; only the order of shingles depends on it."""
+    """(hashes, counts) of shingles that occur in ``FREQUENT`` or more of a share of the texts; only the order of shingles depends on it."""
 
     def make() -> Callable[[list], list[tuple]]:
         hashes = WordHashes()
         return lambda texts: [(shingle_hashes(t, shingle, hashes).view(np.int64).tolist(),) for t in texts]
 
-    grams = map_rows(by_hash(named.select("id", "text"), "id", SAMPLE), make, "grams array<bigint>")
+    asked = by_hash(named.select("id", "text"), "id", max(SAMPLE, named.count() // SHARE))
+    grams = map_rows(asked, make, "grams array<bigint>")
     counted = grams.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT)
-    rows = counted.orderBy(F.desc("n"), "gram").limit(NAMED).collect()
-    keys = np.array([r.gram for r in rows], np.int64).view(np.uint64)
+    rows = written(counted, "copies-frequent").orderBy(F.desc("n"), "gram").limit(NAMED).toArrow()
+    keys = rows.column("gram").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    return keys[order], np.array([r.n for r in rows], np.int64)[order]
+    return keys[order], rows.column("n").to_numpy()[order]
 
 
 def distinct_texts(named: DataFrame, shingle: int, least: float) -> DataFrame:
-    """(node, id, digest, fp0, fp1, n, grams): a number for each distinct text of (id, digest, text), its smallest id, fingerprints and prefix."""
+    """(node, id, digest, fp0, fp1, n, bits, grams): a number for each distinct text of (id, digest, text), its smallest id, fingerprints, bitmap and prefix."""
     held = named.sparkSession.sparkContext.broadcast(frequent_shingles(named, shingle))
 
     def make() -> Callable[[list], list[tuple]]:
@@ -271,26 +286,27 @@ def distinct_texts(named: DataFrame, shingle: int, least: float) -> DataFrame:
 
         def one(text: bytes) -> tuple:
             grams = shingle_hashes(text, shingle, hashes)
-            return *map(signed, word_fingerprints(text)), len(grams), prefix(grams, frequent, least).view(np.int64).tolist()
+            return *map(signed, word_fingerprints(text)), len(grams), bitmap(grams), prefix(grams, frequent, least).view(np.int64).tolist()
 
         return lambda texts: [one(t) for t in texts]
 
-    seen = map_rows(named.select("id", "digest", "text"), make, "fp0 bigint, fp1 bigint, n int, grams array<bigint>")
-    once = seen.groupBy("digest").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("fp0", "fp1", "n", "grams")])
-    return written(once.select(F.monotonically_increasing_id().alias("node"), "id", "digest", "fp0", "fp1", "n", "grams"), "copies-texts")
+    seen = map_rows(named.select("id", "digest", "text"), make, "fp0 bigint, fp1 bigint, n int, bits array<bigint>, grams array<bigint>")
+    once = seen.groupBy("digest").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("fp0", "fp1", "n", "bits", "grams")])
+    return written(once.select(F.monotonically_increasing_id().alias("node"), "id", "digest", "fp0", "fp1", "n", "bits", "grams"), "copies-texts")
 
 
 def ball_pairs(once: DataFrame) -> DataFrame:
-    """(u, v): nodes whose word fingerprints are within four bits in either kind, as stars."""
+    """(u, v): for a node the least one that the ball links it to, in either kind of word fingerprint; ``shared_shingles`` is complete without."""
     pairs = None
     for name in ("fp0", "fp1"):
         fps = written(once.groupBy(F.col(name).alias("fp")).agg(F.min("node").alias("first")), "copies-fps")
         first = lambda c, fps=fps: fps.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_node"))
         across = near_links(fps).join(first("u"), "u").join(first("v"), "v").select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
         within = once.join(fps, F.col(name) == F.col("fp")).where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
-        both = written(across.unionByName(within).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "copies-ball")
+        both = across.unionByName(within).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
+        both = written(both.groupBy("u").agg(F.min("v").alias("v")), "copies-ball")
         pairs = both if pairs is None else pairs.unionByName(both)
-    return pairs.where("u <> v").distinct()
+    return pairs.distinct()
 
 
 def shared_shingles(once: DataFrame) -> DataFrame:
@@ -307,6 +323,19 @@ def can_reach(a: str, b: str, least: float) -> Column:
     return most * (1 + least) >= (col(a, "n") + col(b, "n")) * least - 1e-6
 
 
+def can_be_similar(a: str, b: str, least: float) -> Column:
+    """``can_reach``, and whether the bitmaps differ in no more bits than the shingles of similar texts can."""
+    col = lambda side, c: F.col(f"{side}.{c}")
+    differ = sum((F.bit_count(F.get(col(a, "bits"), F.lit(i)).bitwiseXOR(F.get(col(b, "bits"), F.lit(i)))) for i in range(WORDS)), F.lit(0))
+    return can_reach(a, b, least) & (differ * (1 + least) <= (col(a, "n") + col(b, "n")) * (1 - least) + 1e-6)
+
+
+def with_bits(rows: DataFrame, once: DataFrame) -> DataFrame:
+    """``rows`` (gram, node, n, at, root) as ``x`` beside their shingle, with the bitmaps of their texts."""
+    bits = once.select(F.col("node").alias("__node"), "bits")
+    return rows.join(bits, F.col("node") == F.col("__node")).select("gram", F.struct("node", "n", "at", "root", "bits").alias("x"))
+
+
 def joined_roots(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """``nodes`` with the root of the group that each is in so far."""
     known = roots.select(F.col("node").alias("__node"), "root")
@@ -326,6 +355,20 @@ def linked(pairs: DataFrame, once: DataFrame, named: DataFrame, roots: DataFrame
     return components(links, "copies-links")
 
 
+def settled(pairs: DataFrame, once: DataFrame, named: DataFrame, roots: DataFrame, shingle: int, least: float) -> DataFrame:
+    """``linked``, where there are many pairs per text: each text is compared with one other first, which joins most groups; pairs inside a group are done."""
+    pairs = written(pairs, "copies-candidates")
+    size, turn = pairs.count(), 0
+    while size > FEW * pairs.select("u").distinct().count():
+        roots = linked(pairs.groupBy("u").agg(F.min_by("v", F.xxhash64("u", "v", F.lit(turn))).alias("v")), once, named, roots, shingle, least)
+        now = joined_roots(joined_roots(pairs.withColumnRenamed("u", "node"), roots).withColumnsRenamed({"node": "u", "root": "root_u", "v": "node"}), roots)
+        pairs = written(now.where("root_u <> root").select("u", F.col("node").alias("v")), "copies-candidates")
+        before, size, turn = size, pairs.count(), turn + 1
+        if size > before / 2:
+            break
+    return linked(pairs, once, named, roots, shingle, least)
+
+
 def mixed_shingles(shared: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows of shared shingles whose texts are in more than one group, with their roots."""
     now = joined_roots(shared.select("gram", "node", "n", "at"), roots)
@@ -342,17 +385,22 @@ def open_size(rows: DataFrame) -> tuple[int, float]:
     return int(found.rows or 0), (found.twice or 0.0) / 2
 
 
-def star_pairs(rows: DataFrame, turn: int, least: float) -> DataFrame:
-    """(u, v): the texts of each shared shingle with one of them, another in each turn, if in another group."""
-    head = F.min_by(F.struct("node", "n", "at", "root"), F.xxhash64("node", F.lit(turn))).over(Window.partitionBy("gram"))
-    both = rows.select(F.struct("node", "n", "at", "root").alias("x"), head.alias("y")).where("x.root <> y.root").where(can_reach("x", "y", least))
+def star_pairs(rows: DataFrame, once: DataFrame, turn: int, least: float) -> DataFrame:
+    """(u, v): the texts of each shared shingle with one of them, if in another group.
+
+    In the first turn the same text leads all shingles that it has, so that groups of copies become stars. In a group of texts of which
+    many are unlike, that finds few; from then on each shingle has a head of its own, so that a text meets as many as it has shingles.
+    """
+    order = F.xxhash64("x.node", F.lit(turn)) if turn == 0 else F.xxhash64("x.node", "gram", F.lit(turn))
+    head = F.min_by("x", order).over(Window.partitionBy("gram"))
+    both = with_bits(rows, once).select("x", head.alias("y")).where("x.root <> y.root").where(can_be_similar("x", "y", least))
     return both.select(F.greatest("x.node", "y.node").alias("u"), F.least("x.node", "y.node").alias("v")).distinct()
 
 
-def open_pairs(rows: DataFrame, least: float) -> DataFrame:
+def open_pairs(rows: DataFrame, once: DataFrame, least: float) -> DataFrame:
     """(u, v): all texts of a shared shingle that are in different groups and can be similar."""
-    side = lambda c: rows.select("gram", F.struct("node", "n", "at", "root").alias(c))
-    both = side("x").join(side("y"), "gram").where("x.node > y.node and x.root <> y.root").where(can_reach("x", "y", least))
+    sides = with_bits(rows, once)
+    both = sides.join(sides.withColumnRenamed("x", "y"), "gram").where("x.node > y.node and x.root <> y.root").where(can_be_similar("x", "y", least))
     return both.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
 
 
@@ -364,7 +412,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A text that is unlike the one it was compared with is not done: as long as a shared shingle has texts of different groups,
     they are compared. Stars around another text in each turn join large groups first, so that few pairs are left; then all that
-    are left are compared. Only where very many texts that are not similar share rare shingles does that grow with their square.
+    are left are judged by their bitmaps, where they meet, and compared if those allow it. Only where very many texts that are not
+    similar share rare shingles does the judging grow with their square; the texts compared do not.
     """
     named = docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("id"), text_bytes(text_col).alias("text"))
     named = named.select("id", F.unhex(F.md5("text")).alias("digest"), "text")
@@ -374,13 +423,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     size, ahead = open_size(rows)
     turn = 0
     while ahead > PAIRS * size:
-        roots = linked(star_pairs(rows, turn, least), once, named, roots, shingle, least)
+        roots = linked(star_pairs(rows, once, turn, least), once, named, roots, shingle, least)
         rows, before = mixed_shingles(rows, roots), ahead
         size, ahead = open_size(rows)
         turn += 1
-        if ahead > before / 2:
+        if turn >= TURNS and ahead > before / 2:
             break
-    roots = linked(open_pairs(rows, least), once, named, roots, shingle, least)
+    roots = settled(open_pairs(rows, once, least), once, named, roots, shingle, least)
     least_of = F.min(F.struct("id", "digest")).alias("kept")
     return joined_roots(once.select("node", "id", "digest"), roots).groupBy("root").agg(least_of).select("kept.id", "kept.digest")
 
