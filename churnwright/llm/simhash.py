@@ -67,7 +67,7 @@ FREQUENT, NAMED = 4, 500_000  # how often a shingle is there, and how many are t
 FEW = 8  # pairs per text up to which all are compared at once
 WORDS = 8  # of 64 bits in a bitmap of shingles
 DIRECT = 64  # fingerprints on a narrow variant up to which they are compared with each other instead of making balls
-PAIRS, TURNS = 1, 2  # open pairs per row of shared shingles from which on stars go first, and for how many turns at least
+PAIRS, TURNS = 1, 1  # open pairs per row of shared shingles from which on stars go first, and for how many turns at least
 
 
 def fingerprint(text: bytes, shingle: int = 4) -> int:
