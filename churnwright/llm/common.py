@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -123,13 +124,57 @@ def written(df: DataFrame, label: str) -> DataFrame:
         conf.set(FREE_SHUFFLES, before)
 
 
+LINKS = 250_000  # links that a task joins at once
+
+
+def stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) for every node of the edges (u, v) but the smallest of each group, which is its root."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    root = np.arange(len(nodes))
+    while (root[a] != root[b]).any():
+        low = np.minimum(root[a], root[b])
+        now = root.copy()
+        np.minimum.at(now, root[a], low)
+        np.minimum.at(now, root[b], low)
+        while (now[now] != now).any():
+            now = now[now]
+        root = now[root]
+    moved = root != np.arange(len(nodes))
+    return nodes[moved], nodes[root[moved]]
+
+
+def joined_in_tasks(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) by which the same nodes are linked: those of a task give way to stars, ``LINKS`` at a time, so that its memory is bounded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+
+        def joined() -> pa.RecordBatch:
+            u, v = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in stars(u, v)], names=["u", "v"])
+
+        for batch in batches:
+            held, rows = [*held, batch], rows + batch.num_rows
+            if rows > LINKS:
+                held = [joined()]
+                rows = held[0].num_rows
+                if rows > LINKS // 2:
+                    yield held[0]
+                    held, rows = [], 0
+        if rows:
+            yield joined()
+
+    return edges.mapInArrow(run, "u bigint, v bigint")
+
+
 def components(edges: DataFrame, label: str = "component") -> DataFrame:
-    """(node, root) for every node of ``edges`` (u, v): root is the smallest node reachable.
+    """(node, root) for every node of ``edges`` (u, v), which are longs, but the roots: root is the smallest node reachable.
 
-    Alternating large-star and small-star contractions: each step is a minimum per
-    node, combined before the shuffle, and a join back, so a node with very many
-    neighbours is neither collected nor paired with itself. Steps are written to the
-    shared folder. Stops once neither step changes the edges.
+    Every task joins the edges that it holds into stars first. Where ``LINKS`` or fewer are left, one task joins those: a round over
+    all partitions would be more work than the links. Where more are left, alternating large-star and small-star contractions go on: each
+    step is a minimum per node, combined before the shuffle, and a join back, so a node with very many neighbours is neither collected
+    nor paired with itself. Steps are written to the shared folder. Stops once neither step changes the edges, or few are left.
     """
 
     def best(pairs: DataFrame) -> DataFrame:
@@ -146,11 +191,12 @@ def components(edges: DataFrame, label: str = "component") -> DataFrame:
         moved = joined.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         return moved.select("e.u", "e.v")
 
-    now = stage(edges.select("u", "v").where("u <> v").distinct(), label)
-    seen = None
-    while True:
-        now = stage(small(large(now).where("u <> v").distinct()).where("u <> v").distinct(), label)
+    now = written(joined_in_tasks(edges.select("u", "v").where("u <> v")), label)
+    left, seen, mark = now.count(), None, ()
+    while left > LINKS and mark != seen:
+        now, seen = written(small(large(now).where("u <> v").distinct()).where("u <> v").distinct(), label), mark
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = mark
+        left = mark[0]
+    if left <= LINKS:
+        now = written(joined_in_tasks(now.coalesce(1)), label)
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

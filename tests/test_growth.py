@@ -6,6 +6,7 @@ import itertools
 import numpy as np
 from pyspark.sql import functions as F
 
+from churnwright.llm import common
 from churnwright.operators import gates, profiling
 
 
@@ -43,3 +44,23 @@ def test_rank_correlations_stage_values_and_not_pairs(spark, monkeypatch):
         r = got["abcd"[i], "abcd"[j]]
         assert r.n == len(both) and abs(r.r - np.corrcoef(*(mid([p[k] for p in both]) for k in (0, 1)))[0, 1]) < 1e-12
     assert profiling.rank_correlations(spark.createDataFrame([(1.0, None)], "a double, b double"), ["a", "b"]).collect() == []
+
+
+def test_few_links_are_joined_without_rounds_over_all_partitions(spark, monkeypatch):
+    tables, stage = [], common.stage
+    monkeypatch.setattr(common, "stage", lambda df, label: tables.append(label) or stage(df, label))
+    rnd = np.random.default_rng(4)
+    edges = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1200)] + [(int(a), int(b)) for a, b in rnd.integers(-9000, -1, (400, 2))] + [(7, 7), (None, 5), (3, None)]
+    low = {x: x for e in edges for x in e if x is not None}
+    for _ in edges:
+        for a, b in [e for e in edges if None not in e]:
+            low[a] = low[b] = min(low[a], low[b])
+        if all(low[a] == low[b] for a, b in edges if None not in (a, b)):
+            break
+    want = sorted((x, r) for x, r in low.items() if x != r)
+    given = spark.createDataFrame(edges, "u bigint, v bigint").repartition(8)
+    assert sorted(map(tuple, common.components(given).collect())) == want
+    assert len(tables) == 2  # a table per round before, each by several shuffles: most of the disk where links are few
+    for links in (8, 300):  # rounds to the end, or until few are left
+        monkeypatch.setattr(common, "LINKS", links)
+        assert sorted(map(tuple, common.components(given).collect())) == want
